@@ -19,16 +19,28 @@ HOT_ROWS = 1_000_000
 SLICE_SECONDS = 3600
 MAX_HOT_KEYS = 1000
 SKETCH_ITEMS = 10_000
+TASKS_PER_MERGE = 1000
 
 _DIGEST, _KEY, _SLICE = "__digest", "__key", "__slice"
 _OFFSET, _EDGE, _NEAR = "__offset", "__edge", "__near"
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Digests of the keys with at least `hot_rows` rows: never more than MAX_HOT_KEYS rows."""
-    digests = df.select(F.xxhash64(*keys).alias(_DIGEST))
-    sketch = digests.agg(F.expr(f"approx_top_k({_DIGEST}, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias("t"))
-    found = sketch.select(F.explode("t").alias("t"))
+    """Digests of the keys with at least `hot_rows` rows: never more than MAX_HOT_KEYS rows.
+
+    Every task makes one sketch; sketches are merged in two steps, so that no task has to take in
+    those of all the others. A key is sure to be found if it has more than about 1 in 7,500 of all
+    rows, a few times the fair share of a task; below that it does no harm.
+    """
+    some_tasks = F.floor(F.spark_partition_id() / TASKS_PER_MERGE)
+    digests = df.select(F.xxhash64(*keys).alias(_DIGEST), some_tasks.alias("__tasks"))
+    sketches = digests.groupBy("__tasks").agg(
+        F.expr(f"approx_top_k_accumulate({_DIGEST}, {SKETCH_ITEMS})").alias("s")
+    )
+    merged = sketches.agg(F.expr(f"approx_top_k_combine(s, {SKETCH_ITEMS})").alias("s"))
+    found = merged.select(
+        F.explode(F.expr(f"approx_top_k_estimate(s, {MAX_HOT_KEYS})")).alias("t")
+    )
     return found.where(F.col("t.count") >= hot_rows).select(F.col("t.item").alias(_DIGEST))
 
 
@@ -116,12 +128,14 @@ def with_neighbour(
     order: Sequence[str],
     take: Sequence[str],
     which: str,
+    thin: Callable[[DataFrame], DataFrame] = lambda rows: rows,
     hot_rows: int = HOT_ROWS,
     slice_seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
     """Add columns of the previous or next row of the same key, and whether there is one.
 
-    `which` is 'prev' or 'next'; `order` is a time column, then tie-breakers, all ascending.
+    `which` is 'prev' or 'next'; `order` is a time column, then tie-breakers, all ascending. `thin`
+    drops rows before that; it must decide within groups of the keys and the time column.
     """
     step = F.lead if which == "next" else F.lag
     picked = F.struct(*take)
@@ -131,11 +145,13 @@ def with_neighbour(
         return rows.select(*df.columns, *named, near.isNotNull().alias(f"has_{which}"))
 
     def cold(rows: DataFrame) -> DataFrame:
+        # One shuffle by the keys serves `thin`, which groups more finely, and the window.
         along = Window.partitionBy(*keys).orderBy(*order)
-        return unpack(rows.withColumn(_NEAR, step(picked).over(along)), F.col(_NEAR))
+        placed = thin(rows.repartition(*keys))
+        return unpack(placed.withColumn(_NEAR, step(picked).over(along)), F.col(_NEAR))
 
     def hot(rows: DataFrame) -> DataFrame:
-        sliced = _sliced(rows, keys, order[0], slice_seconds)
+        sliced = _sliced(thin(rows), keys, order[0], slice_seconds)
         # The row of a slice that the adjacent slice has to see: its first one when looking
         # forward, its last one when looking back.
         outermost = F.min_by if which == "next" else F.max_by

@@ -110,8 +110,9 @@ def scd2(df: DataFrame, keys: Sequence[str], ts: str, **hot: int) -> DataFrame:
     There is one version per key and instant (the winner among images of the same instant), valid
     until the next one.
     """
-    versions = collapse_latest(df, [*keys, ts], [])
-    following = with_neighbour(versions, keys, [ts], [ts], "next", **hot)
+    following = with_neighbour(
+        df, keys, [ts], [ts], "next", thin=lambda rows: collapse_latest(rows, [*keys, ts], []), **hot
+    )
     return following.select(
         "*",
         F.col(ts).alias("valid_from"),

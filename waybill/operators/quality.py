@@ -133,7 +133,7 @@ def _zero(x: Column) -> Column:
 
 
 def gate_metrics(labels: DataFrame, events: DataFrame, gold: DataFrame) -> DataFrame:
-    """One row with every figure the gate needs, at most two shuffles per table.
+    """One row with every figure the gate needs.
 
     Figures per carrier and per key are aggregated first with a map-side partial step, then
     summed up. Each part is a single row; they are put side by side by way of (metric, value)
@@ -161,14 +161,15 @@ def gate_metrics(labels: DataFrame, events: DataFrame, gold: DataFrame) -> DataF
     id_row = _distinct(events, "event_id", "event_ids")
     label_row = _distinct(labels, "label_id", "label_ids", "labels")
     gold_row = _distinct(gold, "label_id", "gold_ids", "gold_rows")
-    orphan_row = events.join(labels.select("label_id"), "label_id", "left_anti").agg(
-        F.count("*").alias("orphans")
+    # One pass over events and labels finds the orphans and the deliveries that came too early.
+    known_labels = labels.select("label_id", "label_created_at", F.lit(True).alias("__known"))
+    placed = events.select("label_id", "event_name", "event_at").join(
+        known_labels, "label_id", "left"
     )
-    deliveries = events.where(F.col("event_name") == "delivered").select("label_id", "event_at")
-    early_row = (
-        deliveries.join(labels.select("label_id", "label_created_at"), "label_id")
-        .where(F.col("event_at") < F.col("label_created_at"))
-        .agg(F.count("*").alias("early"))
+    delivery = F.col("event_name") == "delivered"
+    label_match_row = placed.agg(
+        F.count_if(F.col("__known").isNull()).alias("orphans"),
+        F.count_if(delivery & (F.col("event_at") < F.col("label_created_at"))).alias("early"),
     )
     done, in_time = F.col("is_delivered"), F.col("is_delivered_on_time")
     actual, promised = F.col("actual_delivery_at"), F.col("carrier_promised_delivery_at")
@@ -187,7 +188,7 @@ def gate_metrics(labels: DataFrame, events: DataFrame, gold: DataFrame) -> DataF
         F.sum(F.col("a") + F.col("b") + F.col("c")).alias("impossible"),
         F.count_if((share <= 1.0) | (share >= 99.5)).alias("extreme_carriers"),
     )
-    rows = [event_row, id_row, label_row, gold_row, orphan_row, early_row, metric_row]
+    rows = [event_row, id_row, label_row, gold_row, label_match_row, metric_row]
     names = [c for row in rows for c in row.columns]
     long = _union(_as_pairs(row) for row in rows)
     return long.agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n) for n in names])
