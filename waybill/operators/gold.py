@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waybill.operators.silver import stamp
+from waybill.operators.silver import instant, stamp
 from waybill.schemas import DELIVERY_PERFORMANCE, LABEL_FLAGS
 
 
@@ -236,7 +236,7 @@ def data_freshness(
     if as_of is None:
         now = events.select(F.max("event_received_at")).scalar()
     else:
-        now = F.lit(as_of).cast("timestamp")
+        now = instant(as_of)
     last_scan = (
         events.where(F.col("event_received_at") <= now)
         .groupBy("label_id")

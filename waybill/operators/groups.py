@@ -37,7 +37,10 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     sketches = digests.groupBy("__tasks").agg(
         F.expr(f"approx_top_k_accumulate({_DIGEST}, {SKETCH_ITEMS})").alias("s")
     )
-    merged = sketches.agg(F.expr(f"approx_top_k_combine(s, {SKETCH_ITEMS})").alias("s"))
+    # Grouped by a constant: no input then gives no sketch, where a global aggregate would fail.
+    merged = sketches.groupBy(F.lit("all")).agg(
+        F.expr(f"approx_top_k_combine(s, {SKETCH_ITEMS})").alias("s")
+    )
     found = merged.select(
         F.explode(F.expr(f"approx_top_k_estimate(s, {MAX_HOT_KEYS})")).alias("t")
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waybill.functions import flags
@@ -13,9 +13,15 @@ from waybill.operators.latest import collapse_latest, dedup_events
 from waybill.schemas import SILVER_EVENTS, SILVER_LABELS
 
 
+def instant(moment: dt.datetime) -> Column:
+    """A point in time as a literal; one without a zone is UTC, wherever the driver runs."""
+    aware = moment if moment.tzinfo else moment.replace(tzinfo=dt.timezone.utc)
+    return F.lit(aware).cast("timestamp")
+
+
 def stamp(df: DataFrame, run_ts: dt.datetime | None = None, name: str = "inserted_at") -> DataFrame:
     """Load time of the row: the given run time, or the start of the query."""
-    when = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
+    when = F.current_timestamp() if run_ts is None else instant(run_ts)
     return df.withColumn(name, when)
 
 
