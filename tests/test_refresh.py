@@ -1,0 +1,187 @@
+"""Incremental loads end in the rows of a full refresh."""
+
+import random
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import DATA, at, event, label, same_rows
+from waybill.operators import gold, silver
+from waybill.plans.refresh import (
+    Models,
+    apply_batch,
+    full_refresh,
+    quarantine_orphans,
+    start_empty,
+)
+from waybill.sources import parcels
+from waybill.sources.tables import Names, land_all
+from waybill.streaming.jobs import dedup_stream, file_events, keep_current
+
+
+def fresh(spark, grain: str = "year") -> Models:
+    return Models(spark, Names(prefix=f"t{uuid.uuid4().hex[:8]}_"), grain)
+
+
+def assert_full(models: Models, raw_labels, raw_events) -> None:
+    """The published rows are those computed from all raw rows at once."""
+    labels = silver.silver_labels(raw_labels)
+    events = silver.silver_events(raw_events, labels)
+    assert same_rows(models.silver_labels, labels)
+    assert same_rows(models.silver_events, events)
+    assert same_rows(models.gold, gold.delivery_performance(labels, events))
+
+
+@pytest.fixture(scope="module")
+def parcel_rows(spark):
+    orders, items = parcels.table(spark, DATA, "orders"), parcels.table(spark, DATA, "lineitem")
+    kept = parcels.raw_labels(orders).cache(), parcels.raw_events(orders, items).cache()
+    yield kept
+    for df in kept:
+        df.unpersist()
+
+
+def test_full_refresh_is_repeatable(spark, parcel_rows):
+    models = fresh(spark)
+    land_all(*parcel_rows, models.names)
+    full_refresh(models)
+    assert_full(models, *parcel_rows)
+    before = models.gold.count()
+    full_refresh(models)
+    assert models.gold.count() == before
+    assert_full(models, *parcel_rows)
+
+
+def test_batches_by_arrival(spark, parcel_rows):
+    """Label rows and scans arrive in three waves by time; updates meet stored rows."""
+    models = fresh(spark)
+    start_empty(models)
+    labels, events = parcel_rows
+    for low, high in (("1900", "1998"), ("1998", "2000"), ("2000", "2100")):
+        window = lambda c: (F.year(c) >= int(low)) & (F.year(c) < int(high))
+        apply_batch(
+            models,
+            labels.where(window("last_updated_at")),
+            events.where(window("event_received_at")),
+        )
+    assert_full(models, labels, events)
+
+
+def small_log() -> tuple[list[dict], list[dict]]:
+    rng = random.Random(11)
+    hour = lambda: at(f"2026-06-{rng.randrange(1, 9):02d} {rng.randrange(24):02d}:00:00")
+    labels = [
+        label(
+            f"l{rng.randrange(12)}",
+            carrier=rng.choice(["UPS", "USPS"]),
+            voided_at=rng.choice([None, None, at("2026-06-02 00:00:00")]),
+            last_updated_at=hour(),
+        )
+        for _ in range(40)
+    ]
+    times = ["2026-06-06T10:30:00Z", "2026-06-09T10:30:00Z", "2026/06/07T10:30:00", "junk"]
+    events = [
+        event(
+            f"e{rng.randrange(25)}",
+            f"l{rng.randrange(14)}",
+            event_type=rng.choice(["PICKUP", "DELIVERED", None]),
+            event_at=rng.choice(times),
+            event_received_at=hour(),
+        )
+        for _ in range(80)
+    ]
+    return labels, events
+
+
+def test_any_order_and_repeats_give_the_same(spark, labels_of, events_of):
+    """Stale rows, voids that come and go, ids that change label, batches in any order."""
+    labels, events = small_log()
+    models = fresh(spark, "month")
+    start_empty(models)
+    steps = [(labels[i::3], events[i::3]) for i in range(3)]
+    steps = [(steps[2][0], []), ([], steps[0][1]), (steps[0][0], steps[2][1]), steps[1], steps[1]]
+    for some_labels, some_events in steps:
+        apply_batch(
+            models,
+            labels_of(*some_labels) if some_labels else None,
+            events_of(*some_events) if some_events else None,
+        )
+    assert_full(models, labels_of(*labels), events_of(*events))
+
+
+def test_late_void_reaches_stored_scans(spark, labels_of, events_of):
+    models = fresh(spark, "month")
+    start_empty(models)
+    apply_batch(models, labels_of(label("l1"), label("l2")), events_of(event("e1"), event("e2", "l2")))
+    assert models.silver_events.where("is_event_on_voided_label").isEmpty()
+    voided = label("l1", voided_at=at("2026-06-03 00:00:00"), last_updated_at=at("2026-06-03 00:00:00"))
+    apply_batch(models, labels_of(voided))
+    flagged = models.silver_events.where("is_event_on_voided_label").collect()
+    assert [r.event_id for r in flagged] == ["e1"]
+
+
+def test_late_scan_reaches_its_label_and_is_listed(spark, labels_of, events_of):
+    models = fresh(spark, "month")
+    start_empty(models)
+    apply_batch(models, labels_of(label("l1")))
+    assert not models.gold.first().is_delivered
+    late = event("e1", event_received_at=at("2026-08-20 00:00:00"))
+    for _ in range(2):
+        apply_batch(models, event_rows=events_of(late, event("e2")), late_days=8)
+    assert models.gold.first().is_delivered_on_time
+    listed = spark.read.table(models.names.late_events).collect()
+    assert [r.event_id for r in listed] == ["e1"]
+
+
+def test_only_touched_periods_are_rewritten(spark, labels_of, events_of):
+    models = fresh(spark, "day")
+    start_empty(models)
+    first = label("l1")
+    second = label("l2", label_created_at=at("2026-06-20 00:00:00"))
+    apply_batch(models, labels_of(first, second))
+    files = lambda: {r.f for r in spark.read.table(models.names.gold).selectExpr("input_file_name() f").collect()}
+    before = files()
+    apply_batch(models, event_rows=events_of(event("e1", "l2")))
+    after = files()
+    kept = before & after
+    assert len(before) == 2 and len(kept) == 1 and "2026-06-01" in kept.pop()
+
+
+def test_orphans_are_published(spark, labels_of, events_of):
+    models = fresh(spark, "month")
+    start_empty(models)
+    apply_batch(models, labels_of(label("l1")), events_of(event("e1"), event("e2", "nowhere")))
+    assert [r.event_id for r in quarantine_orphans(models).collect()] == ["e2"]
+
+
+def test_stream_in_several_batches(spark, labels_of, events_of, tmp_path):
+    labels, events = small_log()
+    models = fresh(spark, "month")
+    start_empty(models)
+    apply_batch(models, labels_of(*labels))
+    inbox = str(tmp_path / "inbox")
+    for i in range(3):
+        events_of(*events[i::3]).coalesce(1).write.mode("append").parquet(inbox)
+    stream = file_events(spark, inbox, files_per_batch=1)
+    checkpoint = str(tmp_path / "checkpoint")
+    run = keep_current(stream, models, checkpoint)
+    run.awaitTermination()
+    assert len([p for p in run.recentProgress if p["numInputRows"]]) == 3
+    assert_full(models, labels_of(*labels), events_of(*events))
+    # More files later: the stream goes on where it stopped.
+    more = event("e_new", "l1", event_received_at=at("2026-07-01 00:00:00"))
+    events_of(more).coalesce(1).write.mode("append").parquet(inbox)
+    keep_current(file_events(spark, inbox), models, checkpoint).awaitTermination()
+    assert_full(models, labels_of(*labels), events_of(*events, more))
+
+
+def test_dedup_stream_keeps_one_copy(spark, events_of, tmp_path):
+    inbox = str(tmp_path / "inbox")
+    events_of(event("e1"), event("e2")).coalesce(1).write.parquet(inbox)
+    repeat = event("e1", event_received_at=at("2026-06-07 00:00:00"))
+    events_of(repeat, event("e3")).coalesce(1).write.mode("append").parquet(inbox)
+    unique = dedup_stream(file_events(spark, inbox, files_per_batch=1))
+    sink = unique.writeStream.format("memory").queryName("feed").outputMode("append")
+    sink.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r.event_id for r in spark.read.table("feed").collect()) == ["e1", "e2", "e3"]

@@ -52,17 +52,22 @@ class Models:
         """Partition of a row that is new: the period (day, month, ...) of its time."""
         return F.to_date(F.date_trunc(self.grain, time))
 
+    def stored(self, table: str) -> DataFrame:
+        """A table as it is now: another session, such as that of a stream, may have written it."""
+        self.spark.catalog.refreshTable(table)
+        return self.spark.read.table(table)
+
     @property
     def silver_labels(self) -> DataFrame:
-        return self.spark.read.table(self.names.silver_labels).select(*SILVER_LABELS)
+        return self.stored(self.names.silver_labels).select(*SILVER_LABELS)
 
     @property
     def silver_events(self) -> DataFrame:
-        return self.spark.read.table(self.names.silver_events).select(*SILVER_EVENTS)
+        return self.stored(self.names.silver_events).select(*SILVER_EVENTS)
 
     @property
     def gold(self) -> DataFrame:
-        return self.spark.read.table(self.names.gold).select(*DELIVERY_PERFORMANCE)
+        return self.stored(self.names.gold).select(*DELIVERY_PERFORMANCE)
 
 
 def _event_rows(raw_events: DataFrame, run_ts: dt.datetime | None) -> DataFrame:
@@ -108,7 +113,7 @@ def _periods(df: DataFrame) -> set[dt.date]:
 
 
 def upsert(
-    spark: SparkSession,
+    models: Models,
     table: str,
     batch: DataFrame,
     keys: Sequence[str],
@@ -123,7 +128,8 @@ def upsert(
     tie-breakers); without it the batch replaces. `finish` completes the rows before they are
     written; `also` lists further periods to rewrite.
     """
-    target = spark.read.table(table)
+    spark = models.spark
+    target = models.stored(table)
     if newest is not None:
         batch = collapse_latest(batch, keys, *newest)
     incoming = staged(batch, "incoming")
@@ -175,15 +181,15 @@ def apply_batch(
         ids = staged(batch.select("label_id"), "label_ids")
         before = staged(_void_state(models, ids, "before"), "void_before")
         order = (["last_updated_at"], LABEL_TIES)
-        upsert(spark, names.silver_labels, batch, ["label_id"], models.period("label_created_at"), order)
+        upsert(models, names.silver_labels, batch, ["label_id"], models.period("label_created_at"), order)
         after = _void_state(models, ids, "after")
         turned = (
             after.join(before, "label_id", "left")
             .where(F.col("after") != F.coalesce("before", F.lit(False)))
             .select("label_id")
         )
-        stored = spark.read.table(names.silver_events)
-        reflag = stored.select("label_id", PERIOD).join(turned, "label_id", "left_semi")
+        scans = models.stored(names.silver_events)
+        reflag = scans.select("label_id", PERIOD).join(turned, "label_id", "left_semi")
         touched.append(ids)
 
     has_events = event_rows is not None and not event_rows.isEmpty()
@@ -200,7 +206,7 @@ def apply_batch(
         labels_hit = former.select("label_id").unionByName(batch.select("label_id")).distinct()
         touched.append(staged(labels_hit, "labels_hit"))
         upsert(
-            spark,
+            models,
             names.silver_events,
             batch,
             ["event_id"],
@@ -220,7 +226,7 @@ def apply_batch(
         labels = models.silver_labels.join(ids, "label_id", "left_semi")
         events = models.silver_events.join(ids, "label_id", "left_semi")
         mart = delivery_performance(labels, events, run_ts)
-        upsert(spark, names.gold, mart, ["label_id"], models.period("label_created_at"))
+        upsert(models, names.gold, mart, ["label_id"], models.period("label_created_at"))
     return models
 
 
@@ -237,7 +243,7 @@ def _list_late(models: Models, batch: DataFrame, late_days: int) -> None:
         empty = late.limit(0).withColumn(PERIOD, models.period("event_received_at"))
         materialize(empty, names.late_events, [PERIOD])
     order = (["event_received_at"], event_ties(RAW_TIME))
-    upsert(spark, names.late_events, late, ["event_id"], models.period("event_received_at"), order)
+    upsert(models, names.late_events, late, ["event_id"], models.period("event_received_at"), order)
 
 
 def quarantine_orphans(models: Models, run_ts: dt.datetime | None = None) -> DataFrame:
