@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import at, label, same_rows
 from waybill.operators import latest, profile, silver
-from waybill.operators.groups import hot_keys, with_neighbour, with_ranks
+from waybill.operators.groups import Sizing, _sliced, hot_keys, with_neighbour, with_ranks
 
 START = dt.datetime(2026, 1, 1, tzinfo=dt.timezone.utc)
 
@@ -26,20 +26,21 @@ def scans(spark):
     return spark.createDataFrame(rows, "k string, t timestamp, n int, v string").repartition(6)
 
 
-@pytest.mark.parametrize("hot_rows, slice_seconds", [(2, 3600), (50, 60), (50, 10**7), (10**6, 60)])
-def test_ranks(scans, hot_rows, slice_seconds):
+SIZINGS = [Sizing(2, 20), Sizing(50, 100), Sizing(50, 10**7), Sizing(10**6, 10)]
+
+
+@pytest.mark.parametrize("sizing", SIZINGS)
+def test_ranks(scans, sizing):
     plain = Window.partitionBy("k").orderBy("t", "n")
     wanted = scans.withColumn("r", F.row_number().over(plain).cast("bigint"))
-    found = with_ranks(
-        scans, ["k"], {"r": ["t", "n"]}, hot_rows=hot_rows, slice_seconds=slice_seconds
-    )
+    found = with_ranks(scans, ["k"], {"r": ["t", "n"]}, sizing)
     assert found.columns == wanted.columns
     assert same_rows(wanted, found)
 
 
 @pytest.mark.parametrize("which", ["prev", "next"])
-@pytest.mark.parametrize("hot_rows, slice_seconds", [(2, 3600), (50, 60), (50, 10**7), (10**6, 60)])
-def test_neighbours(scans, which, hot_rows, slice_seconds):
+@pytest.mark.parametrize("sizing", SIZINGS)
+def test_neighbours(scans, which, sizing):
     plain = Window.partitionBy("k").orderBy("t", "n")
     step = F.lag if which == "prev" else F.lead
     near = step(F.struct("t", "v")).over(plain)
@@ -49,9 +50,7 @@ def test_neighbours(scans, which, hot_rows, slice_seconds):
         F.col("s.v").alias(f"{which}_v"),
         F.col("s").isNotNull().alias(f"has_{which}"),
     )
-    found = with_neighbour(
-        scans, ["k"], ["t", "n"], ["t", "v"], which, hot_rows=hot_rows, slice_seconds=slice_seconds
-    )
+    found = with_neighbour(scans, ["k"], ["t", "n"], ["t", "v"], which, sizing=sizing)
     assert same_rows(wanted, found)
 
 
@@ -62,9 +61,27 @@ def test_hot_keys_are_found_and_bounded(scans, spark):
     assert hot_keys(spark.range(5000).withColumnRenamed("id", "k"), ["k"], 1).count() == 1000
 
 
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_large_groups_are_windowed_by_slice(scans):
-    plan = with_ranks(scans, ["k"], {"r": ["t", "n"]})._jdf.queryExecution().toString()
-    assert "approx_top_k" in plan and "__slice" in plan and "BroadcastHashJoin" in plan
+    ordinary = plan_of(with_ranks(scans, ["k"], {"r": ["t", "n"]}))
+    assert "__slice" not in ordinary and ordinary.count("Exchange") == 2  # that of the fixture
+    large = with_ranks(scans, ["k"], {"r": ["t", "n"]}, Sizing(100, 30))
+    assert "hashpartitioning(__key" in plan_of(large) and "__slice" in plan_of(large)
+
+
+def test_a_large_group_at_one_instant_is_split(spark):
+    """Slices follow the whole order, so that even rows of the same time are spread."""
+    rows = spark.range(4000).select(
+        F.lit("hot").alias("k"), F.lit(START).alias("t"), F.col("id").alias("n")
+    )
+    sliced = _sliced(rows, ["k"], ["t", "n"], 8)
+    sizes = [r["count"] for r in sliced.groupBy("__slice").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1500
+    ranked = with_ranks(rows, ["k"], {"r": ["t", "n"]}, Sizing(100, 500))
+    assert ranked.where("r <> n + 1").isEmpty() and ranked.count() == 4000
 
 
 @pytest.fixture(scope="module")
@@ -90,16 +107,22 @@ def change_log(labels_of):
 
 def test_history_is_the_same_for_large_groups(change_log):
     small = latest.scd2(change_log, ["label_id"], "last_updated_at")
-    large = latest.scd2(
-        change_log, ["label_id"], "last_updated_at", hot_rows=2, slice_seconds=600
-    )
+    sizing = Sizing(2, 20)
+    large = latest.scd2(change_log, ["label_id"], "last_updated_at", sizing)
     assert same_rows(small, large)
     assert same_rows(
         profile.change_history(change_log),
-        profile.change_history(change_log, hot_rows=2, slice_seconds=600),
+        profile.change_history(change_log, sizing),
     )
 
 
+def test_copies_of_an_image_are_counted(change_log):
+    doubled = change_log.union(change_log)
+    for sizing in (Sizing(), Sizing(2, 20)):
+        once, twice = profile.change_history(change_log), profile.change_history(doubled, sizing)
+        assert same_rows(once.withColumn("copies", F.col("copies") * 2), twice)
+
+
 def test_intervals_meet_and_end_open(change_log):
     versions = latest.scd2(change_log, ["label_id"], "last_updated_at")
     by_label: dict[str, list] = {}

@@ -1,4 +1,5 @@
 import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +7,7 @@ from pyspark.sql import types as T
 
 from tests.conftest import event, label, same_rows
 from waybill.schemas import RAW_EVENTS, RAW_LABELS
+from waybill.sources.scratch import scratch, staged
 from waybill.sources.tables import (
     Names,
     conform,
@@ -14,7 +16,6 @@ from waybill.sources.tables import (
     land_and_report,
     materialize,
     preview,
-    staged,
     validate_landed,
 )
 
@@ -132,6 +133,13 @@ def test_staged_and_preview(spark, labels_of):
     assert preview(rows, 1).count() == 1
 
 
+def test_scratch_is_gone_afterwards(spark, labels_of):
+    with scratch(spark) as space:
+        assert space.write(labels_of(label()), "x").count() == 1
+        assert Path(space.path).exists()
+    assert not Path(space.path).exists()
+
+
 def test_filters_and_columns_reach_the_scan(spark, names, labels_of):
     table = materialize(labels_of(label("a"), label("b")), names.table("gold", "y"))
     plan = table.where("carrier = 'UPS'").select("label_id")._jdf.queryExecution().toString()

@@ -1,32 +1,44 @@
 """Ordered work within groups that may be very large.
 
-A window over a key sorts all its rows in one task. That is right for ordinary keys. A key that
-holds millions of rows is instead cut into time slices that are windowed separately and then
-stitched together with one small row per slice. Both give the same rows.
+A window over a key sorts all its rows in one task. That is right for ordinary keys. The rows of a
+key that holds a large part of the table are instead range-partitioned by their order, written out
+with the number of their slice, windowed slice by slice, and stitched together with one small row
+per slice. Both ways give the same rows.
 
 Which keys are large is read off a frequent-items sketch of bounded size. The sketch only decides
-how a key is computed, never what the result is.
+how a key is computed, never what the result is. Reading it is a job that runs when the operator is
+called; it scans the key columns alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-SLICE_SECONDS = 3600
+from waybill.sources.scratch import staged
+
 MAX_HOT_KEYS = 1000
 SKETCH_ITEMS = 10_000
 TASKS_PER_MERGE = 1000
+MAX_SLICES = 10_000
 
 _DIGEST, _KEY, _SLICE = "__digest", "__key", "__slice"
 _OFFSET, _EDGE, _NEAR = "__offset", "__edge", "__near"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Digests of the keys with at least `hot_rows` rows: never more than MAX_HOT_KEYS rows.
+@dataclass(frozen=True)
+class Sizing:
+    """Rows from which a key counts as large, and rows per slice of such keys."""
+
+    hot_rows: int = 1_000_000
+    slice_rows: int = 1_000_000
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """Digest and rough size of keys with at least `hot_rows` rows: at most MAX_HOT_KEYS rows.
 
     Every task makes one sketch; sketches are merged in two steps, so that no task has to take in
     those of all the others. A key is sure to be found if it has more than about 1 in 7,500 of all
@@ -44,44 +56,49 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     found = merged.select(
         F.explode(F.expr(f"approx_top_k_estimate(s, {MAX_HOT_KEYS})")).alias("t")
     )
-    return found.where(F.col("t.count") >= hot_rows).select(F.col("t.item").alias(_DIGEST))
+    return found.where(F.col("t.count") >= hot_rows).select(
+        F.col("t.item").alias(_DIGEST), F.col("t.count").alias("rows")
+    )
 
 
 def split_hot(
     df: DataFrame,
     keys: Sequence[str],
     cold: Callable[[DataFrame], DataFrame],
-    hot: Callable[[DataFrame], DataFrame],
-    hot_rows: int = HOT_ROWS,
+    hot: Callable[[DataFrame, int], DataFrame],
+    sizing: Sizing,
 ) -> DataFrame:
-    """Apply `cold` to the rows of ordinary keys and `hot` to those of large keys.
+    """Apply `cold` to the rows of ordinary keys and `hot` to those of large ones.
 
-    The broadcast side has at most MAX_HOT_KEYS longs. If it is empty, adaptive execution drops
-    the hot branch before it reads anything.
+    `hot` also gets the number of slices to make. Without large keys the plan is that of `cold`.
     """
-    large = F.broadcast(hot_keys(df, keys, hot_rows))
-    tagged = df.withColumn(_DIGEST, F.xxhash64(*keys))
-    ordinary = tagged.join(large, _DIGEST, "left_anti").drop(_DIGEST)
-    heavy = tagged.join(large, _DIGEST, "left_semi").drop(_DIGEST)
-    return cold(ordinary).unionByName(hot(heavy))
+    found = hot_keys(df, keys, sizing.hot_rows).collect()  # bounded by MAX_HOT_KEYS
+    if not found:
+        return cold(df)
+    rows = sum(r["rows"] for r in found)
+    slices = min(MAX_SLICES, rows // sizing.slice_rows + 2)
+    is_hot = F.xxhash64(*keys).isin([r[_DIGEST] for r in found])
+    return cold(df.where(~is_hot)).unionByName(hot(df.where(is_hot), slices))
 
 
-def _sliced(df: DataFrame, keys: Sequence[str], time: str, seconds: int) -> DataFrame:
-    """Add the slice number, rising with time; null times sort first, as Spark sorts them.
+def _sliced(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int
+) -> DataFrame:
+    """Rows with the number of their slice, which rises with the order within a key.
 
-    The keys are packed in a struct, which joins and groups null keys like any other.
+    Written out, so that every later step sees the same slices whatever happens to executors. The
+    keys are packed in a struct, which joins and groups null keys like any other.
     """
-    micros = F.unix_micros(F.col(time).cast("timestamp"))
-    number = F.floor(micros / F.lit(seconds * 1_000_000)).cast("bigint")
-    return df.withColumns(
-        {_KEY: F.struct(*keys), _SLICE: F.coalesce(number, F.lit(-(2**62)))}
+    ranged = df.repartitionByRange(slices, *keys, *order)
+    return staged(
+        ranged.withColumns({_KEY: F.struct(*keys), _SLICE: F.spark_partition_id()}), "slices"
     )
 
 
 def _rank_hot(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, seconds: int
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, slices: int
 ) -> DataFrame:
-    sliced = _sliced(df, keys, order[0], seconds)
+    sliced = _sliced(df, keys, order, slices)
     earlier = Window.partitionBy(_KEY).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sliced.groupBy(_KEY, _SLICE)
@@ -101,10 +118,9 @@ def with_ranks(
     df: DataFrame,
     keys: Sequence[str],
     orders: dict[str, Sequence[str]],
-    hot_rows: int = HOT_ROWS,
-    slice_seconds: int = SLICE_SECONDS,
+    sizing: Sizing = Sizing(),
 ) -> DataFrame:
-    """Row numbers per key for each named order; an order is a time column, then tie-breakers.
+    """Row numbers per key for each named order, ascending; an order must tell all rows apart.
 
     All orders of an ordinary key share one shuffle.
     """
@@ -117,12 +133,12 @@ def with_ranks(
             }
         )
 
-    def hot(rows: DataFrame) -> DataFrame:
+    def hot(rows: DataFrame, slices: int) -> DataFrame:
         for name, order in orders.items():
-            rows = _rank_hot(rows, keys, order, name, slice_seconds)
+            rows = _rank_hot(rows, keys, order, name, slices)
         return rows.select(*df.columns, *orders)
 
-    return split_hot(df, keys, cold, hot, hot_rows)
+    return split_hot(df, keys, cold, hot, sizing)
 
 
 def with_neighbour(
@@ -132,20 +148,20 @@ def with_neighbour(
     take: Sequence[str],
     which: str,
     thin: Callable[[DataFrame], DataFrame] = lambda rows: rows,
-    hot_rows: int = HOT_ROWS,
-    slice_seconds: int = SLICE_SECONDS,
+    sizing: Sizing = Sizing(),
 ) -> DataFrame:
     """Add columns of the previous or next row of the same key, and whether there is one.
 
-    `which` is 'prev' or 'next'; `order` is a time column, then tie-breakers, all ascending. `thin`
-    drops rows before that; it must decide within groups of the keys and the time column.
+    `which` is 'prev' or 'next'; `order` is ascending and must tell all rows apart. `thin` brings
+    that about where the input has copies: it folds rows that agree in keys and order.
     """
     step = F.lead if which == "next" else F.lag
     picked = F.struct(*take)
+    columns = thin(df).columns
 
     def unpack(rows: DataFrame, near: Column) -> DataFrame:
         named = [near[c].alias(f"{which}_{c}") for c in take]
-        return rows.select(*df.columns, *named, near.isNotNull().alias(f"has_{which}"))
+        return rows.select(*columns, *named, near.isNotNull().alias(f"has_{which}"))
 
     def cold(rows: DataFrame) -> DataFrame:
         # One shuffle by the keys serves `thin`, which groups more finely, and the window.
@@ -153,8 +169,8 @@ def with_neighbour(
         placed = thin(rows.repartition(*keys))
         return unpack(placed.withColumn(_NEAR, step(picked).over(along)), F.col(_NEAR))
 
-    def hot(rows: DataFrame) -> DataFrame:
-        sliced = _sliced(thin(rows), keys, order[0], slice_seconds)
+    def hot(rows: DataFrame, slices: int) -> DataFrame:
+        sliced = _sliced(thin(rows), keys, order, slices)
         # The row of a slice that the adjacent slice has to see: its first one when looking
         # forward, its last one when looking back.
         outermost = F.min_by if which == "next" else F.max_by
@@ -165,4 +181,4 @@ def with_neighbour(
         joined = sliced.withColumn(_NEAR, step(picked).over(within)).join(across, [_KEY, _SLICE])
         return unpack(joined, F.coalesce(_NEAR, _EDGE))
 
-    return split_hot(df, keys, cold, hot, hot_rows)
+    return split_hot(df, keys, cold, hot, sizing)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waybill.operators.groups import with_neighbour
+from waybill.operators.groups import Sizing, with_neighbour
 
 _RANK = "__rank"
 
@@ -104,15 +104,19 @@ def merge_latest(
     return collapse_latest(target.unionByName(batch), keys, order, tie_break)
 
 
-def scd2(df: DataFrame, keys: Sequence[str], ts: str, **hot: int) -> DataFrame:
+def scd2(
+    df: DataFrame, keys: Sequence[str], ts: str, sizing: Sizing = Sizing()
+) -> DataFrame:
     """Validity intervals from a change log of full images.
 
     There is one version per key and instant (the winner among images of the same instant), valid
     until the next one.
     """
-    following = with_neighbour(
-        df, keys, [ts], [ts], "next", thin=lambda rows: collapse_latest(rows, [*keys, ts], []), **hot
-    )
+
+    def one_per_instant(rows: DataFrame) -> DataFrame:
+        return collapse_latest(rows, [*keys, ts], [])
+
+    following = with_neighbour(df, keys, [ts], [ts], "next", one_per_instant, sizing)
     return following.select(
         "*",
         F.col(ts).alias("valid_from"),

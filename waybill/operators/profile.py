@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from waybill.functions.timestamps import time_shape, zone_name
 from waybill.operators.gold import percent
-from waybill.operators.groups import with_neighbour, with_ranks
+from waybill.operators.groups import Sizing, with_neighbour, with_ranks
 from waybill.schemas import (
     CARRIER_MIX,
     CARRIERS,
@@ -53,17 +53,21 @@ def dq_profile(
         F.count_if("can_be_insurance_anomaly").alias("insurance_flag"),
         F.count_if("can_be_missing_zip").alias("missing_zip"),
     )
-    copies = raw_events.groupBy("event_id").agg(F.count("*").alias("copies"))
-    raw_row = copies.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("events"),
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("repeated_id"),
-    )
     abbr = zone_name(F.col("event_at"))
-    zone_row = raw_events.agg(
-        F.count("*").alias("events"),
+    per_id = raw_events.groupBy("event_id").agg(
+        F.count("*").alias("copies"),
         F.count_if((abbr != "") & ~abbr.isin(list(ZONE_OFFSETS))).alias("unknown_zone"),
         F.count_if(F.col("location_zip").isNull()).alias("no_location"),
     )
+    raw_figures = {
+        "events": F.col("copies"),
+        "repeated_id": F.col("copies") - 1,
+        "unknown_zone": F.col("unknown_zone"),
+        "no_location": F.col("no_location"),
+    }
+    raw_row = per_id.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(name) for name, c in raw_figures.items()]
+    )
     delivered = F.col("event_name") == "delivered"
     latency = F.col("event_received_at") - F.col("event_at")
     event_row = events.agg(
@@ -76,21 +80,21 @@ def dq_profile(
         F.count_if("is_event_on_voided_label").alias("on_voided_label"),
         F.count_if(latency >= F.make_dt_interval(days=F.lit(late_days))).alias("late_arrival"),
     )
-    orphans = events.join(labels.select("label_id"), "label_id", "left_anti")
-    orphan_row = orphans.agg(F.count("*").alias("orphan"))
-    totals = events.agg(F.count("*").alias("total"))
-    orphan_part = orphan_row.select(
-        F.lit("silver_events.orphan").alias("metric"),
-        F.col("orphan").alias("n"),
-        totals.scalar().alias("total"),
-    ).withColumn("pct", percent(F.col("n"), F.col("total")))
+    # Scans are counted per label first, so that the join moves one row per label and task.
+    per_label = events.groupBy("label_id").agg(F.count("*").alias("scans"))
+    known = labels.select("label_id", F.lit(True).alias("__known"))
+    orphan_row = per_label.join(known, "label_id", "left").agg(
+        F.coalesce(F.sum("scans"), F.lit(0)).alias("events"),
+        F.coalesce(F.sum(F.when(F.col("__known").isNull(), F.col("scans"))), F.lit(0)).alias(
+            "orphan"
+        ),
+    )
     parts = [
         unpivot_counts(log_row, "labels", "raw_labels."),
         unpivot_counts(label_row, "labels", "silver_labels."),
         unpivot_counts(raw_row, "events", "raw_events."),
-        unpivot_counts(zone_row, "events", "raw_events."),
         unpivot_counts(event_row, "events", "silver_events."),
-        orphan_part,
+        unpivot_counts(orphan_row, "events", "silver_events."),
     ]
     profile = parts[0]
     for part in parts[1:]:
@@ -107,7 +111,7 @@ def time_shapes(raw_events: DataFrame) -> DataFrame:
     )
 
 
-def out_of_order(events: DataFrame, **hot: int) -> DataFrame:
+def out_of_order(events: DataFrame, sizing: Sizing = Sizing()) -> DataFrame:
     """Rank of each scan of a label by event time and by arrival, flagged where they differ.
 
     Scans without a readable time have no place in the event order and are left out.
@@ -122,7 +126,7 @@ def out_of_order(events: DataFrame, **hot: int) -> DataFrame:
             "event_rank": ["event_at", "event_received_at", "event_id"],
             "arrival_rank": ["event_received_at", "event_at", "event_id"],
         },
-        **hot,
+        sizing,
     )
     return ranked.withColumn("is_out_of_order", F.col("event_rank") != F.col("arrival_rank"))
 
@@ -226,12 +230,20 @@ def promise_audit(labels: DataFrame, sla: Mapping[str, int] = SLA_DAYS) -> DataF
 TRACKED = ["carrier", "service_class", "voided_at"]
 
 
-def change_history(raw_labels: DataFrame, **hot: int) -> DataFrame:
-    """Each row of the change log with what changed since the row before it."""
-    ties = [c for c in raw_labels.columns if c not in ("label_id", "last_updated_at")]
-    before = with_neighbour(
-        raw_labels, ["label_id"], ["last_updated_at", *ties], TRACKED, "prev", **hot
-    )
+def change_history(raw_labels: DataFrame, sizing: Sizing = Sizing()) -> DataFrame:
+    """Each image in the change log with what changed since the image before it.
+
+    An image that landed more than once is one row with its number of copies: landing it again
+    changes nothing.
+    """
+    columns = raw_labels.columns
+    order = ["last_updated_at"]
+    order += [c for c in columns if c not in ("label_id", "last_updated_at")]
+
+    def fold_copies(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*columns).agg(F.count("*").alias("copies"))
+
+    before = with_neighbour(raw_labels, ["label_id"], order, TRACKED, "prev", fold_copies, sizing)
     changed = {
         f"changed_{c}": F.col("has_prev") & ~F.col(c).eqNullSafe(F.col(f"prev_{c}"))
         for c in TRACKED
@@ -246,6 +258,7 @@ def change_history(raw_labels: DataFrame, **hot: int) -> DataFrame:
             *[f"prev_{c}" for c in TRACKED],
             *changed,
             "is_first",
+            "copies",
         )
     )
 

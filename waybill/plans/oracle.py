@@ -603,7 +603,8 @@ ORACLES: dict[str, str] = {
           prev_service_class, prev_voided_at,
           nr > 1 and carrier is distinct from prev_carrier changed_carrier,
           nr > 1 and service_class is distinct from prev_service_class changed_service_class,
-          nr > 1 and voided_at is distinct from prev_voided_at changed_voided_at, nr = 1 is_first
+          nr > 1 and voided_at is distinct from prev_voided_at changed_voided_at, nr = 1 is_first,
+          1::bigint copies
         from ({_BEFORE})""",
     ),
     "void_profile": after(

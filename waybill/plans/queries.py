@@ -17,7 +17,8 @@ from waybill.functions.payload import parse_payload as _parse_payload
 from waybill.operators import gold, latest, profile, quality, silver
 from waybill.schemas import DELIVERY_PERFORMANCE, RAW_EVENTS, RAW_LABELS
 from waybill.sources import parcels
-from waybill.sources.tables import staged, with_ingestion
+from waybill.sources.scratch import staged
+from waybill.sources.tables import with_ingestion
 from waybill.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,10 +58,14 @@ class Layers:
     def gold(self) -> DataFrame:
         return gold.delivery_performance(self.labels, self.events)
 
-    def stored(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """Silver labels, Silver events and the mart, each written once and read back."""
+    def stored_silver(self) -> tuple[DataFrame, DataFrame]:
+        """Silver labels and events, each written once and read back."""
         labels = staged(self.labels, "silver_labels")
-        events = staged(silver.silver_events(self.raw_events, labels), "silver_events")
+        return labels, staged(silver.silver_events(self.raw_events, labels), "silver_events")
+
+    def stored(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """As `stored_silver`, and the mart."""
+        labels, events = self.stored_silver()
         return labels, events, staged(gold.delivery_performance(labels, events), "gold")
 
 
@@ -350,13 +355,13 @@ def data_freshness(x: Layers) -> DataFrame:
 
 @query
 def dq_profile(x: Layers) -> DataFrame:
-    labels, events, _ = x.stored()
+    labels, events = x.stored_silver()
     return profile.dq_profile(x.raw_labels, x.raw_events, labels, events)
 
 
 @query
 def out_of_order(x: Layers) -> DataFrame:
-    return profile.out_of_order(x.events)
+    return profile.out_of_order(x.stored_silver()[1])
 
 
 @query

@@ -32,7 +32,8 @@ from waybill.schemas import (
     SILVER_EVENTS,
     SILVER_LABELS,
 )
-from waybill.sources.tables import Names, ensure_schema, land, materialize, staged
+from waybill.sources.scratch import Scratch, scratch
+from waybill.sources.tables import Names, ensure_schema, land, materialize
 
 PERIOD = "landed_in"
 RAW_TIME = "event_at_raw"
@@ -114,6 +115,7 @@ def _periods(df: DataFrame) -> set[dt.date]:
 
 def upsert(
     models: Models,
+    space: Scratch,
     table: str,
     batch: DataFrame,
     keys: Sequence[str],
@@ -124,19 +126,20 @@ def upsert(
 ) -> None:
     """Merge a batch into a table by key, rewriting only the periods of the keys concerned.
 
-    `home` is the period of a key that is new. `newest` orders old and new rows of a key (order,
-    tie-breakers); without it the batch replaces. `finish` completes the rows before they are
-    written; `also` lists further periods to rewrite.
+    Intermediate results go to `space`. `home` is the period of a key that is new. `newest` orders
+    old and new rows of a key (order, tie-breakers); without it the batch replaces. `finish`
+    completes the rows before they are written; `also` lists further periods to rewrite.
     """
     spark = models.spark
     target = models.stored(table)
     if newest is not None:
         batch = collapse_latest(batch, keys, *newest)
-    incoming = staged(batch, "incoming")
+    incoming = space.write(batch, "incoming")
     # Reads only the keys and the period of the target.
     known = target.select(*keys, PERIOD).join(incoming.select(*keys), list(keys), "left_semi")
-    placed = staged(
-        incoming.join(known, list(keys), "left").withColumn(PERIOD, F.coalesce(PERIOD, home)), "placed"
+    placed = space.write(
+        incoming.join(known, list(keys), "left").withColumn(PERIOD, F.coalesce(PERIOD, home)),
+        "placed",
     )
     periods = _periods(placed) | (_periods(also) if also is not None else set())
     if not periods:
@@ -166,84 +169,108 @@ def apply_batch(
 ) -> Models:
     """Add new raw rows to the raw tables and bring Silver and Gold up to date.
 
-    Applying a batch twice, or batches in another order, ends in the same Silver and Gold rows. A
-    late scan reaches its label, however old: all labels touched by the batch are recomputed from
-    Silver. With `late_days`, scans that took that long to arrive are also listed in a table of
-    their own.
+    A late scan reaches its label, however old: all labels touched by the batch are recomputed from
+    Silver. Batches in another order end in the same Silver and Gold rows, and so does a batch
+    applied again, wholly or after it broke off midway: what is left to do is read off the tables,
+    not remembered. There must be one writer at a time.
+
+    With `late_days`, scans that took that long to arrive are also listed in a table of their own.
     """
-    spark, names = models.spark, models.names
     touched: list[DataFrame] = []
-    reflag: DataFrame | None = None
-
-    if label_rows is not None and not label_rows.isEmpty():
-        land(label_rows, names.raw_labels, RAW_LABELS, "append")
-        batch = stamp(flag_labels(current_labels(label_rows)), run_ts).select(*SILVER_LABELS)
-        ids = staged(batch.select("label_id"), "label_ids")
-        before = staged(_void_state(models, ids, "before"), "void_before")
-        order = (["last_updated_at"], LABEL_TIES)
-        upsert(models, names.silver_labels, batch, ["label_id"], models.period("label_created_at"), order)
-        after = _void_state(models, ids, "after")
-        turned = (
-            after.join(before, "label_id", "left")
-            .where(F.col("after") != F.coalesce("before", F.lit(False)))
-            .select("label_id")
-        )
-        scans = models.stored(names.silver_events)
-        reflag = scans.select("label_id", PERIOD).join(turned, "label_id", "left_semi")
-        touched.append(ids)
-
-    has_events = event_rows is not None and not event_rows.isEmpty()
-    if has_events or reflag is not None:
+    with scratch(models.spark) as space:
+        has_labels = label_rows is not None and not label_rows.isEmpty()
+        has_events = event_rows is not None and not event_rows.isEmpty()
+        reflag = None
+        if has_labels:
+            land(label_rows, models.names.raw_labels, RAW_LABELS, "append")
+            ids = _merge_labels(models, space, label_rows, run_ts)
+            reflag = _wrongly_flagged(models, ids)
+            touched.append(ids)
         if has_events:
-            land(event_rows, names.raw_events, RAW_EVENTS, "append")
-        else:
-            event_rows = spark.createDataFrame([], RAW_EVENTS)
-        batch = staged(_event_rows(event_rows, run_ts), "events")
-        # A later copy of an event may name another label; the former one is touched as well.
-        former = models.silver_events.select("event_id", "label_id").join(
-            batch.select("event_id"), "event_id", "left_semi"
-        )
-        labels_hit = former.select("label_id").unionByName(batch.select("label_id")).distinct()
-        touched.append(staged(labels_hit, "labels_hit"))
-        upsert(
-            models,
-            names.silver_events,
-            batch,
-            ["event_id"],
-            models.period("event_received_at"),
-            (["event_received_at"], event_ties(RAW_TIME)),
-            finish=lambda rows: flag_on_voided(rows, models.silver_labels),
-            also=reflag,
-        )
-        if late_days is not None:
-            _list_late(models, batch, late_days)
-
-    if touched:
-        ids = touched[0]
-        for more in touched[1:]:
-            ids = ids.unionByName(more)
-        ids = ids.distinct()
-        labels = models.silver_labels.join(ids, "label_id", "left_semi")
-        events = models.silver_events.join(ids, "label_id", "left_semi")
-        mart = delivery_performance(labels, events, run_ts)
-        upsert(models, names.gold, mart, ["label_id"], models.period("label_created_at"))
+            land(event_rows, models.names.raw_events, RAW_EVENTS, "append")
+        if has_events or has_labels:
+            rows = event_rows if has_events else models.spark.createDataFrame([], RAW_EVENTS)
+            batch = space.write(_event_rows(rows, run_ts), "events")
+            _merge_events(models, space, batch, reflag)
+            touched.append(_labels_of(models, batch))
+            if late_days is not None:
+                _list_late(models, space, batch, late_days)
+            _recompute_mart(models, space, touched, run_ts)
     return models
 
 
-def _void_state(models: Models, ids: DataFrame, name: str) -> DataFrame:
-    states = models.silver_labels.join(ids, "label_id", "left_semi")
-    return states.select("label_id", F.col("voided_at").isNotNull().alias(name))
+def _merge_labels(
+    models: Models, space: Scratch, label_rows: DataFrame, run_ts: dt.datetime | None
+) -> DataFrame:
+    """Bring Silver labels up to date; the ids in the batch."""
+    latest = stamp(flag_labels(current_labels(label_rows)), run_ts).select(*SILVER_LABELS)
+    batch = space.write(latest, "labels")
+    home = models.period("label_created_at")
+    newest = (["last_updated_at"], LABEL_TIES)
+    upsert(models, space, models.names.silver_labels, batch, ["label_id"], home, newest)
+    return batch.select("label_id")
 
 
-def _list_late(models: Models, batch: DataFrame, late_days: int) -> None:
-    spark, names = models.spark, models.names
+def _wrongly_flagged(models: Models, ids: DataFrame) -> DataFrame:
+    """Periods with stored scans of these labels whose void flag no longer holds."""
+    state = models.silver_labels.join(ids, "label_id", "left_semi").select(
+        "label_id", F.col("voided_at").isNotNull().alias("__voided")
+    )
+    scans = models.stored(models.names.silver_events)
+    return (
+        scans.select("label_id", "is_event_on_voided_label", PERIOD)
+        .join(state, "label_id")
+        .where(F.col("is_event_on_voided_label") != F.col("__voided"))
+        .select(PERIOD)
+    )
+
+
+def _merge_events(
+    models: Models, space: Scratch, batch: DataFrame, reflag: DataFrame | None
+) -> None:
+    upsert(
+        models,
+        space,
+        models.names.silver_events,
+        batch,
+        ["event_id"],
+        models.period("event_received_at"),
+        (["event_received_at"], event_ties(RAW_TIME)),
+        finish=lambda rows: flag_on_voided(rows, models.silver_labels),
+        also=reflag,
+    )
+
+
+def _labels_of(models: Models, batch: DataFrame) -> DataFrame:
+    """Labels of these events under any of their copies: a later copy may name another label."""
+    raw = models.stored(models.names.raw_events).select("event_id", "label_id")
+    return raw.join(batch.select("event_id"), "event_id", "left_semi").select("label_id")
+
+
+def _list_late(models: Models, space: Scratch, batch: DataFrame, late_days: int) -> None:
+    table = models.names.late_events
     age = F.col("event_received_at") - F.col("event_at")
     late = batch.where(age >= F.make_dt_interval(days=F.lit(late_days)))
-    if not spark.catalog.tableExists(names.late_events):
-        empty = late.limit(0).withColumn(PERIOD, models.period("event_received_at"))
-        materialize(empty, names.late_events, [PERIOD])
-    order = (["event_received_at"], event_ties(RAW_TIME))
-    upsert(models, names.late_events, late, ["event_id"], models.period("event_received_at"), order)
+    home = models.period("event_received_at")
+    if not models.spark.catalog.tableExists(table):
+        materialize(late.limit(0).withColumn(PERIOD, home), table, [PERIOD])
+    newest = (["event_received_at"], event_ties(RAW_TIME))
+    upsert(models, space, table, late, ["event_id"], home, newest)
+
+
+def _recompute_mart(
+    models: Models, space: Scratch, touched: list[DataFrame], run_ts: dt.datetime | None
+) -> None:
+    ids = touched[0]
+    for more in touched[1:]:
+        ids = ids.unionByName(more)
+    ids = space.write(ids.distinct(), "touched")
+    labels = models.silver_labels.join(ids, "label_id", "left_semi")
+    events = models.silver_events.join(ids, "label_id", "left_semi")
+    mart = delivery_performance(labels, events, run_ts)
+    upsert(
+        models, space, models.names.gold, mart, ["label_id"], models.period("label_created_at")
+    )
 
 
 def quarantine_orphans(models: Models, run_ts: dt.datetime | None = None) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -12,7 +11,6 @@ from pyspark.sql import types as T
 
 from waybill.operators.quality import land_contract
 from waybill.schemas import RAW_EVENTS, RAW_LABELS
-from waybill.session import shared_folder
 
 SAVE_MODES = ("overwrite", "append", "ignore")
 
@@ -178,17 +176,5 @@ def materialize(
     return spark.read.table(table)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write a result that several later steps read to the shared folder and read it back.
-
-    Readers then prune columns and push filters into it, and a lost executor costs a re-read of
-    files instead of the whole lineage.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/waybill/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def preview(df: DataFrame, rows: int = 10) -> DataFrame:
     return df.limit(rows)
