@@ -23,6 +23,7 @@ def spark(tmp_path_factory):
         "tests",
         **{
             "spark.sql.warehouse.dir": str(warehouse),
+            "spark.sql.shuffle.partitions": "3",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )

@@ -23,13 +23,22 @@ def raw(labels_of, events_of):
         ),
         label("l4", carrier="FEDEX"),
     )
+    def scan(event_id, label_id, kind, day, received):
+        return event(
+            event_id,
+            label_id,
+            event_type=kind,
+            event_at=f"2026-06-{day:02d}T00:00:00Z",
+            event_received_at=at(f"2026-06-{received}"),
+        )
+
     events = events_of(
-        event("a", "l1", event_type="PICKUP", event_at="2026-06-02T00:00:00Z", event_received_at=at("2026-06-02 00:00:05")),
-        event("b", "l1", event_type="IN_TRANSIT", event_at="2026-06-03T00:00:00Z", event_received_at=at("2026-06-09 00:00:00")),
-        event("c", "l1", event_type="OUT_FOR_DELIVERY", event_at="2026-06-04T00:00:00Z", event_received_at=at("2026-06-04 00:00:10")),
-        event("d", "l1", event_at="2026-06-05T00:00:00Z", event_received_at=at("2026-06-05 00:00:00")),
-        event("e", "l3", event_type="PICKUP", event_at="2026-06-03T00:00:00Z", event_received_at=at("2026-06-03 00:00:00")),
-        event("f", "l3", event_type=None, event_at="2026-06-05T00:00:00Z", event_received_at=at("2026-06-11 00:00:00")),
+        scan("a", "l1", "PICKUP", 2, "02 00:00:05"),
+        scan("b", "l1", "IN_TRANSIT", 3, "09 00:00:00"),
+        scan("c", "l1", "OUT_FOR_DELIVERY", 4, "04 00:00:10"),
+        scan("d", "l1", "DELIVERED", 5, "05 00:00:00"),
+        scan("e", "l3", "PICKUP", 3, "03 00:00:00"),
+        scan("f", "l3", None, 5, "11 00:00:00"),
         event("g", "nowhere", event_at="2026-06-05T00:00:00 HST", location_zip=None),
         event("h", "l4", event_at="junk"),
         event("h", "l4", event_at="junk", event_received_at=at("2026-06-01 00:00:00")),

@@ -58,19 +58,21 @@ def test_batches_by_arrival(spark, parcel_rows):
     models = fresh(spark)
     start_empty(models)
     labels, events = parcel_rows
-    for low, high in (("1900", "1998"), ("1998", "2000"), ("2000", "2100")):
-        window = lambda c: (F.year(c) >= int(low)) & (F.year(c) < int(high))
+    for low, high in ((1900, 1997), (1998, 1999), (2000, 2100)):
         apply_batch(
             models,
-            labels.where(window("last_updated_at")),
-            events.where(window("event_received_at")),
+            labels.where(F.year("last_updated_at").between(low, high)),
+            events.where(F.year("event_received_at").between(low, high)),
         )
     assert_full(models, labels, events)
 
 
 def small_log() -> tuple[list[dict], list[dict]]:
     rng = random.Random(11)
-    hour = lambda: at(f"2026-06-{rng.randrange(1, 9):02d} {rng.randrange(24):02d}:00:00")
+
+    def hour():
+        return at(f"2026-06-{rng.randrange(1, 9):02d} {rng.randrange(24):02d}:00:00")
+
     labels = [
         label(
             f"l{rng.randrange(12)}",
@@ -113,9 +115,11 @@ def test_any_order_and_repeats_give_the_same(spark, labels_of, events_of):
 def test_late_void_reaches_stored_scans(spark, labels_of, events_of):
     models = fresh(spark, "month")
     start_empty(models)
-    apply_batch(models, labels_of(label("l1"), label("l2")), events_of(event("e1"), event("e2", "l2")))
+    scans = events_of(event("e1"), event("e2", "l2"))
+    apply_batch(models, labels_of(label("l1"), label("l2")), scans)
     assert models.silver_events.where("is_event_on_voided_label").isEmpty()
-    voided = label("l1", voided_at=at("2026-06-03 00:00:00"), last_updated_at=at("2026-06-03 00:00:00"))
+    noon = at("2026-06-03 12:00:00")
+    voided = label("l1", voided_at=noon, last_updated_at=noon)
     apply_batch(models, labels_of(voided))
     flagged = models.silver_events.where("is_event_on_voided_label").collect()
     assert [r.event_id for r in flagged] == ["e1"]
@@ -140,7 +144,12 @@ def test_only_touched_periods_are_rewritten(spark, labels_of, events_of):
     first = label("l1")
     second = label("l2", label_created_at=at("2026-06-20 00:00:00"))
     apply_batch(models, labels_of(first, second))
-    files = lambda: {r.f for r in spark.read.table(models.names.gold).selectExpr("input_file_name() f").collect()}
+
+
+    def files() -> set[str]:
+        mart = spark.read.table(models.names.gold)
+        return {r.f for r in mart.selectExpr("input_file_name() f").collect()}
+
     before = files()
     apply_batch(models, event_rows=events_of(event("e1", "l2")))
     after = files()
@@ -148,6 +157,17 @@ def test_only_touched_periods_are_rewritten(spark, labels_of, events_of):
     assert len(before) == 2 and len(kept) == 1 and "2026-06-01" in kept.pop()
 
 
+def test_rows_without_a_time_are_kept(spark, labels_of, events_of):
+    models = fresh(spark, "month")
+    start_empty(models)
+    undated = labels_of(label("l1"), label("l2")).withColumn(
+        "label_created_at", F.lit(None).cast("timestamp")
+    )
+    for name in ("l1", "l2"):
+        apply_batch(models, undated.where(F.col("label_id") == name))
+    assert_full(models, undated, events_of(event()).limit(0))
+
+
 def test_orphans_are_published(spark, labels_of, events_of):
     models = fresh(spark, "month")
     start_empty(models)
@@ -183,5 +203,6 @@ def test_dedup_stream_keeps_one_copy(spark, events_of, tmp_path):
     events_of(repeat, event("e3")).coalesce(1).write.mode("append").parquet(inbox)
     unique = dedup_stream(file_events(spark, inbox, files_per_batch=1))
     sink = unique.writeStream.format("memory").queryName("feed").outputMode("append")
-    sink.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    sink = sink.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True)
+    sink.start().awaitTermination()
     assert sorted(r.event_id for r in spark.read.table("feed").collect()) == ["e1", "e2", "e3"]

@@ -62,7 +62,8 @@ def test_ties_are_settled_the_same_way_whatever_the_order(labels_of):
 
 
 def test_collapse_is_idempotent(labels_of):
-    raw = labels_of(label("l1"), label("l1", last_updated_at=at("2026-06-02 00:00:00")), label("l2"))
+    newer = label("l1", last_updated_at=at("2026-06-02 00:00:00"))
+    raw = labels_of(label("l1"), newer, label("l2"))
     once = silver.current_labels(raw)
     assert same_rows(once, silver.current_labels(once))
 

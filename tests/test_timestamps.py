@@ -79,10 +79,12 @@ def test_fallback_keeps_the_flag(spark):
 
 def test_round_trip_of_local_times(spark):
     """Local time plus abbreviation leads back to the instant, for every hour of a day."""
-    offsets = {"EST": -5, "EDT": -4, "CST": -6, "CDT": -5, "MST": -7, "MDT": -6, "PST": -8, "PDT": -7}
-    zones = spark.createDataFrame(list(offsets.items()), "zone string, hours int")
+    names = ["EST", "EDT", "CST", "CDT", "MST", "MDT", "PST", "PDT"]
+    offsets = list(zip(names, [-5, -4, -6, -5, -7, -6, -8, -7]))
+    zones = spark.createDataFrame(offsets, "zone string, hours int")
+    hour = F.make_dt_interval(hours=F.col("id").cast("int"))
     times = spark.range(24).select(
-        (F.lit("2026-03-08 00:00:00").cast("timestamp") + F.make_dt_interval(hours=F.col("id").cast("int"))).alias("utc")
+        (F.lit("2026-03-08 00:00:00").cast("timestamp") + hour).alias("utc")
     )
     local = F.date_format(
         F.col("utc") + F.make_dt_interval(hours=F.col("hours")), "yyyy-MM-dd'T'HH:mm:ss"

@@ -280,9 +280,10 @@ class GateFailed(AssertionError):
 def enforce(results: DataFrame) -> int:
     """Raise if any check failed; otherwise the number of checks. Runs every check first."""
     outcome = results.collect()  # one row per check
-    failed = [f"{r.check_name} ({r.observed}, wanted {r.threshold})" for r in outcome if not r.passed]
+    failed = [r for r in outcome if not r.passed]
     if failed:
-        raise GateFailed(f"{len(failed)} of {len(outcome)} checks failed: " + "; ".join(failed))
+        shown = "; ".join(f"{r.check_name} ({r.observed}, wanted {r.threshold})" for r in failed)
+        raise GateFailed(f"{len(failed)} of {len(outcome)} checks failed: {shown}")
     return len(outcome)
 
 
@@ -293,7 +294,9 @@ def idempotency_snapshot(gold: DataFrame) -> DataFrame:
     )
 
 
-def parity(left: DataFrame, right: DataFrame, ignore: Sequence[str] = ("inserted_at",)) -> DataFrame:
+def parity(
+    left: DataFrame, right: DataFrame, ignore: Sequence[str] = ("inserted_at",)
+) -> DataFrame:
     """Rows that differ between two builds, with how often each side has them.
 
     One aggregate over both sides instead of two set differences. Rows must have no map columns.

@@ -214,6 +214,14 @@ def delays_by(dimension: str, value: str) -> str:
     return f"select '{dimension}' dimension, {value} as cluster, {DELAYS} from late group by {value}"
 
 
+LABELS_REQUIRED = (
+    "label_id customer_id carrier service_class origin_zip dest_zip weight_oz "
+    "label_created_at carrier_promised_delivery_at last_updated_at"
+)
+
+EVENTS_REQUIRED = "event_id label_id carrier event_at event_received_at"
+
+
 def nulls(table: str, columns: str) -> str:
     return "\nunion all\n".join(
         f"""select '{c}' column_name, count(*) as rows, count(*) - count({c}) nulls,
@@ -325,18 +333,8 @@ ORACLES: dict[str, str] = {
     # ---- raw
     "raw_labels": after("raw_labels", "select * from raw_labels"),
     "raw_events": after("raw_events", "select * from raw_events"),
-    "land_contract_labels": after(
-        "raw_labels",
-        nulls(
-            "raw_labels",
-            "label_id customer_id carrier service_class origin_zip dest_zip weight_oz "
-            "label_created_at carrier_promised_delivery_at last_updated_at",
-        ),
-    ),
-    "land_contract_events": after(
-        "raw_events",
-        nulls("raw_events", "event_id label_id carrier event_at event_received_at"),
-    ),
+    "land_contract_labels": after("raw_labels", nulls("raw_labels", LABELS_REQUIRED)),
+    "land_contract_events": after("raw_events", nulls("raw_events", EVENTS_REQUIRED)),
     "ingestion_metadata": after(
         "raw_events",
         "select 'batch-1' _ingestion_batch_id, count(*) as rows, count(*) timed from raw_events",
@@ -794,7 +792,19 @@ ORACLES: dict[str, str] = {
         """select count(*) differing_rows, coalesce(sum(1), 0)::bigint differences from (
         select * from gold except all select * from gold)""",
     ),
-    # ---- incremental and streaming
+    # ---- tables, incremental loads, streaming
+    "land_and_validate": after(
+        "raw_labels raw_events",
+        f"""select landed, n as rows, case when (select bool_and(passed) from (
+            {nulls("raw_labels", LABELS_REQUIRED)} union all
+            {nulls("raw_events", EVENTS_REQUIRED)}))
+          then 'success' else 'success_with_warnings' end status
+        from (select 'labels' landed, count(*) n from raw_labels
+          union all select 'events', count(*) from raw_events)""",
+    ),
+    "full_refresh": after("gold", "select * from gold"),
+    "incremental_silver_events": after("silver_events", "select * from silver_events"),
+    "incremental_delivery_performance": after("gold", "select * from gold"),
     "stream_silver_events": after("silver_events", "select * from silver_events"),
     "stream_delivery_performance": after("gold", "select * from gold"),
     "stream_dedup_events": after("raw_events", "select distinct event_id from raw_events"),

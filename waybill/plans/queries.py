@@ -15,10 +15,11 @@ from waybill.functions import flags
 from waybill.functions import timestamps as times
 from waybill.functions.payload import parse_payload as _parse_payload
 from waybill.operators import gold, latest, profile, quality, silver
+from waybill.plans import refresh
 from waybill.schemas import DELIVERY_PERFORMANCE, RAW_EVENTS, RAW_LABELS
 from waybill.sources import parcels
 from waybill.sources.scratch import staged
-from waybill.sources.tables import with_ingestion
+from waybill.sources.tables import land_all, land_and_report, with_ingestion
 from waybill.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -476,17 +477,57 @@ def parity(x: Layers) -> DataFrame:
     return quality.parity_summary(built, other)
 
 
-# ---- Incremental and streaming -----------------------------------------------------------
+# ---- Tables, incremental loads, streaming -------------------------------------------------
+
+
+@query
+def land_and_validate(x: Layers) -> DataFrame:
+    """Land both raw tables, check them, report."""
+    with refresh.throwaway(x.spark) as models:
+        report = land_and_report(x.raw_labels, x.raw_events, models.names)
+    rows = [(name, report[f"{name}_count"], report["status"]) for name in ("labels", "events")]
+    return x.spark.createDataFrame(rows, "landed string, rows bigint, status string")
+
+
+@query
+def full_refresh(x: Layers) -> DataFrame:
+    """The mart from published tables."""
+    with refresh.throwaway(x.spark) as models:
+        land_all(x.raw_labels, x.raw_events, models.names)
+        return staged(refresh.full_refresh(models).gold, "gold")
+
+
+def _in_two_batches(x: Layers, pick: Callable[[refresh.Models], DataFrame]) -> DataFrame:
+    """Everything up to a day, then the rest on top of it."""
+    with refresh.throwaway(x.spark) as models:
+        refresh.start_empty(models)
+        for part in (lambda t: F.col(t) < CUTOFF, lambda t: F.col(t) >= CUTOFF):
+            refresh.apply_batch(
+                models,
+                x.raw_labels.where(part("last_updated_at")),
+                x.raw_events.where(part("event_received_at")),
+            )
+        return staged(pick(models), "batches")
+
+
+@query
+def incremental_silver_events(x: Layers) -> DataFrame:
+    return _in_two_batches(x, lambda models: models.silver_events)
+
+
+@query
+def incremental_delivery_performance(x: Layers) -> DataFrame:
+    return _in_two_batches(x, lambda models: models.gold)
 
 
 @query
 def stream_silver_events(x: Layers) -> DataFrame:
-    return jobs.replay(x.spark, x.folder).silver_events
+    return jobs.replay(x.spark, x.folder, lambda models: models.silver_events)
 
 
 @query
 def stream_delivery_performance(x: Layers) -> DataFrame:
-    return jobs.replay(x.spark, x.folder).gold
+    return jobs.replay(x.spark, x.folder, lambda models: models.gold)
 
 
 @query

@@ -8,7 +8,8 @@ never has to remove a row from a period it does not rewrite.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -32,10 +33,12 @@ from waybill.schemas import (
     SILVER_EVENTS,
     SILVER_LABELS,
 )
+from waybill.session import shared_folder
 from waybill.sources.scratch import Scratch, scratch
-from waybill.sources.tables import Names, ensure_schema, land, materialize
+from waybill.sources.tables import Names, conform, ensure_schema, land, materialize
 
 PERIOD = "landed_in"
+NO_TIME = dt.date(1900, 1, 1)
 RAW_TIME = "event_at_raw"
 
 LABEL_TIES = [c for c in RAW_LABELS.names if c not in ("label_id", "last_updated_at")]
@@ -50,8 +53,11 @@ class Models:
     grain: str = "day"
 
     def period(self, time: str) -> Column:
-        """Partition of a row that is new: the period (day, month, ...) of its time."""
-        return F.to_date(F.date_trunc(self.grain, time))
+        """Partition of a row that is new: the period (day, month, ...) of its time.
+
+        Rows without one share a period, so that there is never a null to look for.
+        """
+        return F.coalesce(F.to_date(F.date_trunc(self.grain, time)), F.lit(NO_TIME))
 
     def stored(self, table: str) -> DataFrame:
         """A table as it is now: another session, such as that of a stream, may have written it."""
@@ -97,7 +103,7 @@ def full_refresh(models: Models, run_ts: dt.datetime | None = None) -> Models:
 
 
 @contextmanager
-def _replacing_partitions(spark: SparkSession):
+def _replacing_partitions(spark: SparkSession) -> Iterator[None]:
     """Overwrite only the partitions that are written to, at the commit of the job."""
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
@@ -126,19 +132,17 @@ def upsert(
 ) -> None:
     """Merge a batch into a table by key, rewriting only the periods of the keys concerned.
 
-    Intermediate results go to `space`. `home` is the period of a key that is new. `newest` orders
-    old and new rows of a key (order, tie-breakers); without it the batch replaces. `finish`
-    completes the rows before they are written; `also` lists further periods to rewrite.
+    The batch has one row per key and is cheap to read again. Intermediate results go to `space`.
+    `home` is the period of a key that is new. `newest` orders old and new rows of a key (order,
+    tie-breakers); without it the batch replaces. `finish` completes the rows before they are
+    written; `also` lists further periods to rewrite.
     """
     spark = models.spark
     target = models.stored(table)
-    if newest is not None:
-        batch = collapse_latest(batch, keys, *newest)
-    incoming = space.write(batch, "incoming")
     # Reads only the keys and the period of the target.
-    known = target.select(*keys, PERIOD).join(incoming.select(*keys), list(keys), "left_semi")
+    known = target.select(*keys, PERIOD).join(batch.select(*keys), list(keys), "left_semi")
     placed = space.write(
-        incoming.join(known, list(keys), "left").withColumn(PERIOD, F.coalesce(PERIOD, home)),
+        batch.join(known, list(keys), "left").withColumn(PERIOD, F.coalesce(PERIOD, home)),
         "placed",
     )
     periods = _periods(placed) | (_periods(also) if also is not None else set())
@@ -178,6 +182,11 @@ def apply_batch(
     """
     touched: list[DataFrame] = []
     with scratch(models.spark) as space:
+        # The batch is read several times below; its source is read once.
+        if label_rows is not None:
+            label_rows = space.write(conform(label_rows, RAW_LABELS), "label_rows")
+        if event_rows is not None:
+            event_rows = space.write(conform(event_rows, RAW_EVENTS), "event_rows")
         has_labels = label_rows is not None and not label_rows.isEmpty()
         has_events = event_rows is not None and not event_rows.isEmpty()
         reflag = None
@@ -267,7 +276,7 @@ def _recompute_mart(
     ids = space.write(ids.distinct(), "touched")
     labels = models.silver_labels.join(ids, "label_id", "left_semi")
     events = models.silver_events.join(ids, "label_id", "left_semi")
-    mart = delivery_performance(labels, events, run_ts)
+    mart = space.write(delivery_performance(labels, events, run_ts), "mart")
     upsert(
         models, space, models.names.gold, mart, ["label_id"], models.period("label_created_at")
     )
@@ -279,6 +288,21 @@ def quarantine_orphans(models: Models, run_ts: dt.datetime | None = None) -> Dat
     return materialize(lost, models.names.orphaned_events)
 
 
+@contextmanager
+def throwaway(spark: SparkSession, grain: str = "year") -> Iterator[Models]:
+    """Tables of their own in the shared folder, dropped when the block ends."""
+    run = f"run_{uuid.uuid4().hex[:12]}"
+    models = Models(spark, Names(prefix=f"{run}_"), grain)
+    schemas = [models.names.schema(layer) for layer in ("raw", "silver", "gold")]
+    for schema in schemas:
+        ensure_schema(spark, schema, f"{shared_folder(spark)}/waybill/{run}/{schema}")
+    try:
+        yield models
+    finally:
+        for schema in schemas:
+            spark.sql(f"DROP SCHEMA IF EXISTS {schema} CASCADE")
+
+
 def start_empty(models: Models) -> Models:
     """Create all tables with no rows, for a run that is incremental from the start."""
     spark, names = models.spark, models.names

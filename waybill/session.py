@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -40,7 +41,16 @@ def local_session(cores: int | str = 8, app: str = "waybill", **extra: str) -> S
     return spark
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="waybill-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder, or a temporary one where none is set (tests)."""
+    """The shared folder the cluster names; a temporary one only where there is no cluster."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured or tempfile.mkdtemp(prefix="waybill-")
+    if configured:
+        return configured
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return _local_folder()

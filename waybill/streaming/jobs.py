@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from waybill.plans.refresh import Models, apply_batch, full_refresh
-from waybill.schemas import RAW_EVENTS, RAW_LABELS
+from waybill.plans.refresh import Models, apply_batch, start_empty, throwaway
+from waybill.schemas import RAW_EVENTS
 from waybill.session import shared_folder
 from waybill.sources import parcels
-from waybill.sources.tables import Names, ensure_schema, land
+from waybill.sources.scratch import staged
 
 LATENESS = "8 days"
 
@@ -31,8 +33,6 @@ def file_events(
 
 def bus_events(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     """A stream of raw scans from JSON messages on Kafka (needs Spark's Kafka package)."""
-    from pyspark.sql import functions as F
-
     messages = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -86,26 +86,21 @@ def _stream_of(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(path[:-1] + f"[{path[-1]}]")
 
 
-def replay(spark: SparkSession, folder: str) -> Models:
-    """Feed the scans of a data folder through the stream into fresh tables."""
-    run = f"replay_{uuid.uuid4().hex[:12]}"
-    root = f"{shared_folder(spark)}/waybill/{run}"
-    names = Names(prefix=f"{run}_")
-    for layer in ("raw", "silver", "gold"):
-        ensure_schema(spark, names.schema(layer), f"{root}/{layer}")
+def replay(spark: SparkSession, folder: str, pick: Callable[[Models], DataFrame]) -> DataFrame:
+    """Feed the scans of a data folder through the stream and keep one of the resulting tables."""
     orders = parcels.table(spark, folder, "orders")
-    land(parcels.raw_labels(orders), names.raw_labels, RAW_LABELS)
-    empty = spark.createDataFrame([], RAW_EVENTS)
-    empty.write.format("parquet").saveAsTable(names.raw_events)
-    models = full_refresh(Models(spark, names, grain="year"))
     scans = parcels.raw_events(orders, _stream_of(spark, folder, "lineitem"))
-    keep_current(scans, models, f"{root}/checkpoint").awaitTermination()
-    return models
+    with throwaway(spark) as models:
+        start_empty(models)
+        apply_batch(models, label_rows=parcels.raw_labels(orders))
+        checkpoint = f"{shared_folder(spark)}/waybill/{uuid.uuid4().hex}"
+        keep_current(scans, models, checkpoint).awaitTermination()
+        return staged(pick(models), "replay")
 
 
 def replay_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Event ids that come out of the deduplicated stream of a data folder."""
-    root = f"{shared_folder(spark)}/waybill/dedup_{uuid.uuid4().hex[:12]}"
+    root = f"{shared_folder(spark)}/waybill/{uuid.uuid4().hex}"
     orders = parcels.table(spark, folder, "orders")
     scans = parcels.raw_events(orders, _stream_of(spark, folder, "lineitem"))
     feed = dedup_stream(scans).select("event_id")
