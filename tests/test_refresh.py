@@ -168,6 +168,16 @@ def test_rows_without_a_time_are_kept(spark, labels_of, events_of):
     assert_full(models, undated, events_of(event()).limit(0))
 
 
+def test_batch_ids_go_on(spark, labels_of, events_of):
+    models = fresh(spark)
+    land_all(labels_of(label("l1")), events_of(event("e1")), models.names, batch_id="b1")
+    full_refresh(models)
+    apply_batch(models, event_rows=events_of(event("e2")), batch_id="b2")
+    raw = spark.read.table(models.names.raw_events)
+    assert {r.event_id: r._ingestion_batch_id for r in raw.collect()} == {"e1": "b1", "e2": "b2"}
+    assert models.silver_events.count() == 2
+
+
 def test_orphans_are_published(spark, labels_of, events_of):
     models = fresh(spark, "month")
     start_empty(models)

@@ -33,7 +33,7 @@ from waybill.schemas import (
     SILVER_EVENTS,
     SILVER_LABELS,
 )
-from waybill.session import shared_folder
+from waybill.session import configure, shared_folder
 from waybill.sources.scratch import Scratch, scratch
 from waybill.sources.tables import Names, conform, ensure_schema, land, materialize
 
@@ -86,19 +86,21 @@ def _event_rows(raw_events: DataFrame, run_ts: dt.datetime | None) -> DataFrame:
 
 def full_refresh(models: Models, run_ts: dt.datetime | None = None) -> Models:
     """Rebuild Silver and Gold from the raw tables. Each model is read back before the next."""
-    spark, names = models.spark, models.names
+    spark, names = configure(models.spark), models.names
     raw_labels = spark.read.table(names.raw_labels).select(*RAW_LABELS.names)
     raw_events = spark.read.table(names.raw_events).select(*RAW_EVENTS.names)
 
     labels = stamp(flag_labels(current_labels(raw_labels)), run_ts).select(*SILVER_LABELS)
-    materialize(labels.withColumn(PERIOD, models.period("label_created_at")), names.silver_labels, [PERIOD])
+    by_creation = models.period("label_created_at")
+    materialize(labels.withColumn(PERIOD, by_creation), names.silver_labels, [PERIOD])
 
     events = flag_on_voided(_event_rows(raw_events, run_ts), models.silver_labels)
-    placed = events.select(*SILVER_EVENTS, RAW_TIME, models.period("event_received_at").alias(PERIOD))
+    by_receipt = models.period("event_received_at").alias(PERIOD)
+    placed = events.select(*SILVER_EVENTS, RAW_TIME, by_receipt)
     materialize(placed, names.silver_events, [PERIOD])
 
     mart = delivery_performance(models.silver_labels, models.silver_events, run_ts)
-    materialize(mart.withColumn(PERIOD, models.period("label_created_at")), names.gold, [PERIOD])
+    materialize(mart.withColumn(PERIOD, by_creation), names.gold, [PERIOD])
     return models
 
 
@@ -170,6 +172,7 @@ def apply_batch(
     event_rows: DataFrame | None = None,
     run_ts: dt.datetime | None = None,
     late_days: int | None = None,
+    batch_id: str | None = None,
 ) -> Models:
     """Add new raw rows to the raw tables and bring Silver and Gold up to date.
 
@@ -179,7 +182,9 @@ def apply_batch(
     not remembered. There must be one writer at a time.
 
     With `late_days`, scans that took that long to arrive are also listed in a table of their own.
+    Raw tables landed with batch ids need a `batch_id` here too.
     """
+    configure(models.spark)
     touched: list[DataFrame] = []
     with scratch(models.spark) as space:
         # The batch is read several times below; its source is read once.
@@ -191,12 +196,12 @@ def apply_batch(
         has_events = event_rows is not None and not event_rows.isEmpty()
         reflag = None
         if has_labels:
-            land(label_rows, models.names.raw_labels, RAW_LABELS, "append")
+            land(label_rows, models.names.raw_labels, RAW_LABELS, "append", batch_id)
             ids = _merge_labels(models, space, label_rows, run_ts)
             reflag = _wrongly_flagged(models, ids)
             touched.append(ids)
         if has_events:
-            land(event_rows, models.names.raw_events, RAW_EVENTS, "append")
+            land(event_rows, models.names.raw_events, RAW_EVENTS, "append", batch_id)
         if has_events or has_labels:
             rows = event_rows if has_events else models.spark.createDataFrame([], RAW_EVENTS)
             batch = space.write(_event_rows(rows, run_ts), "events")

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from waybill.operators.quality import land_contract
 from waybill.schemas import RAW_EVENTS, RAW_LABELS
+from waybill.session import configure
 
 SAVE_MODES = ("overwrite", "append", "ignore")
 
@@ -98,12 +99,12 @@ def land(
     """
     if mode not in SAVE_MODES:
         raise ValueError(f"mode must be one of {', '.join(SAVE_MODES)}")
+    spark = configure(df.sparkSession)
     fixed = conform(df, schema)
     if fixed.isEmpty():
         raise ValueError(f"no rows to land in {table}")
     if batch_id is not None:
         fixed = with_ingestion(fixed, batch_id)
-    spark = df.sparkSession
     if mode == "ignore" and spark.catalog.tableExists(table):
         return 0
     counted = Observation()
