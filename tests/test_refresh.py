@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import DATA, at, event, label, same_rows
 from waybill.operators import gold, silver
+from waybill.plans import refresh
 from waybill.plans.refresh import (
     Models,
     apply_batch,
@@ -112,6 +113,33 @@ def test_any_order_and_repeats_give_the_same(spark, labels_of, events_of):
     assert_full(models, labels_of(*labels), events_of(*events))
 
 
+@pytest.mark.parametrize("step", ["_wrongly_flagged", "_merge_events", "_recompute_mart"])
+def test_a_batch_that_broke_off_can_be_applied_again(
+    spark, labels_of, events_of, monkeypatch, step
+):
+    """A void and a scan that moves to another label, cut short at each step."""
+    models = fresh(spark, "month")
+    start_empty(models)
+    labels = [label("l1"), label("l2")]
+    events = [event("e1", "l1"), event("e2", "l2", event_type="PICKUP")]
+    apply_batch(models, labels_of(*labels), events_of(*events))
+    noon = at("2026-06-07 12:00:00")
+    more_labels = [label("l2", voided_at=noon, last_updated_at=noon)]
+    more_events = [event("e1", "l2", event_received_at=noon)]
+    batch = labels_of(*more_labels), events_of(*more_events)
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(refresh, step, fail)
+        with pytest.raises(RuntimeError, match="lost"):
+            apply_batch(models, *batch)
+    apply_batch(models, *batch)
+    assert_full(models, labels_of(*labels, *more_labels), events_of(*events, *more_events))
+    assert spark.read.table(models.names.due).isEmpty()
+
+
 def test_late_void_reaches_stored_scans(spark, labels_of, events_of):
     models = fresh(spark, "month")
     start_empty(models)

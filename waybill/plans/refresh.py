@@ -101,6 +101,8 @@ def full_refresh(models: Models, run_ts: dt.datetime | None = None) -> Models:
 
     mart = delivery_performance(models.silver_labels, models.silver_events, run_ts)
     materialize(mart.withColumn(PERIOD, by_creation), names.gold, [PERIOD])
+    if spark.catalog.tableExists(names.due):
+        spark.sql(f"TRUNCATE TABLE {names.due}")
     return models
 
 
@@ -121,6 +123,11 @@ def _periods(df: DataFrame) -> set[dt.date]:
     return {r[0] for r in df.select(PERIOD).distinct().collect()}
 
 
+def _stored_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stored rows of the keys in a batch. `target` should have few columns: all of it is read."""
+    return target.join(batch.select(*keys), list(keys), "left_semi")
+
+
 def upsert(
     models: Models,
     space: Scratch,
@@ -131,18 +138,20 @@ def upsert(
     newest: tuple[Sequence, Sequence] | None = None,
     finish: Callable[[DataFrame], DataFrame] | None = None,
     also: DataFrame | None = None,
+    known: DataFrame | None = None,
 ) -> None:
     """Merge a batch into a table by key, rewriting only the periods of the keys concerned.
 
     The batch has one row per key and is cheap to read again. Intermediate results go to `space`.
     `home` is the period of a key that is new. `newest` orders old and new rows of a key (order,
     tie-breakers); without it the batch replaces. `finish` completes the rows before they are
-    written; `also` lists further periods to rewrite.
+    written; `also` lists further periods to rewrite; `known` holds the stored keys of the batch
+    with their periods, if they have been looked up already.
     """
     spark = models.spark
     target = models.stored(table)
-    # Reads only the keys and the period of the target.
-    known = target.select(*keys, PERIOD).join(batch.select(*keys), list(keys), "left_semi")
+    if known is None:
+        known = _stored_keys(target.select(*keys, PERIOD), batch, keys)
     placed = space.write(
         batch.join(known, list(keys), "left").withColumn(PERIOD, F.coalesce(PERIOD, home)),
         "placed",
@@ -178,14 +187,13 @@ def apply_batch(
 
     A late scan reaches its label, however old: all labels touched by the batch are recomputed from
     Silver. Batches in another order end in the same Silver and Gold rows, and so does a batch
-    applied again, wholly or after it broke off midway: what is left to do is read off the tables,
-    not remembered. There must be one writer at a time.
+    applied again, wholly or after it broke off midway: labels whose mart row is due are kept in a
+    table until it is written. There must be one writer at a time.
 
     With `late_days`, scans that took that long to arrive are also listed in a table of their own.
     Raw tables landed with batch ids need a `batch_id` here too.
     """
     configure(models.spark)
-    touched: list[DataFrame] = []
     with scratch(models.spark) as space:
         # The batch is read several times below; its source is read once.
         if label_rows is not None:
@@ -194,35 +202,41 @@ def apply_batch(
             event_rows = space.write(conform(event_rows, RAW_EVENTS), "event_rows")
         has_labels = label_rows is not None and not label_rows.isEmpty()
         has_events = event_rows is not None and not event_rows.isEmpty()
+        if not (has_labels or has_events):
+            return models
         reflag = None
         if has_labels:
             land(label_rows, models.names.raw_labels, RAW_LABELS, "append", batch_id)
-            ids = _merge_labels(models, space, label_rows, run_ts)
-            reflag = _wrongly_flagged(models, ids)
-            touched.append(ids)
+            reflag = _merge_labels(models, space, label_rows, run_ts)
         if has_events:
             land(event_rows, models.names.raw_events, RAW_EVENTS, "append", batch_id)
-        if has_events or has_labels:
-            rows = event_rows if has_events else models.spark.createDataFrame([], RAW_EVENTS)
-            batch = space.write(_event_rows(rows, run_ts), "events")
-            _merge_events(models, space, batch, reflag)
-            touched.append(_labels_of(models, batch))
-            if late_days is not None:
-                _list_late(models, space, batch, late_days)
-            _recompute_mart(models, space, touched, run_ts)
+        else:
+            event_rows = models.spark.createDataFrame([], RAW_EVENTS)
+        batch = space.write(_event_rows(event_rows, run_ts), "events")
+        _merge_events(models, space, batch, reflag)
+        if late_days is not None:
+            _list_late(models, space, batch, late_days)
+        _recompute_mart(models, space, run_ts)
     return models
 
 
 def _merge_labels(
     models: Models, space: Scratch, label_rows: DataFrame, run_ts: dt.datetime | None
 ) -> DataFrame:
-    """Bring Silver labels up to date; the ids in the batch."""
+    """Bring Silver labels up to date; the periods of scans to flag anew."""
     latest = stamp(flag_labels(current_labels(label_rows)), run_ts).select(*SILVER_LABELS)
     batch = space.write(latest, "labels")
     home = models.period("label_created_at")
     newest = (["last_updated_at"], LABEL_TIES)
+    _mark_due(models, batch)
     upsert(models, space, models.names.silver_labels, batch, ["label_id"], home, newest)
-    return batch.select("label_id")
+    return _wrongly_flagged(models, batch.select("label_id"))
+
+
+def _mark_due(models: Models, rows: DataFrame) -> None:
+    """Note labels whose mart row has to be written, before anything of theirs changes."""
+    due = rows.select("label_id")
+    due.write.format("parquet").mode("append").saveAsTable(models.names.due)
 
 
 def _wrongly_flagged(models: Models, ids: DataFrame) -> DataFrame:
@@ -242,6 +256,10 @@ def _wrongly_flagged(models: Models, ids: DataFrame) -> DataFrame:
 def _merge_events(
     models: Models, space: Scratch, batch: DataFrame, reflag: DataFrame | None
 ) -> None:
+    stored = models.stored(models.names.silver_events).select("event_id", "label_id", PERIOD)
+    known = space.write(_stored_keys(stored, batch, ["event_id"]), "known")
+    # A later copy of an event may name another label; the one it leaves is due as well.
+    _mark_due(models, batch.select("label_id").unionByName(known.select("label_id")).distinct())
     upsert(
         models,
         space,
@@ -252,15 +270,10 @@ def _merge_events(
         (["event_received_at"], event_ties(RAW_TIME)),
         finish=lambda rows: flag_on_voided(rows, models.silver_labels),
         also=reflag,
+        known=known.select("event_id", PERIOD),
     )
 
 
-def _labels_of(models: Models, batch: DataFrame) -> DataFrame:
-    """Labels of these events under any of their copies: a later copy may name another label."""
-    raw = models.stored(models.names.raw_events).select("event_id", "label_id")
-    return raw.join(batch.select("event_id"), "event_id", "left_semi").select("label_id")
-
-
 def _list_late(models: Models, space: Scratch, batch: DataFrame, late_days: int) -> None:
     table = models.names.late_events
     age = F.col("event_received_at") - F.col("event_at")
@@ -272,19 +285,14 @@ def _list_late(models: Models, space: Scratch, batch: DataFrame, late_days: int)
     upsert(models, space, table, late, ["event_id"], home, newest)
 
 
-def _recompute_mart(
-    models: Models, space: Scratch, touched: list[DataFrame], run_ts: dt.datetime | None
-) -> None:
-    ids = touched[0]
-    for more in touched[1:]:
-        ids = ids.unionByName(more)
-    ids = space.write(ids.distinct(), "touched")
-    labels = models.silver_labels.join(ids, "label_id", "left_semi")
-    events = models.silver_events.join(ids, "label_id", "left_semi")
+def _recompute_mart(models: Models, space: Scratch, run_ts: dt.datetime | None) -> None:
+    due = space.write(models.stored(models.names.due).distinct(), "due")
+    labels = models.silver_labels.join(due, "label_id", "left_semi")
+    events = models.silver_events.join(due, "label_id", "left_semi")
     mart = space.write(delivery_performance(labels, events, run_ts), "mart")
-    upsert(
-        models, space, models.names.gold, mart, ["label_id"], models.period("label_created_at")
-    )
+    home = models.period("label_created_at")
+    upsert(models, space, models.names.gold, mart, ["label_id"], home)
+    models.spark.sql(f"TRUNCATE TABLE {models.names.due}")
 
 
 def quarantine_orphans(models: Models, run_ts: dt.datetime | None = None) -> DataFrame:

@@ -53,6 +53,11 @@ class Names:
     def late_events(self) -> str:
         return self.table("silver", "tracking_events_late")
 
+    @property
+    def due(self) -> str:
+        """Labels whose mart row has yet to be written."""
+        return self.table("silver", "labels_due")
+
     @property
     def orphaned_events(self) -> str:
         return self.table("silver", "tracking_events_orphaned")
