@@ -1,4 +1,4 @@
-"""Large groups give the same rows as the plain window, whatever counts as large."""
+"""Sliced groups give the same rows as the plain window, and large ones are spread."""
 
 import datetime as dt
 import random
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import at, label, same_rows
 from waybill.operators import latest, profile, silver
-from waybill.operators.groups import Sizing, _sliced, hot_keys, with_neighbour, with_ranks
+from waybill.operators.groups import _sliced, with_neighbour, with_ranks
 
 START = dt.datetime(2026, 1, 1, tzinfo=dt.timezone.utc)
 
@@ -26,21 +26,34 @@ def scans(spark):
     return spark.createDataFrame(rows, "k string, t timestamp, n int, v string").repartition(6)
 
 
-SIZINGS = [Sizing(2, 20), Sizing(50, 100), Sizing(50, 10**7), Sizing(10**6, 10)]
+SLICES = [1, 3, 40]
 
 
-@pytest.mark.parametrize("sizing", SIZINGS)
-def test_ranks(scans, sizing):
+@pytest.fixture
+def slices(spark):
+    """Set the number of slices."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield lambda n: spark.conf.set(key, n)
+    spark.conf.set(key, before)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.mark.parametrize("n", SLICES)
+def test_ranks(scans, slices, n):
+    slices(n)
     plain = Window.partitionBy("k").orderBy("t", "n")
     wanted = scans.withColumn("r", F.row_number().over(plain).cast("bigint"))
-    found = with_ranks(scans, ["k"], {"r": ["t", "n"]}, sizing)
+    found = with_ranks(scans, ["k"], {"r": ["t", "n"]})
     assert found.columns == wanted.columns
     assert same_rows(wanted, found)
 
 
 @pytest.mark.parametrize("which", ["prev", "next"])
-@pytest.mark.parametrize("sizing", SIZINGS)
-def test_neighbours(scans, which, sizing):
+@pytest.mark.parametrize("n", SLICES)
+def test_neighbours(scans, which, slices, n):
+    slices(n)
     plain = Window.partitionBy("k").orderBy("t", "n")
     step = F.lag if which == "prev" else F.lead
     near = step(F.struct("t", "v")).over(plain)
@@ -50,37 +63,31 @@ def test_neighbours(scans, which, sizing):
         F.col("s.v").alias(f"{which}_v"),
         F.col("s").isNotNull().alias(f"has_{which}"),
     )
-    found = with_neighbour(scans, ["k"], ["t", "n"], ["t", "v"], which, sizing=sizing)
+    found = with_neighbour(scans, ["k"], ["t", "n"], ["t", "v"], which)
     assert same_rows(wanted, found)
 
 
-def test_hot_keys_are_found_and_bounded(scans, spark):
-    assert hot_keys(scans, ["k"], 100).count() == 1
-    assert hot_keys(scans, ["k"], 10**6).count() == 0
-    assert hot_keys(spark.range(0).withColumnRenamed("id", "k"), ["k"], 1).count() == 0
-    assert hot_keys(spark.range(5000).withColumnRenamed("id", "k"), ["k"], 1).count() == 1000
-
-
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_large_groups_are_windowed_by_slice(scans):
-    ordinary = plan_of(with_ranks(scans, ["k"], {"r": ["t", "n"]}))
-    assert "__slice" not in ordinary and ordinary.count("Exchange") == 2  # that of the fixture
-    large = with_ranks(scans, ["k"], {"r": ["t", "n"]}, Sizing(100, 30))
-    assert "hashpartitioning(__key" in plan_of(large) and "__slice" in plan_of(large)
+def test_windows_run_per_key_and_slice(scans):
+    plan = plan_of(with_ranks(scans, ["k"], {"r": ["t", "n"]}))
+    assert "hashpartitioning(__key" in plan and "__slice" in plan
 
 
-def test_a_large_group_at_one_instant_is_split(spark):
+def test_a_key_with_half_of_the_rows_is_split(spark, slices):
     """Slices follow the whole order, so that even rows of the same time are spread."""
-    rows = spark.range(4000).select(
-        F.lit("hot").alias("k"), F.lit(START).alias("t"), F.col("id").alias("n")
+    slices(8)
+    rows = spark.range(8000).select(
+        F.when(F.col("id") < 4000, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+        F.lit(START).alias("t"),
+        F.col("id").alias("n"),
     )
-    sliced = _sliced(rows, ["k"], ["t", "n"], 8)
-    sizes = [r["count"] for r in sliced.groupBy("__slice").count().collect()]
-    assert len(sizes) == 8 and max(sizes) < 1500
-    ranked = with_ranks(rows, ["k"], {"r": ["t", "n"]}, Sizing(100, 500))
+    sliced = _sliced(rows, ["k"], ["t", "n"], None)
+    hot = sliced.where("k = 'hot'").groupBy("__slice").count().collect()
+    assert len(hot) >= 4 and max(r["count"] for r in hot) < 1500
+    ranked = with_ranks(rows, ["k"], {"r": ["t", "n"]}).where("k = 'hot'")
     assert ranked.where("r <> n + 1").isEmpty() and ranked.count() == 4000
 
 
@@ -105,22 +112,19 @@ def change_log(labels_of):
     return labels_of(*rows)
 
 
-def test_history_is_the_same_for_large_groups(change_log):
-    small = latest.scd2(change_log, ["label_id"], "last_updated_at")
-    sizing = Sizing(2, 20)
-    large = latest.scd2(change_log, ["label_id"], "last_updated_at", sizing)
-    assert same_rows(small, large)
-    assert same_rows(
-        profile.change_history(change_log),
-        profile.change_history(change_log, sizing),
-    )
+@pytest.mark.parametrize("n", SLICES)
+def test_history_is_the_same_in_any_number_of_slices(change_log, slices, n):
+    one = latest.scd2(change_log, ["label_id"], "last_updated_at")
+    changes = profile.change_history(change_log)
+    slices(n)
+    assert same_rows(one, latest.scd2(change_log, ["label_id"], "last_updated_at"))
+    assert same_rows(changes, profile.change_history(change_log))
 
 
 def test_copies_of_an_image_are_counted(change_log):
     doubled = change_log.union(change_log)
-    for sizing in (Sizing(), Sizing(2, 20)):
-        once, twice = profile.change_history(change_log), profile.change_history(doubled, sizing)
-        assert same_rows(once.withColumn("copies", F.col("copies") * 2), twice)
+    once, twice = profile.change_history(change_log), profile.change_history(doubled)
+    assert same_rows(once.withColumn("copies", F.col("copies") * 2), twice)
 
 
 def test_intervals_meet_and_end_open(change_log):

@@ -1,104 +1,43 @@
-"""Ordered work within groups that may be very large.
+"""Ordered work within groups of any size.
 
-A window over a key sorts all its rows in one task. That is right for ordinary keys. The rows of a
-key that holds a large part of the table are instead range-partitioned by their order, written out
-with the number of their slice, windowed slice by slice, and stitched together with one small row
-per slice. Both ways give the same rows.
-
-Which keys are large is read off a frequent-items sketch of bounded size. The sketch only decides
-how a key is computed, never what the result is. Reading it is a job that runs when the operator is
-called; it scans the key columns alone.
+A window over a key sorts all rows of the key in one task, which no key with a large part of the
+table survives. Here the rows are range-partitioned by key and order and written out with the number
+of their slice; windows run per key and slice, and one small row per key and slice carries what the
+next slice has to know. A key that fits one slice has one such row. Nothing depends on how large
+a key is, and the slices never decide what the result is.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waybill.sources.scratch import staged
-
-MAX_HOT_KEYS = 1000
-SKETCH_ITEMS = 10_000
-TASKS_PER_MERGE = 1000
-MAX_SLICES = 10_000
+from waybill.sources.scratch import Scratch, staged
 
-_DIGEST, _KEY, _SLICE = "__digest", "__key", "__slice"
+_KEY, _SLICE = "__key", "__slice"
 _OFFSET, _EDGE, _NEAR = "__offset", "__edge", "__near"
 
 
-@dataclass(frozen=True)
-class Sizing:
-    """Rows from which a key counts as large, and rows per slice of such keys."""
-
-    hot_rows: int = 1_000_000
-    slice_rows: int = 1_000_000
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Digest and rough size of keys with at least `hot_rows` rows: at most MAX_HOT_KEYS rows.
-
-    Every task makes one sketch; sketches are merged in two steps, so that no task has to take in
-    those of all the others. A key is sure to be found if it has more than about 1 in 7,500 of all
-    rows, a few times the fair share of a task; below that it does no harm.
-    """
-    some_tasks = F.floor(F.spark_partition_id() / TASKS_PER_MERGE)
-    digests = df.select(F.xxhash64(*keys).alias(_DIGEST), some_tasks.alias("__tasks"))
-    sketches = digests.groupBy("__tasks").agg(
-        F.expr(f"approx_top_k_accumulate({_DIGEST}, {SKETCH_ITEMS})").alias("s")
-    )
-    # Grouped by a constant: no input then gives no sketch, where a global aggregate would fail.
-    merged = sketches.groupBy(F.lit("all")).agg(
-        F.expr(f"approx_top_k_combine(s, {SKETCH_ITEMS})").alias("s")
-    )
-    found = merged.select(
-        F.explode(F.expr(f"approx_top_k_estimate(s, {MAX_HOT_KEYS})")).alias("t")
-    )
-    return found.where(F.col("t.count") >= hot_rows).select(
-        F.col("t.item").alias(_DIGEST), F.col("t.count").alias("rows")
-    )
-
-
-def split_hot(
-    df: DataFrame,
-    keys: Sequence[str],
-    cold: Callable[[DataFrame], DataFrame],
-    hot: Callable[[DataFrame, int], DataFrame],
-    sizing: Sizing,
-) -> DataFrame:
-    """Apply `cold` to the rows of ordinary keys and `hot` to those of large ones.
-
-    `hot` also gets the number of slices to make. Without large keys the plan is that of `cold`.
-    """
-    found = hot_keys(df, keys, sizing.hot_rows).collect()  # bounded by MAX_HOT_KEYS
-    if not found:
-        return cold(df)
-    rows = sum(r["rows"] for r in found)
-    slices = min(MAX_SLICES, rows // sizing.slice_rows + 2)
-    is_hot = F.xxhash64(*keys).isin([r[_DIGEST] for r in found])
-    return cold(df.where(~is_hot)).unionByName(hot(df.where(is_hot), slices))
-
-
 def _sliced(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], space: Scratch | None
 ) -> DataFrame:
     """Rows with the number of their slice, which rises with the order within a key.
 
     Written out, so that every later step sees the same slices whatever happens to executors. The
     keys are packed in a struct, which joins and groups null keys like any other.
     """
-    ranged = df.repartitionByRange(slices, *keys, *order)
+    ranged = df.repartitionByRange(*keys, *order)
     return staged(
-        ranged.withColumns({_KEY: F.struct(*keys), _SLICE: F.spark_partition_id()}), "slices"
+        ranged.withColumns({_KEY: F.struct(*keys), _SLICE: F.spark_partition_id()}), "slices", space
     )
 
 
-def _rank_hot(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, slices: int
+def _ranked(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, space: Scratch | None
 ) -> DataFrame:
-    sliced = _sliced(df, keys, order, slices)
+    sliced = _sliced(df, keys, order, space)
     earlier = Window.partitionBy(_KEY).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sliced.groupBy(_KEY, _SLICE)
@@ -118,27 +57,13 @@ def with_ranks(
     df: DataFrame,
     keys: Sequence[str],
     orders: dict[str, Sequence[str]],
-    sizing: Sizing = Sizing(),
+    space: Scratch | None = None,
 ) -> DataFrame:
-    """Row numbers per key for each named order, ascending; an order must tell all rows apart.
-
-    All orders of an ordinary key share one shuffle.
-    """
-
-    def cold(rows: DataFrame) -> DataFrame:
-        return rows.withColumns(
-            {
-                name: F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
-                for name, order in orders.items()
-            }
-        )
-
-    def hot(rows: DataFrame, slices: int) -> DataFrame:
-        for name, order in orders.items():
-            rows = _rank_hot(rows, keys, order, name, slices)
-        return rows.select(*df.columns, *orders)
-
-    return split_hot(df, keys, cold, hot, sizing)
+    """Row numbers per key for each named order, ascending; an order must tell all rows apart."""
+    columns = df.columns
+    for name, order in orders.items():
+        df = _ranked(df, keys, order, name, space)
+    return df.select(*columns, *orders)
 
 
 def with_neighbour(
@@ -148,7 +73,7 @@ def with_neighbour(
     take: Sequence[str],
     which: str,
     thin: Callable[[DataFrame], DataFrame] = lambda rows: rows,
-    sizing: Sizing = Sizing(),
+    space: Scratch | None = None,
 ) -> DataFrame:
     """Add columns of the previous or next row of the same key, and whether there is one.
 
@@ -157,28 +82,17 @@ def with_neighbour(
     """
     step = F.lead if which == "next" else F.lag
     picked = F.struct(*take)
-    columns = thin(df).columns
-
-    def unpack(rows: DataFrame, near: Column) -> DataFrame:
-        named = [near[c].alias(f"{which}_{c}") for c in take]
-        return rows.select(*columns, *named, near.isNotNull().alias(f"has_{which}"))
-
-    def cold(rows: DataFrame) -> DataFrame:
-        # One shuffle by the keys serves `thin`, which groups more finely, and the window.
-        along = Window.partitionBy(*keys).orderBy(*order)
-        placed = thin(rows.repartition(*keys))
-        return unpack(placed.withColumn(_NEAR, step(picked).over(along)), F.col(_NEAR))
-
-    def hot(rows: DataFrame, slices: int) -> DataFrame:
-        sliced = _sliced(thin(rows), keys, order, slices)
-        # The row of a slice that the adjacent slice has to see: its first one when looking
-        # forward, its last one when looking back.
-        outermost = F.min_by if which == "next" else F.max_by
-        edges = sliced.groupBy(_KEY, _SLICE).agg(outermost(picked, F.struct(*order)).alias(_EDGE))
-        along = Window.partitionBy(_KEY).orderBy(_SLICE)
-        across = edges.select(_KEY, _SLICE, step(_EDGE).over(along).alias(_EDGE))
-        within = Window.partitionBy(_KEY, _SLICE).orderBy(*order)
-        joined = sliced.withColumn(_NEAR, step(picked).over(within)).join(across, [_KEY, _SLICE])
-        return unpack(joined, F.coalesce(_NEAR, _EDGE))
-
-    return split_hot(df, keys, cold, hot, sizing)
+    thinned = thin(df)
+    columns = thinned.columns
+    sliced = _sliced(thinned, keys, order, space)
+    # The row of a slice that the adjacent slice has to see: its first one when looking forward,
+    # its last one when looking back.
+    outermost = F.min_by if which == "next" else F.max_by
+    edges = sliced.groupBy(_KEY, _SLICE).agg(outermost(picked, F.struct(*order)).alias(_EDGE))
+    along = Window.partitionBy(_KEY).orderBy(_SLICE)
+    across = edges.select(_KEY, _SLICE, step(_EDGE).over(along).alias(_EDGE))
+    within = Window.partitionBy(_KEY, _SLICE).orderBy(*order)
+    joined = sliced.withColumn(_NEAR, step(picked).over(within)).join(across, [_KEY, _SLICE])
+    near: Column = F.coalesce(_NEAR, _EDGE)
+    named = [near[c].alias(f"{which}_{c}") for c in take]
+    return joined.select(*columns, *named, near.isNotNull().alias(f"has_{which}"))

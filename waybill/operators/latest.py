@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waybill.operators.groups import Sizing, with_neighbour
+from waybill.operators.groups import with_neighbour
+from waybill.sources.scratch import Scratch
 
 _RANK = "__rank"
 
@@ -105,18 +106,18 @@ def merge_latest(
 
 
 def scd2(
-    df: DataFrame, keys: Sequence[str], ts: str, sizing: Sizing = Sizing()
+    df: DataFrame, keys: Sequence[str], ts: str, space: Scratch | None = None
 ) -> DataFrame:
     """Validity intervals from a change log of full images.
 
     There is one version per key and instant (the winner among images of the same instant), valid
-    until the next one.
+    until the next one. The versions are written to `space` on the way.
     """
 
     def one_per_instant(rows: DataFrame) -> DataFrame:
         return collapse_latest(rows, [*keys, ts], [])
 
-    following = with_neighbour(df, keys, [ts], [ts], "next", one_per_instant, sizing)
+    following = with_neighbour(df, keys, [ts], [ts], "next", one_per_instant, space)
     return following.select(
         "*",
         F.col(ts).alias("valid_from"),

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill.functions.timestamps import time_shape, zone_name
 from waybill.operators.gold import percent
-from waybill.operators.groups import Sizing, with_neighbour, with_ranks
+from waybill.operators.groups import with_neighbour, with_ranks
 from waybill.schemas import (
     CARRIER_MIX,
     CARRIERS,
@@ -18,6 +18,7 @@ from waybill.schemas import (
     WEIGHT_RANGE_OZ,
     ZONE_OFFSETS,
 )
+from waybill.sources.scratch import Scratch
 
 
 def unpivot_counts(row: DataFrame, whole: str, prefix: str = "") -> DataFrame:
@@ -111,7 +112,7 @@ def time_shapes(raw_events: DataFrame) -> DataFrame:
     )
 
 
-def out_of_order(events: DataFrame, sizing: Sizing = Sizing()) -> DataFrame:
+def out_of_order(events: DataFrame, space: Scratch | None = None) -> DataFrame:
     """Rank of each scan of a label by event time and by arrival, flagged where they differ.
 
     Scans without a readable time have no place in the event order and are left out.
@@ -126,7 +127,7 @@ def out_of_order(events: DataFrame, sizing: Sizing = Sizing()) -> DataFrame:
             "event_rank": ["event_at", "event_received_at", "event_id"],
             "arrival_rank": ["event_received_at", "event_at", "event_id"],
         },
-        sizing,
+        space,
     )
     return ranked.withColumn("is_out_of_order", F.col("event_rank") != F.col("arrival_rank"))
 
@@ -138,33 +139,48 @@ def with_latency(events: DataFrame) -> DataFrame:
     )
 
 
-def arrival_latency(events: DataFrame, late_days: int = 2, accuracy: int = 100_000) -> DataFrame:
-    """Arrival latency per carrier. The quantiles come from a mergeable sketch."""
-    seconds = F.col("latency_seconds")
-    late = seconds >= late_days * 86400
-    return (
+def arrival_latency(events: DataFrame, late_days: int = 2) -> DataFrame:
+    """Arrival latency per carrier, quantiles exact at any size.
+
+    Scans are first counted per carrier and second, with a map-side step. A quantile is the least
+    latency that at least that share of the scans does not exceed.
+    """
+    seconds, n = F.col("latency_seconds"), F.col("n")
+    counts = (
         with_latency(events)
         .where(seconds.isNotNull())
-        .groupBy("carrier")
-        .agg(
-            F.count("*").alias("events"),
-            F.count_if(late).alias("late"),
-            percent(F.count_if(late), F.count("*")).alias("pct_late"),
-            F.try_divide(F.sum(seconds).cast("double"), F.count("*")).alias("avg_seconds"),
-            F.percentile_approx(seconds, 0.5, accuracy).alias("p50_seconds"),
-            F.percentile_approx(seconds, 0.95, accuracy).alias("p95_seconds"),
-            F.max(seconds).alias("max_seconds"),
-        )
+        .groupBy("carrier", "latency_seconds")
+        .agg(F.count("*").alias("n"))
+    )
+    whole = Window.partitionBy("carrier")
+    upto = whole.orderBy("latency_seconds").rowsBetween(Window.unboundedPreceding, 0)
+    counts = counts.withColumns({"upto": F.sum("n").over(upto), "of": F.sum("n").over(whole)})
+    late = F.coalesce(F.sum(F.when(seconds >= late_days * 86400, n)), F.lit(0))
+
+    def quantile(share: float) -> Column:
+        return F.min(F.when(F.col("upto") >= F.ceil(F.col("of") * share), seconds))
+
+    return counts.groupBy("carrier").agg(
+        F.sum("n").alias("events"),
+        late.alias("late"),
+        percent(late, F.sum("n")).alias("pct_late"),
+        F.try_divide(F.sum(seconds * n).cast("double"), F.sum("n")).alias("avg_seconds"),
+        quantile(0.5).alias("p50_seconds"),
+        quantile(0.95).alias("p95_seconds"),
+        F.max(seconds).alias("max_seconds"),
     )
 
 
 def late_arrivals(events: DataFrame, labels: DataFrame, late_days: int = 3) -> DataFrame:
-    """Flag scans that arrive `late_days` or more after the promised delivery."""
+    """Flag scans that arrive `late_days` or more after the promised delivery.
+
+    Every scan is kept; the flag of one whose label is unknown is null, as it has no promise.
+    """
     promises = labels.select("label_id", "carrier_promised_delivery_at")
     grace = F.make_dt_interval(days=F.lit(late_days))
     return (
         with_latency(events)
-        .join(promises, "label_id")
+        .join(promises, "label_id", "left")
         .withColumn(
             "is_late_arrival",
             F.col("event_received_at") >= F.col("carrier_promised_delivery_at") + grace,
@@ -207,7 +223,7 @@ def stage_summary(completeness: DataFrame) -> DataFrame:
 def promise_audit(labels: DataFrame, sla: Mapping[str, int] = SLA_DAYS) -> DataFrame:
     """Promise against creation plus the SLA days of the service class, per class.
 
-    The SLA list is a constant of the call and is small by nature; it becomes a broadcast side.
+    The SLA list comes with the call; its size decides how it is joined.
     """
     spark = labels.sparkSession
     known = spark.createDataFrame(list(sla.items()), "service_class string, sla_days int")
@@ -215,7 +231,7 @@ def promise_audit(labels: DataFrame, sla: Mapping[str, int] = SLA_DAYS) -> DataF
     expected = F.col("label_created_at") + F.make_dt_interval(days=F.col("sla_days"))
     return (
         labels.select("service_class", "label_created_at", "carrier_promised_delivery_at")
-        .join(F.broadcast(known), "service_class", "left")
+        .join(known, "service_class", "left")
         .groupBy("service_class", "sla_days")
         .agg(
             F.count("*").alias("labels"),
@@ -230,7 +246,7 @@ def promise_audit(labels: DataFrame, sla: Mapping[str, int] = SLA_DAYS) -> DataF
 TRACKED = ["carrier", "service_class", "voided_at"]
 
 
-def change_history(raw_labels: DataFrame, sizing: Sizing = Sizing()) -> DataFrame:
+def change_history(raw_labels: DataFrame, space: Scratch | None = None) -> DataFrame:
     """Each image in the change log with what changed since the image before it.
 
     An image that landed more than once is one row with its number of copies: landing it again
@@ -243,7 +259,7 @@ def change_history(raw_labels: DataFrame, sizing: Sizing = Sizing()) -> DataFram
     def fold_copies(rows: DataFrame) -> DataFrame:
         return rows.groupBy(*columns).agg(F.count("*").alias("copies"))
 
-    before = with_neighbour(raw_labels, ["label_id"], order, TRACKED, "prev", fold_copies, sizing)
+    before = with_neighbour(raw_labels, ["label_id"], order, TRACKED, "prev", fold_copies, space)
     changed = {
         f"changed_{c}": F.col("has_prev") & ~F.col(c).eqNullSafe(F.col(f"prev_{c}"))
         for c in TRACKED
@@ -297,7 +313,7 @@ def mix_check(
         [(k, 100.0 * v) for k, v in target.items()], "carrier string, target_pct double"
     )
     counts = labels.groupBy("carrier").agg(F.count("*").alias("labels"))
-    total = labels.select(F.count("*")).scalar()
+    total = F.sum("labels").over(Window.partitionBy())  # one row per carrier
     off = F.abs(F.col("pct") - F.col("target_pct"))
     return (
         counts.join(wanted, "carrier", "full")

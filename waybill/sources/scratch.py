@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -48,6 +49,23 @@ def scratch(spark: SparkSession) -> Iterator[Scratch]:
         space.drop()
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """One intermediate result that lives on, for a caller that reads it later."""
-    return Scratch(df.sparkSession).write(df, name)
+_lasting: dict[str, Scratch] = {}
+
+
+def _drop_if_running(space: Scratch) -> None:
+    if space.spark.sparkContext._jsc is not None:
+        space.drop()
+
+
+def lasting(spark: SparkSession) -> Scratch:
+    """The folder for results that a caller reads later; it goes when the program ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _lasting:
+        _lasting[app] = Scratch(spark)
+        atexit.register(_drop_if_running, _lasting[app])
+    return _lasting[app]
+
+
+def staged(df: DataFrame, name: str, space: Scratch | None = None) -> DataFrame:
+    """One intermediate result: in the caller's folder, or in one that lasts as long as the program."""
+    return (space or lasting(df.sparkSession)).write(df, name)
