@@ -5,6 +5,7 @@ import uuid
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tests.conftest import DATA, at, event, label, same_rows
 from waybill.operators import gold, silver
@@ -16,9 +17,10 @@ from waybill.plans.refresh import (
     quarantine_orphans,
     start_empty,
 )
+from waybill.schemas import RAW_EVENTS
 from waybill.sources import parcels
 from waybill.sources.tables import Names, land_all
-from waybill.streaming.jobs import dedup_stream, file_events, keep_current
+from waybill.streaming.jobs import Feed, dedup_feed, file_events, keep_current, split_messages
 
 
 def fresh(spark, grain: str = "year") -> Models:
@@ -234,13 +236,65 @@ def test_stream_in_several_batches(spark, labels_of, events_of, tmp_path):
     assert_full(models, labels_of(*labels), events_of(*events, more))
 
 
-def test_dedup_stream_keeps_one_copy(spark, events_of, tmp_path):
+def test_feed_keeps_one_copy_and_late_scans_go_to_their_table(spark, events_of, tmp_path):
+    inbox, checkpoint = str(tmp_path / "inbox"), str(tmp_path / "c")
+    feed = Feed(spark, str(tmp_path / "feed"))
+    loads = [
+        [event("a", event_received_at=at("2026-06-30 00:00:00"))],
+        [event("b", event_received_at=at("2026-07-01 00:00:00")), event("b"), event("n", event_received_at=None)],
+        [
+            event("c", event_received_at=at("2026-06-10 00:00:00")),
+            event("a", event_received_at=at("2026-06-29 00:00:00")),
+            event("b", event_received_at=at("2026-06-01 00:00:00")),
+            event("d", event_received_at=at("2026-06-28 00:00:00")),
+        ],
+        [event("c", event_received_at=at("2026-06-11 00:00:00"))],
+    ]
+    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in RAW_EVENTS])
+    for load in loads:
+        rows = [tuple(r[n] for n in RAW_EVENTS.names) for r in load]
+        spark.createDataFrame(rows, nullable).coalesce(1).write.mode("append").parquet(inbox)
+        dedup_feed(file_events(spark, inbox), feed, checkpoint).awaitTermination()
+    assert sorted(r.event_id for r in feed.rows.collect()) == ["a", "b", "d"]
+    assert sorted(r.event_id for r in feed.late.collect()) == ["c", "n"]
+    # A batch that runs again replaces what it wrote.
+    rows = [tuple(r[n] for n in RAW_EVENTS.names) for r in loads[2]]
+    feed.take(spark.createDataFrame(rows, nullable), 2, 8)
+    assert sorted(r.event_id for r in feed.rows.collect()) == ["a", "b", "d"]
+    assert sorted(r.event_id for r in feed.late.collect())[:1] == ["c"]
+
+
+def test_messages_that_hold_no_scan_keep_their_text(spark):
+    good = '{"event_id": "e", "label_id": "l", "carrier": "UPS", "event_at": "x", "event_received_at": "2026-06-01T00:00:00Z"}'
+    texts = [good, "no json", None, "{}", good.replace("UPS", "DHL_ECOM")]
+    messages = spark.createDataFrame([(t.encode() if t else None, i) for i, t in enumerate(texts)], "value binary, offset long")
+    scans, bad = split_messages(messages)
+    assert scans.columns == RAW_EVENTS.names
+    assert sorted(r.carrier for r in scans.collect()) == ["DHL_ECOM", "UPS"]
+    assert sorted((r.offset, r.message) for r in bad.collect()) == [(1, "no json"), (2, None), (3, "{}")]
+
+
+def test_stream_into_tables_with_batch_ids(spark, labels_of, events_of, tmp_path):
+    labels, events = small_log()
+    models = fresh(spark, "month")
+    start_empty(models, with_ids=True)
+    for _ in range(2):
+        apply_batch(models, labels_of(*labels), batch_id="first")
     inbox = str(tmp_path / "inbox")
-    events_of(event("e1"), event("e2")).coalesce(1).write.parquet(inbox)
-    repeat = event("e1", event_received_at=at("2026-06-07 00:00:00"))
-    events_of(repeat, event("e3")).coalesce(1).write.mode("append").parquet(inbox)
-    unique = dedup_stream(file_events(spark, inbox, files_per_batch=1))
-    sink = unique.writeStream.format("memory").queryName("feed").outputMode("append")
-    sink = sink.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True)
-    sink.start().awaitTermination()
-    assert sorted(r.event_id for r in spark.read.table("feed").collect()) == ["e1", "e2", "e3"]
+    events_of(*events).coalesce(1).write.parquet(inbox)
+    keep_current(file_events(spark, inbox), models, str(tmp_path / "c")).awaitTermination()
+    raw = models.stored(models.names.raw_events)
+    assert {r[0] for r in raw.select("_ingestion_batch_id").distinct().collect()} == {"stream-0"}
+    assert models.stored(models.names.raw_labels).count() == len(labels)
+    assert raw.count() == len(events)
+
+
+def test_orphans_keep_the_time_they_were_found(spark, labels_of, events_of):
+    models = fresh(spark, "month")
+    start_empty(models)
+    apply_batch(models, labels_of(label("l1")), events_of(event("e1", "l1"), event("e2", "l2"), event("e3", "l3")))
+    first, second = at("2026-07-01 00:00:00"), at("2026-07-02 00:00:00")
+    quarantine_orphans(models, first)
+    apply_batch(models, labels_of(label("l2")), events_of(event("e4", "l4")))
+    found = quarantine_orphans(models, second).select("event_id", F.unix_timestamp("detected_at"))
+    assert sorted(tuple(r) for r in found.collect()) == [("e3", int(first.timestamp())), ("e4", int(second.timestamp()))]

@@ -578,7 +578,7 @@ ORACLES: dict[str, str] = {
         "silver_events",
         f"""select event_id, label_id, latency_seconds,
           event_received_at >= carrier_promised_delivery_at + interval '3' day is_late_arrival
-        from {_TIMED} join silver_labels using (label_id)""",
+        from {_TIMED} left join silver_labels using (label_id)""",
     ),
     "sequence_completeness": after("silver_events", f"select * from {_SEQUENCE}"),
     "stage_summary": after(
@@ -808,4 +808,61 @@ ORACLES: dict[str, str] = {
     "stream_silver_events": after("silver_events", "select * from silver_events"),
     "stream_delivery_performance": after("gold", "select * from gold"),
     "stream_dedup_events": after("raw_events", "select distinct event_id from raw_events"),
+    "stream_late_events": after(
+        "raw_events",
+        """select event_id, max(event_received_at) event_received_at
+        from (select *, split_part(event_id, '_', 2)::bigint % 4 part from raw_events) join (
+          select a.part, max(b.newest) - interval '8 days' mark
+          from (select split_part(event_id, '_', 2)::bigint % 4 part, max(event_received_at) newest
+            from raw_events group by 1) b
+          join (values (1), (2), (3)) a(part) on b.part < a.part group by 1) using (part)
+        group by event_id having max(event_received_at) < max(mark)""",
+    ),
+    "stream_with_batch_ids": after("gold", "select * from gold"),
+    "replayed_batches": after(
+        "gold raw_events silver_events",
+        """select 'raw_labels' as name, count(*) as rows from raw_labels
+        union all select 'raw_events', count(*) from raw_events
+        union all select 'silver_labels', count(*) from silver_labels
+        union all select 'silver_events', count(*) from silver_events
+        union all select 'gold', count(*) from gold""",
+    ),
+    "orphans_over_time": after(
+        "silver_events raw_events",
+        """select s.event_id, s.label_id, timestamp '2024-01-01' +
+          case when f.event_id is null then interval '1 day' else interval '0 day' end detected_at
+        from silver_events s
+        left join (select distinct event_id from raw_events where event_received_at < '1998-07-01') f
+          using (event_id)
+        where s.label_id not in (select label_id from silver_labels)""",
+    ),
+    "parity_altered": after(
+        "gold",
+        """select count(*) differing_rows, count(*)::bigint differences from (
+          select * from gold where carrier = 'FEDEX' union all
+          select * replace (not is_delivered_on_time as is_delivered_on_time) from gold
+          where carrier = 'FEDEX')""",
+    ),
+    "idempotency_two_builds": after(
+        "gold",
+        f"""select count(*) as rows, {_ON_TIME} on_time, 0::bigint differing_rows,
+          0::bigint differences from gold""",
+    ),
+    "change_history_repeated": after(
+        "raw_labels",
+        f"""select label_id, last_updated_at, carrier, service_class, voided_at, prev_carrier,
+          prev_service_class, prev_voided_at,
+          nr > 1 and carrier is distinct from prev_carrier changed_carrier,
+          nr > 1 and service_class is distinct from prev_service_class changed_service_class,
+          nr > 1 and voided_at is distinct from prev_voided_at changed_voided_at, nr = 1 is_first,
+          case when weight_oz % 3 = 0 then 2 else 1 end::bigint copies
+        from ({_BEFORE})""",
+    ),
+    "appended_and_ignored": after(
+        "raw_labels",
+        """select mode, n * landed landed, n * stored stored
+        from (select count(*) n from raw_labels),
+          (values ('overwrite', 1, 1), ('ignore', 0, 1), ('append', 1, 2)) m(mode, landed, stored)""",
+    ),
+    "preview_events": "select event_id, user_id from events order by ts, event_id limit 10",
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +15,17 @@ from waybill.functions import flags
 from waybill.functions import timestamps as times
 from waybill.functions.payload import parse_payload as _parse_payload
 from waybill.operators import gold, latest, profile, quality, silver
-from waybill.plans import refresh
+from waybill.plans import refresh, replays
 from waybill.schemas import DELIVERY_PERFORMANCE, RAW_EVENTS, RAW_LABELS
 from waybill.sources import parcels
 from waybill.sources.scratch import staged
-from waybill.sources.tables import land_all, land_and_report, with_ingestion
-from waybill.streaming import jobs
+from waybill.sources.tables import (
+    land,
+    land_all,
+    land_and_report,
+    preview,
+    with_ingestion,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -285,12 +290,14 @@ def stamp(x: Layers) -> DataFrame:
 
 @query
 def orphaned_events(x: Layers) -> DataFrame:
-    return silver.orphaned_events(x.events, x.labels).drop("detected_at")
+    labels, events = x.stored_silver()
+    return silver.orphaned_events(events, labels).drop("detected_at")
 
 
 @query
 def drop_orphans(x: Layers) -> DataFrame:
-    return silver.drop_orphans(x.events, x.labels)
+    labels, events = x.stored_silver()
+    return silver.drop_orphans(events, labels)
 
 
 # ---- Gold --------------------------------------------------------------------------------
@@ -348,7 +355,7 @@ def delay_clusters(x: Layers) -> DataFrame:
 
 @query
 def data_freshness(x: Layers) -> DataFrame:
-    return gold.data_freshness(x.labels, x.events)
+    return gold.data_freshness(*x.stored_silver())
 
 
 # ---- Profiles ----------------------------------------------------------------------------
@@ -372,7 +379,8 @@ def arrival_latency(x: Layers) -> DataFrame:
 
 @query
 def late_arrivals(x: Layers) -> DataFrame:
-    flagged = profile.late_arrivals(x.events, x.labels)
+    labels, events = x.stored_silver()
+    flagged = profile.late_arrivals(events, labels)
     return flagged.select("event_id", "label_id", "latency_seconds", "is_late_arrival")
 
 
@@ -398,7 +406,8 @@ def change_history(x: Layers) -> DataFrame:
 
 @query
 def void_profile(x: Layers) -> DataFrame:
-    return profile.void_profile(x.labels, x.events)
+    labels, events = x.stored_silver()
+    return profile.void_profile(labels, events)
 
 
 @query
@@ -477,6 +486,52 @@ def parity(x: Layers) -> DataFrame:
     return quality.parity_summary(built, other)
 
 
+@query
+def parity_altered(x: Layers) -> DataFrame:
+    """The mart against a copy in which one carrier's verdicts are turned around."""
+    _, _, built = x.stored()
+    turned = F.when(F.col("carrier") == "FEDEX", ~F.col("is_delivered_on_time"))
+    verdict = F.coalesce(turned, F.col("is_delivered_on_time"))
+    return quality.parity_summary(built, built.withColumn("is_delivered_on_time", verdict))
+
+
+@query
+def idempotency_two_builds(x: Layers) -> DataFrame:
+    """Figures of the first build, and what differs in a second one from the same raw tables."""
+    with refresh.throwaway(x.spark) as models:
+        land_all(x.raw_labels, x.raw_events, models.names)
+        first = staged(refresh.full_refresh(models).gold, "first")
+        second = staged(refresh.full_refresh(models).gold, "second")
+    rows = quality.idempotency_snapshot(first).unionByName(
+        quality.parity_summary(first, second), allowMissingColumns=True
+    )
+    return rows.agg(*[F.max(c).alias(c) for c in rows.columns])
+
+
+@query
+def change_history_repeated(x: Layers) -> DataFrame:
+    """A change log in which some images landed twice."""
+    log = x.raw_labels
+    return profile.change_history(log.unionByName(log.where("weight_oz % 3 = 0")))
+
+
+@query
+def appended_and_ignored(x: Layers) -> DataFrame:
+    """Rows of the raw labels after landing, landing again with ignore, and appending."""
+    rows = []
+    with refresh.throwaway(x.spark) as models:
+        table = models.names.raw_labels
+        for mode in ("overwrite", "ignore", "append"):
+            landed = land(x.raw_labels, table, RAW_LABELS, mode)
+            rows.append((mode, landed, models.stored(table).count()))
+    return x.spark.createDataFrame(rows, "mode string, landed bigint, stored bigint")
+
+
+@query
+def preview_events(x: Layers) -> DataFrame:
+    return preview(x.table("events"), 10, ["ts", "event_id"]).select("event_id", "user_id")
+
+
 # ---- Tables, incremental loads, streaming -------------------------------------------------
 
 
@@ -522,14 +577,62 @@ def incremental_delivery_performance(x: Layers) -> DataFrame:
 
 @query
 def stream_silver_events(x: Layers) -> DataFrame:
-    return jobs.replay(x.spark, x.folder, lambda models: models.silver_events)
+    return replays.replay(x.spark, x.folder, lambda models: models.silver_events)
 
 
 @query
 def stream_delivery_performance(x: Layers) -> DataFrame:
-    return jobs.replay(x.spark, x.folder, lambda models: models.gold)
+    return replays.replay(x.spark, x.folder, lambda models: models.gold)
 
 
 @query
 def stream_dedup_events(x: Layers) -> DataFrame:
-    return jobs.replay_dedup(x.spark, x.folder)
+    """Ids of the feed and of the late table, each once."""
+    feed = replays.replay_feed(x.spark, x.folder)
+    return feed.rows.select("event_id").unionByName(feed.late.select("event_id"))
+
+
+@query
+def stream_late_events(x: Layers) -> DataFrame:
+    """Scans that came after the watermark had passed them."""
+    return replays.replay_feed(x.spark, x.folder).late.select("event_id", "event_received_at")
+
+
+@query
+def stream_with_batch_ids(x: Layers) -> DataFrame:
+    """The mart from a stream into raw tables that were landed with batch ids."""
+    return replays.replay(x.spark, x.folder, lambda models: models.gold, with_ids=True)
+
+
+@query
+def replayed_batches(x: Layers) -> DataFrame:
+    """Rows of each table after every batch was applied twice."""
+    with refresh.throwaway(x.spark) as models:
+        refresh.start_empty(models, with_ids=True)
+        for number, part in enumerate((lambda t: F.col(t) < CUTOFF, lambda t: F.col(t) >= CUTOFF)):
+            labels = x.raw_labels.where(part("last_updated_at"))
+            events = x.raw_events.where(part("event_received_at"))
+            for _ in range(2):
+                refresh.apply_batch(models, labels, events, batch_id=f"batch-{number}")
+        tables = {
+            "raw_labels": models.stored(models.names.raw_labels),
+            "raw_events": models.stored(models.names.raw_events),
+            "silver_labels": models.silver_labels,
+            "silver_events": models.silver_events,
+            "gold": models.gold,
+        }
+        counts = [t.select(F.lit(n).alias("name"), F.count("*").alias("rows")) for n, t in tables.items()]
+        return staged(reduce(DataFrame.unionByName, counts), "counts")
+
+
+@query
+def orphans_over_time(x: Layers) -> DataFrame:
+    """Orphans found before and after the labels of one carrier came, with the first time of each."""
+    with refresh.throwaway(x.spark) as models:
+        refresh.start_empty(models)
+        is_ups = F.col("carrier") == "UPS"
+        refresh.apply_batch(models, x.raw_labels.where(~is_ups), x.raw_events.where(F.col("event_received_at") < CUTOFF))
+        refresh.quarantine_orphans(models, RUN_TS)
+        refresh.apply_batch(models, x.raw_labels.where(is_ups), x.raw_events.where(F.col("event_received_at") >= CUTOFF))
+        later = refresh.quarantine_orphans(models, RUN_TS + dt.timedelta(days=1))
+        return staged(later.select("event_id", "label_id", "detected_at"), "orphans")

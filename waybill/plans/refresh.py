@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from waybill.operators.gold import delivery_performance
 from waybill.operators.latest import collapse_latest, dedup_events, event_ties
@@ -35,7 +36,15 @@ from waybill.schemas import (
 )
 from waybill.session import configure, shared_folder
 from waybill.sources.scratch import Scratch, scratch
-from waybill.sources.tables import Names, conform, ensure_schema, land, materialize
+from waybill.sources.tables import (
+    Names,
+    conform,
+    ensure_schema,
+    has_batch_ids,
+    land,
+    materialize,
+    with_ingestion,
+)
 
 PERIOD = "landed_in"
 NO_TIME = dt.date(1900, 1, 1)
@@ -191,7 +200,8 @@ def apply_batch(
     table until it is written. There must be one writer at a time.
 
     With `late_days`, scans that took that long to arrive are also listed in a table of their own.
-    Raw tables landed with batch ids need a `batch_id` here too.
+    Raw tables landed with batch ids need a `batch_id` here too; rows of a batch id that a raw table
+    has are not added again, so that a batch applied twice leaves it right as well.
     """
     configure(models.spark)
     with scratch(models.spark) as space:
@@ -206,10 +216,10 @@ def apply_batch(
             return models
         reflag = None
         if has_labels:
-            land(label_rows, models.names.raw_labels, RAW_LABELS, "append", batch_id)
+            _land_once(models, label_rows, models.names.raw_labels, RAW_LABELS, batch_id)
             reflag = _merge_labels(models, space, label_rows, run_ts)
         if has_events:
-            land(event_rows, models.names.raw_events, RAW_EVENTS, "append", batch_id)
+            _land_once(models, event_rows, models.names.raw_events, RAW_EVENTS, batch_id)
         else:
             event_rows = models.spark.createDataFrame([], RAW_EVENTS)
         batch = space.write(_event_rows(event_rows, run_ts), "events")
@@ -220,6 +230,17 @@ def apply_batch(
     return models
 
 
+def _land_once(
+    models: Models, rows: DataFrame, table: str, schema: T.StructType, batch_id: str | None
+) -> None:
+    """Append to a raw table, unless it has the batch. The append of one job is seen whole or not."""
+    if batch_id is not None:
+        stored = models.stored(table)
+        if has_batch_ids(stored) and not stored.where(F.col("_ingestion_batch_id") == batch_id).isEmpty():
+            return
+    land(rows, table, schema, "append", batch_id)
+
+
 def _merge_labels(
     models: Models, space: Scratch, label_rows: DataFrame, run_ts: dt.datetime | None
 ) -> DataFrame:
@@ -296,9 +317,20 @@ def _recompute_mart(models: Models, space: Scratch, run_ts: dt.datetime | None)
 
 
 def quarantine_orphans(models: Models, run_ts: dt.datetime | None = None) -> DataFrame:
-    """Publish the events without a label as a table, with the time this was found."""
+    """Publish the events without a label as a table, with the time each was first found.
+
+    An event that was in the table keeps its time; one whose label has come leaves.
+    """
+    table = models.names.orphaned_events
     lost = orphaned_events(models.silver_events, models.silver_labels, run_ts)
-    return materialize(lost, models.names.orphaned_events)
+    with scratch(models.spark) as space:
+        if models.spark.catalog.tableExists(table):
+            before = models.stored(table).select("event_id", F.col("detected_at").alias("__since"))
+            lost = lost.join(before, "event_id", "left").withColumn(
+                "detected_at", F.coalesce("__since", "detected_at")
+            )
+            lost = lost.drop("__since")
+        return materialize(space.write(lost, "orphans"), table)
 
 
 @contextmanager
@@ -316,11 +348,16 @@ def throwaway(spark: SparkSession, grain: str = "year") -> Iterator[Models]:
             spark.sql(f"DROP SCHEMA IF EXISTS {schema} CASCADE")
 
 
-def start_empty(models: Models) -> Models:
-    """Create all tables with no rows, for a run that is incremental from the start."""
+def start_empty(models: Models, with_ids: bool = False) -> Models:
+    """Create all tables with no rows, for a run that is incremental from the start.
+
+    With ids, the raw tables have the columns of landing with a batch id.
+    """
     spark, names = models.spark, models.names
     for layer in ("raw", "silver", "gold"):
         ensure_schema(spark, names.schema(layer))
     for table, schema in ((names.raw_labels, RAW_LABELS), (names.raw_events, RAW_EVENTS)):
-        spark.createDataFrame([], schema).write.format("parquet").mode("ignore").saveAsTable(table)
+        rows = spark.createDataFrame([], schema)
+        rows = with_ingestion(rows, "") if with_ids else rows
+        rows.write.format("parquet").mode("ignore").saveAsTable(table)
     return full_refresh(models)

@@ -89,6 +89,10 @@ def with_ingestion(df: DataFrame, batch_id: str) -> DataFrame:
     )
 
 
+def has_batch_ids(df: DataFrame) -> bool:
+    return "_ingestion_batch_id" in df.columns
+
+
 def land(
     df: DataFrame,
     table: str,
@@ -182,5 +186,6 @@ def materialize(
     return spark.read.table(table)
 
 
-def preview(df: DataFrame, rows: int = 10) -> DataFrame:
-    return df.limit(rows)
+def preview(df: DataFrame, rows: int = 10, order: Sequence[str] = ()) -> DataFrame:
+    """A few rows: the first under a stated order, or any."""
+    return (df.orderBy(*order) if order else df).limit(rows)

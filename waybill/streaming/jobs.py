@@ -3,22 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
-from collections.abc import Callable
-from dataclasses import replace
+from dataclasses import dataclass, replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from waybill.plans.refresh import Models, apply_batch, start_empty, throwaway
+from waybill.operators.latest import dedup_events
+from waybill.plans.refresh import Models, apply_batch
 from waybill.schemas import RAW_EVENTS
-from waybill.session import shared_folder
-from waybill.sources import parcels
-from waybill.sources.scratch import staged
+from waybill.sources.scratch import scratch
+from waybill.sources.tables import conform, has_batch_ids
 
-LATENESS = "8 days"
+LATENESS_DAYS = 8
 
 
 def file_events(
@@ -31,26 +30,119 @@ def file_events(
     return reader.load(path)
 
 
-def bus_events(spark: SparkSession, servers: str, topic: str) -> DataFrame:
-    """A stream of raw scans from JSON messages on Kafka (needs Spark's Kafka package)."""
-    messages = (
+def bus_messages(
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    starting: str = "earliest",
+    per_trigger: int | None = None,
+) -> DataFrame:
+    """A stream of messages from Kafka (needs Spark's Kafka package), from the earliest one on.
+
+    `per_trigger` limits the messages of a micro-batch, so that a long backlog is worked off in steps.
+    """
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
-        .load()
+        .option("startingOffsets", starting)
     )
-    read = F.from_json(F.col("value").cast("string"), RAW_EVENTS)
-    return messages.select(read.alias("scan")).select("scan.*")
+    if per_trigger is not None:
+        reader = reader.option("maxOffsetsPerTrigger", per_trigger)
+    return reader.load()
 
 
-def dedup_stream(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Drop repeats of an event id while they arrive.
+def split_messages(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Scans, and the messages that hold none, with their text.
+
+    A message is a scan if it is a JSON object with every required column of the contract.
+    """
+    text = F.col("value").cast("string")
+    scan = F.from_json(text, RAW_EVENTS)
+    read = messages.withColumns({"__text": text, "__scan": scan})
+    required = [F.col(f"__scan.{f.name}").isNotNull() for f in RAW_EVENTS if not f.nullable]
+    good = F.coalesce(reduce(Column.__and__, required), F.lit(False))
+    bad = read.where(~good).drop("__scan", "value").withColumnRenamed("__text", "message")
+    return read.where(good).select("__scan.*"), bad
+
+
+@dataclass(frozen=True)
+class Feed:
+    """Scans without repeats as they arrive, in `rows`; those past the watermark in `late`.
+
+    Both are folders with a part per micro-batch, which a replay of the batch replaces.
+    """
 
-    Keeps the first copy seen and forgets ids after `lateness`, so it suits alerts and feeds. The
-    tables need the copy received last and no bound on lateness: use `keep_current` for those.
+    spark: SparkSession
+    path: str
+
+    def _read(self, name: str, schema: str) -> DataFrame:
+        path = f"{self.path}/{name}"
+        types = T.StructType.fromDDL(schema)
+        self.spark.createDataFrame([], types).drop("batch", "day").write.mode("ignore").parquet(
+            f"{path}/batch=-1/day=1900-01-01"
+        )
+        return self.spark.read.option("basePath", path).schema(types).parquet(path)
+
+    def _rows(self, name: str) -> DataFrame:
+        return self._read(name, f"{RAW_EVENTS.toDDL()}, batch long, day date")
+
+    @property
+    def rows(self) -> DataFrame:
+        return self._rows("rows")
+
+    @property
+    def late(self) -> DataFrame:
+        return self._rows("late")
+
+    @property
+    def marks(self) -> DataFrame:
+        """The newest time of arrival in each micro-batch."""
+        return self._read("marks", "newest timestamp, batch long, day date")
+
+    def take(self, batch: DataFrame, number: int, lateness: int) -> None:
+        """Add a micro-batch."""
+        seen = self.marks.where(F.col("batch") < number).agg(F.max("newest")).first()[0]
+        before = F.col("batch") != number
+        with scratch(self.spark) as space:
+            one = space.write(dedup_events(conform(batch, RAW_EVENTS)), "scans")
+            fresh, late = one, one.limit(0)
+            if seen is not None:
+                mark = seen - dt.timedelta(days=lateness)
+                in_time = F.coalesce(F.col("event_received_at") >= F.lit(mark), F.lit(False))
+                # Literal days prune the parts of the feed that are looked at.
+                known = self.rows.where(before & (F.col("day") >= mark.date() - dt.timedelta(lateness)))
+                fresh = one.where(in_time).join(known.select("event_id"), "event_id", "left_anti")
+                late = one.where(~in_time)
+            if not late.isEmpty():
+                for known in (self.rows, self.late):
+                    late = late.join(known.where(before).select("event_id"), "event_id", "left_anti")
+            for name, rows in (("rows", fresh), ("late", late)):
+                placed = rows.withColumn("day", F.to_date("event_received_at")).hint("rebalance", F.col("day"))
+                path = f"{self.path}/{name}/batch={number}"
+                placed.write.mode("overwrite").partitionBy("day").parquet(path)
+            newest = one.agg(F.max("event_received_at").alias("newest"))
+            newest.write.mode("overwrite").parquet(f"{self.path}/marks/batch={number}/day=1900-01-01")
+
+
+def dedup_feed(events: DataFrame, feed: Feed, checkpoint: str, lateness: int = LATENESS_DAYS) -> StreamingQuery:
+    """Drop repeats of an event id while they arrive; lose no scan.
+
+    The watermark is the newest arrival of earlier micro-batches less `lateness` days. A scan at or
+    after it goes to the feed unless its id is there; ids are looked up in the days that the watermark
+    still reaches. An older scan, or one without a time, goes to the late table unless its id is in
+    either, so that feed and late table together have each id once. Late scans are looked up in
+    the whole feed; a micro-batch without any does not read it.
     """
-    return events.withWatermark("event_received_at", lateness).dropDuplicatesWithinWatermark(
-        ["event_id"]
+
+    def take(batch: DataFrame, number: int) -> None:
+        replace(feed, spark=batch.sparkSession).take(batch, number, lateness)
+
+    return (
+        events.writeStream.foreachBatch(take)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
 
 
@@ -60,16 +152,22 @@ def keep_current(
     checkpoint: str,
     run_ts: dt.datetime | None = None,
     late_days: int | None = None,
+    stream: str = "stream",
 ) -> StreamingQuery:
     """Merge each micro-batch into Silver and recompute the labels it touches in Gold.
 
-    A batch replayed after a failure changes nothing, since merging is repeatable.
+    A batch replayed after a failure changes nothing: merging is repeatable, and raw tables landed
+    with batch ids get the rows of a micro-batch once, under the name of the stream and its number.
     """
+    with_ids = has_batch_ids(models.stored(models.names.raw_events))
 
-    def merge(batch: DataFrame, _: int) -> None:
+    def merge(batch: DataFrame, number: int) -> None:
         # The batch belongs to the session of the stream, a clone of the one that started it.
         local = replace(models, spark=batch.sparkSession)
-        apply_batch(local, event_rows=batch, run_ts=run_ts, late_days=late_days)
+        batch_id = f"{stream}-{number}" if with_ids else None
+        apply_batch(
+            local, event_rows=batch, run_ts=run_ts, late_days=late_days, batch_id=batch_id
+        )
 
     return (
         events.writeStream.foreachBatch(merge)
@@ -77,33 +175,3 @@ def keep_current(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def _stream_of(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    path = f"{folder}/{table}.parquet"
-    schema: T.StructType = spark.read.parquet(path).schema
-    # A pattern in the path lets the source take a single file as well as a folder of files.
-    return spark.readStream.schema(schema).parquet(path[:-1] + f"[{path[-1]}]")
-
-
-def replay(spark: SparkSession, folder: str, pick: Callable[[Models], DataFrame]) -> DataFrame:
-    """Feed the scans of a data folder through the stream and keep one of the resulting tables."""
-    orders = parcels.table(spark, folder, "orders")
-    scans = parcels.raw_events(orders, _stream_of(spark, folder, "lineitem"))
-    with throwaway(spark) as models:
-        start_empty(models)
-        apply_batch(models, label_rows=parcels.raw_labels(orders))
-        checkpoint = f"{shared_folder(spark)}/waybill/{uuid.uuid4().hex}"
-        keep_current(scans, models, checkpoint).awaitTermination()
-        return staged(pick(models), "replay")
-
-
-def replay_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Event ids that come out of the deduplicated stream of a data folder."""
-    root = f"{shared_folder(spark)}/waybill/{uuid.uuid4().hex}"
-    orders = parcels.table(spark, folder, "orders")
-    scans = parcels.raw_events(orders, _stream_of(spark, folder, "lineitem"))
-    feed = dedup_stream(scans).select("event_id")
-    sink = feed.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
-    sink.trigger(availableNow=True).start(f"{root}/rows").awaitTermination()
-    return spark.read.schema("event_id string").parquet(f"{root}/rows")
