@@ -866,3 +866,26 @@ ORACLES: dict[str, str] = {
     ),
     "preview_events": "select event_id, user_id from events order by ts, event_id limit 10",
 }
+
+
+def _verdict(build: str, known_only: bool) -> str:
+    """The gate's summary of a build, from the SQL of its checks."""
+    rows = (
+        f"select model || '.' || column_name || '.' || test as name, passed from ({ORACLES['model_tests']})"
+        f" union all select check_name, passed from ({ORACLES['dq_gate']})"
+    )
+    if known_only:
+        sent = f"raw_events as materialized ({RAW_EVENTS})"
+        known = f"select * from ({RAW_EVENTS}) where substr(label_id, 5)::bigint < 100000000"
+        rows = rows.replace(sent, f"raw_events as materialized ({known})")
+    return f"""select '{build}' build,
+      case when bool_and(passed) then 'success' else 'failed' end status, count(*) checks,
+      coalesce(string_agg(name, ', ' order by name) filter (not passed), '') failed,
+      bool_and(passed) published from ({rows})"""
+
+
+ORACLES |= {
+    "gated_builds": f"{_verdict('as sent', False)} union all {_verdict('without orphans', True)}",
+    "published_delay_analysis": ORACLES["delay_analysis"],
+    "published_data_freshness": ORACLES["data_freshness"],
+}

@@ -552,7 +552,25 @@ def full_refresh(x: Layers) -> DataFrame:
         return staged(refresh.full_refresh(models).gold, "gold")
 
 
-def _in_two_batches(x: Layers, pick: Callable[[refresh.Models], DataFrame]) -> DataFrame:
+@query
+def gated_builds(x: Layers) -> DataFrame:
+    """What the gate says of the scans as sent, and of those that belong to a label."""
+    known = F.substring("label_id", 5, 24).cast("long") < 100_000_000
+    rows = []
+    for build, events in (("as sent", x.raw_events), ("without orphans", x.raw_events.where(known))):
+        with refresh.throwaway(x.spark) as models:
+            land_all(x.raw_labels, events, models.names)
+            said = refresh.gated_refresh(models)
+            published = x.spark.catalog.tableExists(models.names.gold)
+        rows.append((build, said["status"], said["checks"], ", ".join(said["failed"]), published))
+    return x.spark.createDataFrame(
+        rows, "build string, status string, checks bigint, failed string, published boolean"
+    )
+
+
+def _in_two_batches(
+    x: Layers, pick: Callable[[refresh.Models], DataFrame], reports: bool = False
+) -> DataFrame:
     """Everything up to a day, then the rest on top of it."""
     with refresh.throwaway(x.spark) as models:
         refresh.start_empty(models)
@@ -561,10 +579,21 @@ def _in_two_batches(x: Layers, pick: Callable[[refresh.Models], DataFrame]) -> D
                 models,
                 x.raw_labels.where(part("last_updated_at")),
                 x.raw_events.where(part("event_received_at")),
+                reports=reports,
             )
         return staged(pick(models), "batches")
 
 
+@query
+def published_delay_analysis(x: Layers) -> DataFrame:
+    return _in_two_batches(x, lambda m: m.stored(m.names.delay_analysis), reports=True)
+
+
+@query
+def published_data_freshness(x: Layers) -> DataFrame:
+    return _in_two_batches(x, lambda m: m.stored(m.names.data_freshness), reports=True)
+
+
 @query
 def incremental_silver_events(x: Layers) -> DataFrame:
     return _in_two_batches(x, lambda models: models.silver_events)

@@ -17,8 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waybill.operators.gold import delivery_performance
+from waybill.operators.gold import data_freshness, delay_analysis, delivery_performance
 from waybill.operators.latest import collapse_latest, dedup_events, event_ties
+from waybill.operators.quality import dq_gate, model_tests
 from waybill.operators.silver import (
     conform_events,
     current_labels,
@@ -93,11 +94,20 @@ def _event_rows(raw_events: DataFrame, run_ts: dt.datetime | None) -> DataFrame:
     return rows.select(*kept, RAW_TIME)
 
 
-def full_refresh(models: Models, run_ts: dt.datetime | None = None) -> Models:
-    """Rebuild Silver and Gold from the raw tables. Each model is read back before the next."""
+def full_refresh(
+    models: Models,
+    run_ts: dt.datetime | None = None,
+    raw: Names | None = None,
+    reports: bool = False,
+) -> Models:
+    """Rebuild Silver and Gold from the raw tables. Each model is read back before the next.
+
+    `raw` says where the raw tables are, if not beside the models; `reports` publishes the reports too.
+    """
     spark, names = configure(models.spark), models.names
-    raw_labels = spark.read.table(names.raw_labels).select(*RAW_LABELS.names)
-    raw_events = spark.read.table(names.raw_events).select(*RAW_EVENTS.names)
+    raw = raw or names
+    raw_labels = spark.read.table(raw.raw_labels).select(*RAW_LABELS.names)
+    raw_events = spark.read.table(raw.raw_events).select(*RAW_EVENTS.names)
 
     labels = stamp(flag_labels(current_labels(raw_labels)), run_ts).select(*SILVER_LABELS)
     by_creation = models.period("label_created_at")
@@ -112,9 +122,46 @@ def full_refresh(models: Models, run_ts: dt.datetime | None = None) -> Models:
     materialize(mart.withColumn(PERIOD, by_creation), names.gold, [PERIOD])
     if spark.catalog.tableExists(names.due):
         spark.sql(f"TRUNCATE TABLE {names.due}")
+    if reports:
+        publish_reports(models)
     return models
 
 
+def publish_reports(models: Models) -> None:
+    """The second-phase reports as tables, from the stored layers. Reads the columns they use, whole."""
+    materialize(delay_analysis(models.gold), models.names.delay_analysis)
+    fresh = data_freshness(models.silver_labels, models.silver_events)
+    materialize(fresh, models.names.data_freshness)
+
+
+def gated_refresh(
+    models: Models, run_ts: dt.datetime | None = None, warn_only: bool = False
+) -> dict:
+    """Build all models apart, test and gate them, and publish only what passes.
+
+    The summary has a status, the number of checks and the names of those that failed. A build
+    that fails leaves the published tables as they were, unless `warn_only` publishes it with warnings.
+    """
+    spark, names = configure(models.spark), models.names
+    with throwaway(spark, models.grain) as trial:
+        full_refresh(trial, run_ts, raw=names)
+        built = trial.silver_labels, trial.silver_events, trial.gold
+        tests = model_tests(*built).select(F.concat_ws(".", "model", "column_name", "test"), "passed")
+        outcome = tests.union(dq_gate(*built).select("check_name", "passed")).collect()  # one row a check
+        failed = sorted(name for name, passed in outcome if not passed)
+        status = "success" if not failed else "success_with_warnings" if warn_only else "failed"
+        if status != "failed":
+            for layer, table in (
+                (trial.names.silver_labels, names.silver_labels),
+                (trial.names.silver_events, names.silver_events),
+                (trial.names.gold, names.gold),
+            ):
+                materialize(trial.stored(layer), table, [PERIOD])
+            if spark.catalog.tableExists(names.due):
+                spark.sql(f"TRUNCATE TABLE {names.due}")
+    return {"status": status, "checks": len(outcome), "failed": failed}
+
+
 @contextmanager
 def _replacing_partitions(spark: SparkSession) -> Iterator[None]:
     """Overwrite only the partitions that are written to, at the commit of the job."""
@@ -191,6 +238,7 @@ def apply_batch(
     run_ts: dt.datetime | None = None,
     late_days: int | None = None,
     batch_id: str | None = None,
+    reports: bool = False,
 ) -> Models:
     """Add new raw rows to the raw tables and bring Silver and Gold up to date.
 
@@ -201,7 +249,8 @@ def apply_batch(
 
     With `late_days`, scans that took that long to arrive are also listed in a table of their own.
     Raw tables landed with batch ids need a `batch_id` here too; rows of a batch id that a raw table
-    has are not added again, so that a batch applied twice leaves it right as well.
+    has are not added again, so that a batch applied twice leaves it right as well. `reports` publishes
+    the reports anew, which reads their columns whole.
     """
     configure(models.spark)
     with scratch(models.spark) as space:
@@ -227,6 +276,8 @@ def apply_batch(
         if late_days is not None:
             _list_late(models, space, batch, late_days)
         _recompute_mart(models, space, run_ts)
+    if reports:
+        publish_reports(models)
     return models
 
 

@@ -66,6 +66,14 @@ class Names:
     def gold(self) -> str:
         return self.table("gold", "delivery_performance")
 
+    @property
+    def delay_analysis(self) -> str:
+        return self.table("gold", "delay_analysis")
+
+    @property
+    def data_freshness(self) -> str:
+        return self.table("gold", "data_freshness")
+
 
 def ensure_schema(spark: SparkSession, schema: str, location: str | None = None) -> None:
     where = f" LOCATION '{location}'" if location else ""
