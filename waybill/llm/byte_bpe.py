@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import base64
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -80,32 +80,31 @@ class Codec:
 
     def __init__(self, ranks: bytes, pattern: str) -> None:
         self.ranks = read_ranks(ranks)
-        self.ordered = np.array(sorted(self.ranks.values()), np.int32)
-        self.tokens = {rank: token for token, rank in self.ranks.items()}
+        self.rank_of_piece = [-1, *sorted(self.ranks.values())]
         self.sp = sentencepiece.SentencePieceProcessor(model_proto=serialise(self.ranks))
         self.pattern = regex.compile(pattern)
         self.letters = str.maketrans({chr(b): letter for b, letter in enumerate(byte_letters())})
         spelt = byte_letters()
         self.bytes = {letter: b for b, letter in enumerate(spelt)}
         self.spelling = {
-            int(self.ordered[i - 1]): bytes(self.bytes[x] for x in self.sp.id_to_piece(i))
+            self.rank_of_piece[i]: bytes(self.bytes[x] for x in self.sp.id_to_piece(i))
             for i in range(1, self.sp.get_piece_size())
         }
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
 
-    def _learn(self, pre_tokens: set[str]) -> dict[str, list[int]]:
-        """Ids of pre-tokens: one that is a token as it stands, the others by the model's merges."""
+    def _learn(self, pre_tokens: set[str]) -> dict[str, bytes]:
+        """Ids (32 bits each) of pre-tokens: a token as it stands, the others by the model's merges."""
         found, spelt = {}, []
         for token in pre_tokens:
             data = token.encode()
             if (rank := self.ranks.get(data)) is not None:
-                found[token] = [rank]
+                found[token] = array("i", [rank]).tobytes()
             else:
                 spelt.append((token, data.decode("latin-1").translate(self.letters)))
         if spelt:
             pieces = self.sp.encode([x for _, x in spelt], num_threads=1)
             for (token, _), ids in zip(spelt, pieces, strict=True):
-                found[token] = self.ordered[np.array(ids) - 1].tolist()
+                found[token] = array("i", [self.rank_of_piece[i] for i in ids]).tobytes()
         return found
 
     def encode(self, text: str) -> np.ndarray:
@@ -113,17 +112,15 @@ class Codec:
         parts = []
         for block in blocks(text):
             tokens = self.pattern.findall(block)
-            if new := set(tokens) - self.known.keys():
-                if len(self.known) > REMEMBERED:
-                    self.known.clear()
-                    new = set(tokens)
-                learnt = self._learn(new)
-                self.known |= learnt
-            parts.append(np.fromiter(chain.from_iterable(map(self.known.__getitem__, tokens)), np.int32))
+            if len(self.known) > REMEMBERED:
+                self.known.clear()
+            new = {t for t in set(tokens) if t not in self.known}
+            self.known |= self._learn(new)
+            parts.append(b"".join(map(self.known.__getitem__, tokens)))
             for token in new:
                 if len(token) > REMEMBERED_LETTERS:
                     del self.known[token]
-        return np.concatenate(parts)
+        return np.frombuffer(b"".join(parts), np.int32)
 
     def decode(self, ids: list[int]) -> bytes:
         """The bytes of ids, each piece's letters turned back."""
@@ -188,7 +185,9 @@ def decode(encoded: DataFrame, ranks: bytes, pattern: str, ids_col: str = "ids")
             for start in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(start, ROWS)
                 column = batch.column(columns.index(ids_col))
-                data = [bpe.decode(x.as_py() or []) for x in column]
+                ends = column.offsets.to_numpy()
+                values = column.values.to_numpy()
+                data = [bpe.decode(values[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(data, pa.binary())], names=[*columns, name]
                 )
