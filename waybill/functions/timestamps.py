@@ -36,7 +36,7 @@ def time_shape(raw: Column) -> Column:
 
 def zone_name(raw: Column) -> Column:
     """The trailing zone abbreviation, '' if there is none."""
-    return F.regexp_extract(raw, " ([A-Z]{2,4})$", 1)
+    return F.ltrim(F.regexp_extract(raw, SHAPES["zone_name"], 0))
 
 
 def abbr_to_offset(abbr: Column) -> Column:
@@ -65,10 +65,10 @@ def normalize_event_at(raw: Column, shape: Column | None = None) -> Column:
     shape = time_shape(raw) if shape is None else shape
     return (
         F.when(shape == "zone_name", _from_zone_name(raw))
-        .when(shape == "no_zone", F.concat(raw, F.lit("Z")))
-        .when(shape == "date_only", F.concat(raw, F.lit("T00:00:00Z")))
-        .when(shape == "slashed", F.concat(F.translate(raw, "/", "-"), F.lit("Z")))
         .when(shape == "compact", _from_compact(raw))
+        .when(shape == "slashed", F.concat(F.translate(raw, "/", "-"), F.lit("Z")))
+        .when(shape == "date_only", F.concat(raw, F.lit("T00:00:00Z")))
+        .when(shape == "no_zone", F.concat(raw, F.lit("Z")))
         .otherwise(raw)
     )
 

@@ -63,12 +63,17 @@ def on_time_summary(gold: DataFrame) -> DataFrame:
 
 
 def on_time_rollup(gold: DataFrame, by: Sequence[str]) -> DataFrame:
-    """As `on_time_by`, with subtotals; 'ALL' stands for a dimension summed over."""
+    """As `on_time_by`, with subtotals; 'ALL' stands for a dimension summed over.
+
+    `level` is the number of dimensions not summed over, which tells 'ALL' from a value of that name.
+    """
     summed = gold.rollup(*by).agg(*_tallies(), *[F.grouping(c).alias(f"__all_{c}") for c in by])
     named = [
         F.when(F.col(f"__all_{c}") == 1, F.lit("ALL")).otherwise(F.col(c)).alias(c) for c in by
     ]
-    return _shares(summed.select(*named, "labels", "delivered", "on_time"), *by)
+    over = sum((F.col(f"__all_{c}").cast("int") for c in by), F.lit(0))
+    level = (F.lit(len(by)) - over).alias("level")
+    return _shares(summed.select(*named, level, "labels", "delivered", "on_time"), *by, "level")
 
 
 def _tallies() -> list[Column]:

@@ -139,24 +139,27 @@ def gate_metrics(labels: DataFrame, events: DataFrame, gold: DataFrame) -> DataF
     summed up. Each part is a single row; they are put side by side by way of (metric, value)
     rows.
     """
-    known = F.col("event_name") != UNKNOWN_STAGE
-    stages = [F.bool_or(F.col("event_name") == s).cast("int").alias(f"has_{s}") for s in STAGES]
-    per_carrier = events.groupBy("carrier").agg(
+    # A carrier is short if it has fewer than four names other than unknown.
+    per_name = events.groupBy("carrier", "event_name").agg(
         F.count("*").alias("events"),
         F.count("event_at").alias("parsed"),
         F.count_if("is_malformed_timestamp").alias("malformed"),
-        F.count_if(~F.col("event_name").isin(EVENT_NAMES)).alias("rogue"),
-        F.count_if(known).alias("known"),
-        *stages,
     )
-    # Only the four stages count; a name outside the list is what check 1a is for.
-    seen = sum((F.coalesce(f"has_{s}", F.lit(0)) for s in STAGES), F.lit(0))
+    rogue = F.when(~F.col("event_name").isin(EVENT_NAMES), F.col("events"))
+    per_carrier = per_name.groupBy("carrier").agg(
+        F.sum("events").alias("events"),
+        F.sum("parsed").alias("parsed"),
+        F.sum("malformed").alias("malformed"),
+        F.coalesce(F.sum(rogue), F.lit(0)).alias("rogue"),
+        F.count_if(F.col("event_name") != UNKNOWN_STAGE).alias("names"),
+    )
+    short = F.col("names").between(1, len(STAGES) - 1)
     event_row = per_carrier.agg(
         F.sum("events").alias("events"),
         F.sum("parsed").alias("parsed"),
         F.sum("malformed").alias("malformed"),
         F.sum("rogue").alias("rogue"),
-        F.count_if((F.col("known") > 0) & (seen < len(STAGES))).alias("carriers_short"),
+        F.count_if(short).alias("carriers_short"),
     )
     id_row = _distinct(events, "event_id", "event_ids")
     label_row = _distinct(labels, "label_id", "label_ids", "labels")

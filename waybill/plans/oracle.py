@@ -455,9 +455,9 @@ ORACLES: dict[str, str] = {
     ),
     "on_time_rollup": after(
         "gold",
-        f"""select carrier, service_class, {ON_TIME} from gold group by all
-        union all select carrier, 'ALL', {ON_TIME} from gold group by carrier
-        union all select 'ALL', 'ALL', {ON_TIME} from gold""",
+        f"""select carrier, service_class, 2 as level, {ON_TIME} from gold group by carrier, service_class
+        union all select carrier, 'ALL', 1, {ON_TIME} from gold group by carrier
+        union all select 'ALL', 'ALL', 0, {ON_TIME} from gold""",
     ),
     "days_late": after("late", "select label_id, actual_delivery_at, days_late from late"),
     "delivery_details": after(

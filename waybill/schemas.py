@@ -4,43 +4,48 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+_STR, _INT, _TS, _BOOL = T.StringType(), T.IntegerType(), T.TimestampType(), T.BooleanType()
 
-def _schema(required: str, **columns: T.DataType) -> T.StructType:
-    needed = set(required.split())
-    return T.StructType([T.StructField(n, t, n not in needed) for n, t in columns.items()])
 
+def _required(name: str, kind: T.DataType) -> T.StructField:
+    return T.StructField(name, kind, False)
+
+
+def _optional(name: str, kind: T.DataType) -> T.StructField:
+    return T.StructField(name, kind, True)
 
-_STR, _INT, _TS, _BOOL = T.StringType(), T.IntegerType(), T.TimestampType(), T.BooleanType()
 
-RAW_LABELS = _schema(
-    "label_id customer_id carrier service_class origin_zip dest_zip weight_oz "
-    "label_created_at carrier_promised_delivery_at last_updated_at",
-    label_id=_STR,
-    customer_id=_STR,
-    carrier=_STR,
-    service_class=_STR,
-    origin_zip=_STR,
-    dest_zip=_STR,
-    weight_oz=_INT,
-    declared_value_cents=_INT,
-    label_created_at=_TS,
-    carrier_promised_delivery_at=_TS,
-    voided_at=_TS,
-    last_updated_at=_TS,
+# Columns, types and required columns of the raw tables.
+RAW_LABELS = T.StructType(
+    [
+        _required("label_id", _STR),
+        _required("customer_id", _STR),
+        _required("carrier", _STR),
+        _required("service_class", _STR),
+        _required("origin_zip", _STR),
+        _required("dest_zip", _STR),
+        _required("weight_oz", _INT),
+        _optional("declared_value_cents", _INT),
+        _required("label_created_at", _TS),
+        _required("carrier_promised_delivery_at", _TS),
+        _optional("voided_at", _TS),
+        _required("last_updated_at", _TS),
+    ]
 )
 
 # event_at stays a string: raw carrier time is kept as sent and repaired later.
-RAW_EVENTS = _schema(
-    "event_id label_id carrier event_at event_received_at",
-    event_id=_STR,
-    label_id=_STR,
-    carrier=_STR,
-    event_code=_STR,
-    event_type=_STR,
-    event_at=_STR,
-    event_received_at=_TS,
-    location_zip=_STR,
-    raw_payload=_STR,
+RAW_EVENTS = T.StructType(
+    [
+        _required("event_id", _STR),
+        _required("label_id", _STR),
+        _required("carrier", _STR),
+        _optional("event_code", _STR),
+        _optional("event_type", _STR),
+        _required("event_at", _STR),
+        _required("event_received_at", _TS),
+        _optional("location_zip", _STR),
+        _optional("raw_payload", _STR),
+    ]
 )
 
 LABEL_FLAGS = [
