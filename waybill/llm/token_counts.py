@@ -126,5 +126,8 @@ def count(
     found = misses.mapInArrow(encode, "content_digest string, n_tokens long")
     found = found.withColumn("tokenizer_digest", F.lit(version))
     found.write.mode("append").partitionBy("tokenizer_digest").parquet(cache_path)
-    stored = cached_counts(spark, cache_path, version)
-    return rows.join(stored, "content_digest").select("id", "content_digest", "n_bytes", "n_tokens")
+    # One stored row per digest, so that the rows of a frequent text can be split in the last join.
+    counts = rows.select("content_digest").distinct()
+    counts = counts.join(cached_counts(spark, cache_path, version), "content_digest")
+    counts = space.write(counts, "counts")
+    return rows.join(counts, "content_digest").select("id", "content_digest", "n_bytes", "n_tokens")
