@@ -111,6 +111,8 @@ def judge(
         )
     )
     best = best.select("host", "path", F.col("best.rule").alias("rule"), F.col("best.verdict").alias("verdict"))
+    # Stored, so that the rows of a frequent URL can be split in the last join.
+    best = space.write(best, "best")
     out = judged.join(best, ["host", "path"], "left")
     return out.select(
         *[judged[f"`{c}`"] for c in judged.columns],
