@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from waybill.sources.scratch import Scratch
 
 
-def _with_least(pairs: DataFrame) -> DataFrame:
-    """Pairs (u, v) with the least neighbour of u as m. A hub is a skewed join side, not a group."""
-    least = pairs.groupBy("u").agg(F.min("v").alias("m"))
+def _with_least(pairs: DataFrame, space: Scratch) -> DataFrame:
+    """Pairs (u, v) with the least neighbour of u as m.
+
+    The least ones are stored, so that the pairs of a hub are a skewed join side that can be split.
+    """
+    least = space.write(pairs.groupBy("u").agg(F.min("v").alias("m")), "least")
     return pairs.join(least, "u")
 
 
@@ -35,12 +38,13 @@ def components(edges: DataFrame, space: Scratch) -> DataFrame:
         seen = state
         both = stars.selectExpr("a as u", "b as v").union(stars.selectExpr("b as u", "a as v"))
         large = (
-            _with_least(both)
+            _with_least(both, space)
             .where("v > u")
             .select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
             .distinct()
         )
-        kept = _with_least(large)
+        large = space.write(large, "large")
+        kept = _with_least(large, space)
         small = kept.where("v <> m").selectExpr("v as a", "m as b")
         small = small.union(kept.selectExpr("u as a", "m as b")).distinct()
         stars = space.write(small, "stars")

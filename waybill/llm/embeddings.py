@@ -302,7 +302,9 @@ def classify(
         roots.withColumnRenamed("node", "cls"), "cls", "left"
     )
     linked = linked.withColumn("root", F.coalesce("root", "cls")).join(links, "cls", "left")
-    least = linked.groupBy("root").agg(F.min("first").alias("least"))
+    linked = space.write(linked, "rooted")
+    # Stored, so that the vectors of a large component can be split in the join.
+    least = space.write(linked.groupBy("root").agg(F.min("first").alias("least")), "least")
     linked = space.write(linked.drop("first").join(least, "root"), "linked")
     inside = rows.where(good).join(linked, ["label", "vec"]).select(
         "id",

@@ -252,8 +252,9 @@ def classify(
     edges = space.write(links(nodes.select("fp"), space, radius, bucket), "links")
     roots = components(edges, space)
     nodes = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    nodes = nodes.withColumn("root", F.coalesce("root", "fp"))
-    least = nodes.groupBy("root").agg(F.min("first").alias("first"))
+    nodes = space.write(nodes.withColumn("root", F.coalesce("root", "fp")), "roots")
+    # Stored, so that the nodes of a large component can be split in the join.
+    least = space.write(nodes.groupBy("root").agg(F.min("first").alias("first")), "least")
     nodes = space.write(nodes.drop("first").join(least, "root").select("fp", "first"), "classes")
     rows = prints.join(nodes, "fp").select(
         "id",
