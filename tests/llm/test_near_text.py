@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+import random
+import re
+
+import corpus_pipeline
+import pytest
+from waybill.llm import near_text, simhash
+
+from .conftest import ODD, SF
+
+
+def brute_shingles(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or {tuple(words)}
+
+
+def brute_classes(texts):
+    """Place -> first place reachable by links of Jaccard 0.8 or more."""
+    sets, root = [brute_shingles(t) for t in texts], list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if 5 * len(x & y) >= 4 * len(x | y):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(texts))]
+
+
+def edited(rng, words, edits):
+    words = list(words)
+    for _ in range(edits):
+        words[rng.randrange(len(words))] = f"new{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def kept_of(spark, space, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return sorted(r.doc_id for r in near_text.one_of_each(docs, space).collect())
+
+
+@pytest.mark.parametrize("block", [1 << 20, 40])
+def test_shingles_by_definition(monkeypatch, block):
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    texts = [r[1] for r in ODD] + ["É b C d e f g " * 9, " ".join(map(str, range(200)))]
+    for text in texts:
+        assert len(near_text.shingles(text or "")) == len(brute_shingles(text))
+
+
+@pytest.mark.parametrize("rounds", [3, 0])
+def test_edited_copies_are_found(spark, space, monkeypatch, rounds):
+    monkeypatch.setattr(near_text, "ROUNDS", rounds)
+    rng = random.Random(4)
+    texts = []
+    for _ in range(12):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(40, 400))]
+        texts += [edited(rng, words, rng.randrange(len(words) // 25 + 1)) for _ in range(8)]
+    rng.shuffle(texts)
+    want = [i for i, w in enumerate(brute_classes(texts)) if i == w]
+    assert 12 <= len(want) < 90
+    assert kept_of(spark, space, texts) == want
+
+
+def test_stage_on_the_table(spark, documents):
+    docs = documents.orderBy("doc_id").collect()
+    want = [r.doc_id for i, (r, w) in enumerate(zip(docs, brute_classes([r.text for r in docs]))) if i == w]
+    got = corpus_pipeline.drop_near_copies(spark, documents, SF).collect()
+    assert sorted(r.doc_id for r in got) == want
+    assert {1, 6} <= set(want) and not {177, 145} & set(want)
+
+
+def test_odd_rows(odd, clashing, none, space):
+    assert near_text.one_of_each(odd, space).count() == len(set(brute_classes([r[1] for r in ODD])))
+    assert near_text.one_of_each(clashing, space).columns == clashing.columns
+    assert near_text.one_of_each(none, space).collect() == []

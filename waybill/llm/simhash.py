@@ -27,7 +27,7 @@ LANES = 1 << 16
 _ONE = np.uint64(1)
 
 
-def _word_blocks(text: bytes) -> Iterator[list[bytes]]:
+def word_blocks(text: bytes, shingle: int = SHINGLE) -> Iterator[list[bytes]]:
     """The words of a text in blocks; each block but the first repeats the last ones before it."""
     carried: list[bytes] = []
     start = 0
@@ -37,7 +37,7 @@ def _word_blocks(text: bytes) -> Iterator[list[bytes]]:
             end += 1
         words = carried + text[start:end].split()
         yield words
-        carried = words[-(SHINGLE - 1) :]
+        carried = words[-(shingle - 1) :]
         start = end
 
 
@@ -46,7 +46,7 @@ def fingerprint(text: str) -> int:
     ones, count = np.zeros(64, np.int64), 0
     words: list[bytes] = []
     digest = xxhash.xxh64_intdigest
-    for words in _word_blocks(text.encode().lower()):
+    for words in word_blocks(text.encode().lower()):
         if len(words) < SHINGLE:
             continue
         lens = np.fromiter(map(len, words), np.int64, len(words))
