@@ -6,7 +6,9 @@ import random
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from waybill.llm import byte_bpe, common
 from waybill.llm.queries import op8_byte_bpe
 from waybill.llm.token_counts import read_model
@@ -89,3 +91,15 @@ def test_query_on_the_table(spark, documents, library):
         ids = library.encode_ordinary(texts[r.doc_id])
         assert r.n_tokens == len(ids) and r.ids_sha256 == sha(" ".join(map(str, ids)).encode())
         assert r.decoded_sha256 == sha(texts[r.doc_id].encode())
+
+
+def test_ids_that_give_another_text_are_an_error(spark, odd, monkeypatch):
+    encoded, ids = byte_bpe.encode(odd, RANKS, PATTERN)
+    again = byte_bpe.confirmed(encoded, RANKS, PATTERN, ids_col=ids).collect()
+    assert sorted(map(str, again)) == sorted(map(str, encoded.collect()))
+    wrong = encoded.withColumn(ids, F.when(F.col("doc_id") == 4, F.array(F.lit(5))).otherwise(F.col(ids)))
+    with pytest.raises(Exception, match="do not decode"):
+        byte_bpe.confirmed(wrong, RANKS, PATTERN, ids_col=ids).select("doc_id").collect()
+    monkeypatch.setattr(byte_bpe, "encode", lambda *a: (wrong, ids))
+    with pytest.raises(Exception, match="do not decode"):
+        corpus_pipeline.encode_bytes(spark, odd, SF).collect()

@@ -195,6 +195,16 @@ def decode(encoded: DataFrame, ranks: bytes, pattern: str, ids_col: str = "ids")
     return encoded.mapInArrow(run, plus(encoded, **{name: "binary"})), name
 
 
+def confirmed(
+    encoded: DataFrame, ranks: bytes, pattern: str, text_col: str = "text", ids_col: str = "ids"
+) -> DataFrame:
+    """The rows as they came; an error if the ids of one do not give its text back."""
+    decoded, data = decode(encoded, ranks, pattern, ids_col)
+    same = F.col(data) == text_of(text_col).cast("binary")
+    failed = F.raise_error(F.lit("ids that do not decode to their text")).cast("boolean")
+    return decoded.where(F.when(same, F.lit(True)).otherwise(failed)).drop(data)
+
+
 def digests(encoded: DataFrame, ids_col: str, decoded_col: str) -> DataFrame:
     """n_tokens, ids_sha256 and decoded_sha256 in place of ids and bytes."""
     rest = [f"`{c}`" for c in encoded.columns if c not in (ids_col, decoded_col)]
