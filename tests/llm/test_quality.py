@@ -42,6 +42,18 @@ def test_indicators_of_blocks_and_of_the_whole(monkeypatch):
     assert len(quality.indicators("", present)) == 0
 
 
+@pytest.mark.parametrize("block", [1, 7, 50, 333])
+def test_blocks_lose_no_indicator_of_text_that_does_not_repeat(monkeypatch, block):
+    present, rng = np.zeros(quality.SLOTS, bool), np.random.default_rng(block)
+    for _ in range(30):
+        letters = list("aaaaZ9.,-é") + ["   ", " \n", "xy xy ", "longer "]
+        text = "".join(rng.choice(letters, 700))
+        monkeypatch.setattr(quality, "BLOCK", 1 << 20)
+        whole = quality.indicators(text, present)
+        monkeypatch.setattr(quality, "BLOCK", block)
+        assert np.array_equal(whole, quality.indicators(text, present))
+
+
 def test_repeated_words_are_marked():
     data = np.frombuffer(b"ab ab cd cd. x", np.uint8)
     shown = quality._ditto(data, quality._CLASS[data])

@@ -29,7 +29,7 @@ COST = 1.0
 PASSES = 12
 #: Score from which a document is of quality.
 THRESHOLD = 0.7
-#: Bytes of a text handled at a time.
+#: Bytes of a text handled at a time, and those up to the next white space.
 BLOCK = 1 << 20
 
 _DITTO = ord("=")
@@ -87,15 +87,38 @@ def _ditto(data: np.ndarray, shown: np.ndarray) -> np.ndarray:
     return out
 
 
+def _blank_from(data: np.ndarray, at: int) -> int:
+    """The first place of white space from there on, or the end."""
+    while at < len(data):
+        found = np.flatnonzero(_CLASS[data[at : at + 4096]] == 32)
+        if len(found):
+            return at + int(found[0])
+        at += 4096
+    return len(data)
+
+
 def indicators(text: str, present: np.ndarray) -> np.ndarray:
     """Slots of the n-grams that occur in a text. present is a blank mask of SLOTS that comes back blank."""
     data = np.frombuffer(text.encode(), np.uint8)
-    for start in range(0, len(data), BLOCK):
-        part = data[start : start + BLOCK + 16]
-        shown = _ditto(part, _CLASS[part])
-        runs = shown[np.concatenate([[True], shown[1:] != shown[:-1]])]
+    runs, word = data[:0], data[:0]
+    start = 0
+    while start < len(data):
+        end = _blank_from(data, start + BLOCK)
+        # The word before tells whether the first one repeats it, five runs start the n-grams across the border.
+        part = np.concatenate([word, data[start:end]])
+        classes = _CLASS[part]
+        shown = _ditto(part, classes)[len(word) :]
+        first = np.concatenate([runs[-1:] != shown[:1] if len(runs) else [True], shown[1:] != shown[:-1]])
+        runs = np.concatenate([runs, shown[first]])
         _mark(present, runs, CLASS_ORDERS, 1)
-        _mark(present, _LOWER[part], BYTE_ORDERS, 2)
+        _mark(present, _LOWER[data[max(0, start - 2) : end]], BYTE_ORDERS, 2)
+        runs = runs[-(max(CLASS_ORDERS) - 1) :]
+        letters = np.flatnonzero(classes != 32)
+        if len(letters):
+            stop = letters[-1] + 1
+            blanks = np.flatnonzero(classes[:stop] == 32)
+            word = part[blanks[-1] + 1 if len(blanks) else 0 : stop]
+        start = end
     found = _found(present)
     present[found] = False
     return found
