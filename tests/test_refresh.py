@@ -264,6 +264,16 @@ def test_feed_keeps_one_copy_and_late_scans_go_to_their_table(spark, events_of,
     assert sorted(r.event_id for r in feed.late.collect())[:1] == ["c"]
 
 
+def test_feed_knows_ids_of_any_age_and_of_the_late_table(spark, events_of, tmp_path):
+    feed = Feed(spark, str(tmp_path / "feed"))
+    days = [[("a", "06-01")], [("b", "06-30")], [("a", "06-30"), ("c", "06-02")], [("c", "06-30")]]
+    for number, load in enumerate(days):
+        rows = [event(i, event_received_at=at(f"2026-{day} 00:00:00")) for i, day in load]
+        feed.take(events_of(*rows), number, 8)
+    assert sorted(r.event_id for r in feed.rows.collect()) == ["a", "b"]
+    assert [r.event_id for r in feed.late.collect()] == ["c"]
+
+
 def test_messages_that_hold_no_scan_keep_their_text(spark):
     good = '{"event_id": "e", "label_id": "l", "carrier": "UPS", "event_at": "x", "event_received_at": "2026-06-01T00:00:00Z"}'
     texts = [good, "no json", None, "{}", good.replace("UPS", "DHL_ECOM")]

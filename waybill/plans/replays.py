@@ -45,11 +45,17 @@ def replay(
         return staged(pick(models), "replay")
 
 
-def replay_feed(spark: SparkSession, folder: str) -> Feed:
-    """The deduplicated feed of a data folder whose scans arrive in loads out of time order."""
+def replay_feed(spark: SparkSession, folder: str, apart: bool = False) -> Feed:
+    """The deduplicated feed of a data folder whose scans arrive in loads out of time order.
+
+    Loads go by order, or, with apart, by a hash of the columns beside the id, so that copies of an
+    id come in different loads.
+    """
     root = f"{shared_folder(spark)}/waybill/{uuid.uuid4().hex}"
     orders, lines = (parcels.table(spark, folder, name) for name in ("orders", "lineitem"))
     load = F.split("event_id", "_")[1].cast("long") % LOADS
+    if apart:
+        load = F.pmod(F.xxhash64(*[n for n in RAW_EVENTS.names if n != "event_id"]), F.lit(LOADS))
     scans = parcels.raw_events(orders, lines).withColumn("load", load.cast("int"))
     scans = staged(scans, "scans")
     feed = Feed(spark, f"{root}/feed")

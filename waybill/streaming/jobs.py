@@ -106,17 +106,14 @@ class Feed:
         before = F.col("batch") != number
         with scratch(self.spark) as space:
             one = space.write(dedup_events(conform(batch, RAW_EVENTS)), "scans")
-            fresh, late = one, one.limit(0)
+            new = one
+            for known in (self.rows, self.late):
+                new = new.join(known.where(before).select("event_id"), "event_id", "left_anti")
+            fresh, late = new, new.limit(0)
             if seen is not None:
                 mark = seen - dt.timedelta(days=lateness)
                 in_time = F.coalesce(F.col("event_received_at") >= F.lit(mark), F.lit(False))
-                # Literal days prune the parts of the feed that are looked at.
-                known = self.rows.where(before & (F.col("day") >= mark.date() - dt.timedelta(lateness)))
-                fresh = one.where(in_time).join(known.select("event_id"), "event_id", "left_anti")
-                late = one.where(~in_time)
-            if not late.isEmpty():
-                for known in (self.rows, self.late):
-                    late = late.join(known.where(before).select("event_id"), "event_id", "left_anti")
+                fresh, late = new.where(in_time), new.where(~in_time)
             for name, rows in (("rows", fresh), ("late", late)):
                 placed = rows.withColumn("day", F.to_date("event_received_at")).hint("rebalance", F.col("day"))
                 path = f"{self.path}/{name}/batch={number}"
@@ -129,10 +126,9 @@ def dedup_feed(events: DataFrame, feed: Feed, checkpoint: str, lateness: int = L
     """Drop repeats of an event id while they arrive; lose no scan.
 
     The watermark is the newest arrival of earlier micro-batches less `lateness` days. A scan at or
-    after it goes to the feed unless its id is there; ids are looked up in the days that the watermark
-    still reaches. An older scan, or one without a time, goes to the late table unless its id is in
-    either, so that feed and late table together have each id once. Late scans are looked up in
-    the whole feed; a micro-batch without any does not read it.
+    after it goes to the feed, an older one, or one without a time, to the late table, each unless its
+    id is in either, so that feed and late table together have each id once, however far apart its
+    copies arrive. Every micro-batch reads the ids of both tables whole.
     """
 
     def take(batch: DataFrame, number: int) -> None:
