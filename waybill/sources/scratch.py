@@ -19,6 +19,7 @@ class Scratch:
         self.spark = spark
         self.path = f"{shared_folder(spark)}/waybill/{uuid.uuid4().hex}"
         self._written = 0
+        self._paths: dict[str, str] = {}
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         """Write a result that several later steps read, and read it back.
@@ -27,13 +28,19 @@ class Scratch:
         of files instead of the whole lineage.
         """
         self._written += 1
-        path = f"{self.path}/{self._written:03d}-{name}"
+        path = self._paths[name] = f"{self.path}/{self._written:03d}-{name}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def remove(self, name: str) -> None:
+        """Delete what was last written under a name; nothing may read it any more."""
+        self._delete(self._paths.pop(name))
+
     def drop(self) -> None:
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.path)
+        self._delete(self.path)
+
+    def _delete(self, path: str) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(
             folder, True
         )
