@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from waybill.llm import centroids
 from waybill.llm.chat import BEGIN, CLOSE, CONTROL, END, OPEN
 from waybill.llm.queries import CONTROL_CONVERSATION, URL_RULES
 
@@ -80,10 +81,44 @@ select conv_id, count(*) n_turns,
 from f group by conv_id
 """
 
+
+
+def _rounds() -> str:
+    """The rounds of the clustering; distances are exact in doubles, k numbers the centroids."""
+    kept = f"""
+v as materialized (select vec_id, list_transform(embedding, lambda x: floor({centroids.SCALE} * x::double)) e,
+    sha256('{centroids.SEED}:' || vec_id) draw
+  from embeddings where len(embedding) = {centroids.LENGTH}
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+c0 as materialized (select row_number() over (order by draw, e) - 1 k, e from v order by draw, e limit {centroids.CENTROIDS})"""
+    steps = [kept]
+    for r in range(centroids.ROUNDS + 1):
+        gap = "list_inner_product(v.e, v.e) - 2 * list_inner_product(v.e, c.e) + list_inner_product(c.e, c.e)"
+        steps.append(f"""
+m{r} as materialized (select vec_id, draw, v.e, min(({gap})::hugeint * 64 + k) m from v, c{r} c group by all),
+a{r} as materialized (select vec_id, e, m % 64 k, (m // 64)::bigint distance from m{r})""")
+        if r < centroids.ROUNDS:
+            steps.append(f"""
+s{r} as (select k, i, floor_sum(x) x from (select k, unnest(e)::hugeint x, generate_subscripts(e, 1) i from a{r}) group by k, i),
+c{r + 1} as materialized (select c.k, coalesce(n.e, c.e) e from c{r} c
+  left join (select k, list(x::double order by i) e from s{r} group by k) n using (k))""")
+    text = ",".join(steps)
+    return text.replace("floor_sum(x)", "(sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*)")
+
+
+CENTROIDS = f"""
+with {_rounds()}
+select vec_id, a.k::int as cluster, distance, (sum(distance) over (partition by a.k))::bigint cluster_inertia,
+  (sum(distance) over ())::bigint inertia,
+  sha256(array_to_string(list_transform(c.e, lambda x: x::bigint), ',')) centroid_sha256
+from a{centroids.ROUNDS} a join c{centroids.ROUNDS} c using (k)
+"""
+
 ORACLES = {
     "op1_exact_dedup": EXACT,
     "op3_mixing": MIXING,
     "op6_embedding_dedup": EMBEDDINGS,
     "op7_url_rules": URLS,
     "op10_chat_format": CHAT,
+    "op13_centroids": CENTROIDS,
 }

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.llm import (
+    alignment,
     byte_bpe,
+    centroids,
     chat,
     embeddings,
     exact_dedup,
     mixing,
+    packing,
     quality,
     sharding,
     simhash,
@@ -146,6 +151,45 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = alignment.ranks_of(token_counts.read_model(public_tokenizers.path("byte_bpe_50k.json")))
+    pieces = token_counts.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    docs = _table(spark, folder, "documents")
+    groups = F.col("groups")
+    digest = {"groups_sha256": F.when(groups == "", "").otherwise(F.sha2(groups, 256))}
+    rows, _, _, _ = alignment.align(
+        docs, ranks, public_tokenizers.PATTERN, pieces, session_space(spark), give=digest
+    )
+    return rows.withColumnRenamed("id", "doc_id").drop("row")
+
+
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    model = token_counts.read_model(public_tokenizers.path("word_bpe_49k.json"))
+    pieces, _, _ = packing.pack(_table(spark, folder, "documents"), model, session_space(spark))
+    return pieces.select(
+        F.col("id").alias("doc_id"),
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    rows, last, _, _ = centroids.cluster(_table(spark, folder, "embeddings"), session_space(spark))
+    sums = {r.cluster: r.d for r in rows.groupBy("cluster").agg(F.sum("distance").alias("d")).collect()}
+    plan = [
+        (k, d, sum(sums.values()), hashlib.sha256(",".join(map(str, last[k].tolist())).encode()).hexdigest())
+        for k, d in sums.items()
+    ]
+    fields = "cluster int, cluster_inertia long, inertia long, centroid_sha256 string"
+    plan = F.broadcast(spark.createDataFrame(plan, fields))  # a row per centroid
+    rows = rows.select(F.col("id").alias("vec_id"), "cluster", "distance")
+    return rows.join(plan, "cluster").select("vec_id", "cluster", "distance", *plan.columns[1:])
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -159,5 +203,8 @@ QUERIES = {
         op8_byte_bpe,
         op9_sharding,
         op10_chat_format,
+        op11_alignment,
+        op12_packing,
+        op13_centroids,
     )
 }

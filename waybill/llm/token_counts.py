@@ -26,7 +26,7 @@ _CUT = re.compile("[A-Za-z0-9] (?=[A-Za-z0-9])")
 
 
 @cache
-def _processor(model: bytes) -> tuple[sentencepiece.SentencePieceProcessor, bool]:
+def processor(model: bytes) -> tuple[sentencepiece.SentencePieceProcessor, bool]:
     """The encoder, and whether a text may be cut at a space between ASCII letters or digits.
 
     It may if the encoder puts a space before each text and no piece has a space behind another letter.
@@ -39,7 +39,7 @@ def _processor(model: bytes) -> tuple[sentencepiece.SentencePieceProcessor, bool
     return sp, apart and alike
 
 
-def _parts(text: str, size: int) -> Iterator[str]:
+def text_parts(text: str, size: int) -> Iterator[str]:
     """The text cut at single spaces, which are left out, into parts of about that size."""
     start = 0
     while len(text) - start > size and (m := _CUT.search(text, start + size)):
@@ -50,9 +50,9 @@ def _parts(text: str, size: int) -> Iterator[str]:
 
 def count_tokens(model: bytes, text: str, long: int = LONG) -> int:
     """Number of tokens as the library gives them, without begin or end tokens."""
-    sp, may_cut = _processor(model)
+    sp, may_cut = processor(model)
     if may_cut and len(text) > long:
-        return sum(len(sp.encode(part)) for part in _parts(text, long))
+        return sum(len(sp.encode(part)) for part in text_parts(text, long))
     return len(sp.encode(text))
 
 
