@@ -274,6 +274,57 @@ def test_feed_knows_ids_of_any_age_and_of_the_late_table(spark, events_of, tmp_p
     assert [r.event_id for r in feed.late.collect()] == ["c"]
 
 
+def feed_loads(spark, tmp_path, loads, remember=None):
+    """Load after load through streams that start from the checkpoint of the one before."""
+    feed, inbox, checkpoint = Feed(spark, str(tmp_path / "feed")), str(tmp_path / "inbox"), str(tmp_path / "c")
+    for load in loads:
+        load.coalesce(1).write.mode("append").parquet(inbox)
+        dedup_feed(file_events(spark, inbox), feed, checkpoint, remember=remember).awaitTermination()
+    return feed
+
+
+def ids(rows):
+    return sorted(r.event_id for r in rows.select("event_id").collect())
+
+
+def received(events_of, *scans):
+    return events_of(*[event(i, event_received_at=at(f"2026-{day} 00:00:00")) for i, day in scans])
+
+
+def test_state_knows_ids_of_any_age_after_restarts(spark, events_of, tmp_path):
+    days = [[("a", "06-01")], [("b", "06-30")], [("a", "06-30"), ("c", "06-02")], [("c", "06-30"), ("e", "06-29")]]
+    feed = feed_loads(spark, tmp_path, [received(events_of, *load) for load in days])
+    assert (ids(feed.rows), ids(feed.late)) == (["a", "b", "e"], ["c"])
+    assert all(len(list((tmp_path / "feed" / t).glob("batch=*/*.parquet"))) <= 10 for t in ("rows", "late"))
+
+
+def test_state_of_some_days_settles_what_is_in_time(spark, events_of, tmp_path):
+    """Only scans that the watermark has passed are looked up in the stored ids."""
+    days = [
+        [("a", "06-01"), ("b", "06-30")],
+        [("b", "06-28"), ("c", "06-29"), ("d", "06-02")],
+        [("c", "06-30"), ("d", "06-03"), ("a", "06-01"), ("f", "06-01")],
+    ]
+    feed = feed_loads(spark, tmp_path, [received(events_of, *load) for load in days], remember=8)
+    assert (ids(feed.rows), ids(feed.late)) == (["a", "b", "c"], ["d", "f"])
+    batch = received(events_of, ("unseen", "06-30"), ("g", "06-01")).withColumn("is_new", F.lit(False))
+    batch = batch.unionByName(batch.limit(0).withColumn("is_new", F.lit(True)))
+    feed.take(batch, 9, 8, remember=8)
+    assert (ids(feed.rows), ids(feed.late)) == (["a", "b", "c"], ["d", "f", "g"])
+
+
+def test_micro_batch_that_runs_again_after_a_crash(spark, events_of, tmp_path):
+    days = [[("a", "06-30")], [("a", "06-30"), ("b", "06-29"), ("c", "06-01")]]
+    feed = feed_loads(spark, tmp_path, [received(events_of, *load) for load in days])
+    # The driver is lost after the micro-batch wrote its parts and before it was committed.
+    for name in ("1", ".1.crc"):
+        (tmp_path / "c" / "commits" / name).unlink()
+    run = dedup_feed(file_events(spark, str(tmp_path / "inbox")), feed, str(tmp_path / "c"))
+    run.awaitTermination()
+    assert [p["batchId"] for p in run.recentProgress][:1] == [1]
+    assert (ids(feed.rows), ids(feed.late)) == (["a", "b"], ["c"])
+
+
 def test_messages_that_hold_no_scan_keep_their_text(spark):
     good = '{"event_id": "e", "label_id": "l", "carrier": "UPS", "event_at": "x", "event_received_at": "2026-06-01T00:00:00Z"}'
     texts = [good, "no json", None, "{}", good.replace("UPS", "DHL_ECOM")]

@@ -808,6 +808,7 @@ ORACLES: dict[str, str] = {
     "stream_silver_events": after("silver_events", "select * from silver_events"),
     "stream_delivery_performance": after("gold", "select * from gold"),
     "stream_dedup_events": after("raw_events", "select distinct event_id from raw_events"),
+    "stream_dedup_recent": after("raw_events", "select distinct event_id from raw_events"),
     "stream_late_events": after(
         "raw_events",
         """select event_id, max(event_received_at) event_received_at

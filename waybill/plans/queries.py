@@ -621,6 +621,13 @@ def stream_dedup_events(x: Layers) -> DataFrame:
     return feed.rows.select("event_id").unionByName(feed.late.select("event_id"))
 
 
+@query
+def stream_dedup_recent(x: Layers) -> DataFrame:
+    """The same with ids remembered for a week behind the newest arrival and looked up in the tables beyond."""
+    feed = replays.replay_feed(x.spark, x.folder, apart=True, remember=8)
+    return feed.rows.select("event_id").unionByName(feed.late.select("event_id"))
+
+
 @query
 def stream_late_events(x: Layers) -> DataFrame:
     """Scans that came after the watermark had passed them."""

@@ -45,7 +45,9 @@ def replay(
         return staged(pick(models), "replay")
 
 
-def replay_feed(spark: SparkSession, folder: str, apart: bool = False) -> Feed:
+def replay_feed(
+    spark: SparkSession, folder: str, apart: bool = False, remember: int | None = None
+) -> Feed:
     """The deduplicated feed of a data folder whose scans arrive in loads out of time order.
 
     Loads go by order, or, with apart, by a hash of the columns beside the id, so that copies of an
@@ -63,5 +65,5 @@ def replay_feed(spark: SparkSession, folder: str, apart: bool = False) -> Feed:
     for number in range(LOADS):
         part = scans.where(F.col("load") == number).select(*RAW_EVENTS.names)
         part.write.mode("append").parquet(inbox)
-        dedup_feed(file_events(spark, inbox), feed, checkpoint).awaitTermination()
+        dedup_feed(file_events(spark, inbox), feed, checkpoint, remember=remember).awaitTermination()
     return feed

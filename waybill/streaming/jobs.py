@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -18,6 +20,7 @@ from waybill.sources.scratch import scratch
 from waybill.sources.tables import conform, has_batch_ids
 
 LATENESS_DAYS = 8
+_STATE = "org.apache.spark.sql.execution.streaming.state"
 
 
 def file_events(
@@ -79,13 +82,12 @@ class Feed:
     def _read(self, name: str, schema: str) -> DataFrame:
         path = f"{self.path}/{name}"
         types = T.StructType.fromDDL(schema)
-        self.spark.createDataFrame([], types).drop("batch", "day").write.mode("ignore").parquet(
-            f"{path}/batch=-1/day=1900-01-01"
-        )
+        empty = self.spark.createDataFrame([], types).drop("batch")
+        empty.write.mode("ignore").parquet(f"{path}/batch=-1")
         return self.spark.read.option("basePath", path).schema(types).parquet(path)
 
     def _rows(self, name: str) -> DataFrame:
-        return self._read(name, f"{RAW_EVENTS.toDDL()}, batch long, day date")
+        return self._read(name, f"{RAW_EVENTS.toDDL()}, batch long")
 
     @property
     def rows(self) -> DataFrame:
@@ -98,48 +100,107 @@ class Feed:
     @property
     def marks(self) -> DataFrame:
         """The newest time of arrival in each micro-batch."""
-        return self._read("marks", "newest timestamp, batch long, day date")
+        return self._read("marks", "newest timestamp, batch long")
+
+    def stored_ids(self, before: int) -> DataFrame:
+        """Ids that other micro-batches have brought. Reads no other column of the two tables."""
+        tables = [t.where(F.col("batch") != before).select("event_id") for t in (self.rows, self.late)]
+        return tables[0].unionByName(tables[1])
 
-    def take(self, batch: DataFrame, number: int, lateness: int) -> None:
-        """Add a micro-batch."""
+    def take(self, marked: DataFrame, number: int, lateness: int, remember: int | None = None) -> None:
+        """Add a micro-batch: its scans, and besides, where is_new, the ids that the state store had not seen.
+
+        Scans without that column, and with `remember` those older than that, are looked up in the stored ids.
+        """
         seen = self.marks.where(F.col("batch") < number).agg(F.max("newest")).first()[0]
-        before = F.col("batch") != number
+        received, none = F.col("event_received_at"), F.lit(False)
+        late = none
+        if seen is not None:
+            late = F.coalesce(received < F.lit(seen - dt.timedelta(days=lateness)), F.lit(True))
+        has_state = "is_new" in marked.columns
         with scratch(self.spark) as space:
-            one = space.write(dedup_events(conform(batch, RAW_EVENTS)), "scans")
-            new = one
-            for known in (self.rows, self.late):
-                new = new.join(known.where(before).select("event_id"), "event_id", "left_anti")
-            fresh, late = new, new.limit(0)
-            if seen is not None:
-                mark = seen - dt.timedelta(days=lateness)
-                in_time = F.coalesce(F.col("event_received_at") >= F.lit(mark), F.lit(False))
-                fresh, late = new.where(in_time), new.where(~in_time)
-            for name, rows in (("rows", fresh), ("late", late)):
-                placed = rows.withColumn("day", F.to_date("event_received_at")).hint("rebalance", F.col("day"))
-                path = f"{self.path}/{name}/batch={number}"
-                placed.write.mode("overwrite").partitionBy("day").parquet(path)
+            # Written once, as each evaluation of a micro-batch runs its state again.
+            marked = space.write(marked if has_state else marked.withColumn("is_new", none), "marked")
+            scans = marked.where("not is_new").select(*RAW_EVENTS.names)
+            one = space.write(dedup_events(conform(scans, RAW_EVENTS)), "scans")
+            if not has_state:
+                forgotten = F.lit(True)
+            elif remember is None:
+                forgotten = none
+            elif seen is None:
+                forgotten = received.isNull()
+            else:
+                # Spark drops what its watermark, the same one cut to milliseconds, has reached.
+                forgotten = F.coalesce(received <= F.lit(seen - dt.timedelta(days=remember)), F.lit(True))
+            ids = marked.where("is_new").select(F.col("event_id").alias("new_id"))
+            new = one.where(~forgotten).join(ids, F.col("event_id").eqNullSafe(F.col("new_id")), "left_semi")
+            if not has_state or remember is not None:
+                looked_up = one.where(forgotten).join(self.stored_ids(number), "event_id", "left_anti")
+                new = new.unionByName(looked_up)
+            new = space.write(new, "new")
+            for name, rows in (("rows", new.where(~late)), ("late", new.where(late))):
+                rows.hint("rebalance").write.mode("overwrite").parquet(f"{self.path}/{name}/batch={number}")
             newest = one.agg(F.max("event_received_at").alias("newest"))
-            newest.write.mode("overwrite").parquet(f"{self.path}/marks/batch={number}/day=1900-01-01")
-
-
-def dedup_feed(events: DataFrame, feed: Feed, checkpoint: str, lateness: int = LATENESS_DAYS) -> StreamingQuery:
+            newest.write.mode("overwrite").parquet(f"{self.path}/marks/batch={number}")
+
+
+@contextmanager
+def _state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams that start in the block keep their state in RocksDB and upload what changed."""
+    settings = {
+        "spark.sql.streaming.stateStore.providerClass": f"{_STATE}.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def dedup_feed(
+    events: DataFrame,
+    feed: Feed,
+    checkpoint: str,
+    lateness: int = LATENESS_DAYS,
+    remember: int | None = None,
+) -> StreamingQuery:
     """Drop repeats of an event id while they arrive; lose no scan.
 
-    The watermark is the newest arrival of earlier micro-batches less `lateness` days. A scan at or
-    after it goes to the feed, an older one, or one without a time, to the late table, each unless its
-    id is in either, so that feed and late table together have each id once, however far apart its
-    copies arrive. Every micro-batch reads the ids of both tables whole.
+    A scan goes to the feed if it arrived less than `lateness` days before the newest one of earlier micro-batches,
+    and else, or without a time, to the late table. Of the copies in a micro-batch the one received
+    last stays. Ids that came before are known to the state store, partitioned by id, in which a micro-batch looks up
+    its own ids and no others: its cost does not grow with what is stored, nor do the number of its files.
+
+    Ids are remembered for good, so that feed and late table together have each id once however far apart
+    its copies arrive; the state grows by one key for each scan. With `remember` it holds the ids of so many days
+    behind the newest arrival. Scans in that time are settled by it alone; only older ones are looked
+    up in the stored ids. An id then comes twice only if a copy is still in time more than
+    `remember` days after an earlier one. The number of state partitions is fixed by the first start.
     """
+    scans = conform(events, RAW_EVENTS)
+    if remember is None:
+        ids = scans.select("event_id").dropDuplicates(["event_id"])
+    else:
+        timed = scans.select("event_id", "event_received_at").where("event_received_at is not null")
+        timed = timed.withWatermark("event_received_at", f"{remember} days")
+        ids = timed.dropDuplicatesWithinWatermark(["event_id"]).select("event_id")
+    new = ids.withColumn("is_new", F.lit(True))
+    marked = scans.withColumn("is_new", F.lit(False)).unionByName(new, allowMissingColumns=True)
 
     def take(batch: DataFrame, number: int) -> None:
-        replace(feed, spark=batch.sparkSession).take(batch, number, lateness)
-
-    return (
-        events.writeStream.foreachBatch(take)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+        replace(feed, spark=batch.sparkSession).take(batch, number, lateness, remember)
+
+    with _state_on_disk(events.sparkSession):
+        return (
+            marked.writeStream.foreachBatch(take)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
 
 
 def keep_current(
