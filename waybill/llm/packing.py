@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -22,8 +23,8 @@ WINDOW = 4096
 END = 2
 #: Steps of the descent; parts of a combination that the greedy pass makes.
 STEPS, PARTS = 100, 16
-#: Words that a worker remembers, and the longest of them.
-REMEMBERED, REMEMBERED_LETTERS = 200_000, 64
+#: Words and pre-tokens that a worker remembers, and the longest of them.
+REMEMBERED, REMEMBERED_LETTERS = 300_000, 64
 #: Bytes of ids in an output batch.
 BATCH = 4 << 20
 
@@ -35,26 +36,57 @@ class Encoder:
     """Ids by a tokenizer file, without added tokens around the text.
 
     Where the tokenizer drops the white space between words and looks at no two words at once, which a
-    probe tells, each distinct word is encoded once while remembered.
+    probe tells, words and pre-tokens are encoded once while remembered: the library normalises and parts the words
+    that are new, and its model encodes the pre-tokens that are.
     """
 
     def __init__(self, model: bytes) -> None:
         self.library = Tokenizer.from_buffer(model)
         self.library.no_truncation()
         self.library.no_padding()
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        # Two generations each: what the older one has and is met again moves to the younger one.
         self.known: dict[str, bytes] = {}
-        words = _PROBE.split(" ")
-        whole = self._ids([_PROBE, _PROBE.replace(" ", "  "), _PROBE.replace(" ", "\n")])
-        self.apart = set(whole) == {b"".join(self._ids(words))}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, np.int32).tobytes() for x in found]
+        self.known_before: dict[str, bytes] = {}
+        self.pre_tokens: dict[str, bytes] = {}
+        self.pre_tokens_before: dict[str, bytes] = {}
+        whole = {self._whole(_PROBE.replace(" ", gap)) for gap in (" ", "  ", "\n")}
+        self.apart = whole == {b"".join(map(self._whole, _PROBE.split(" ")))}
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.int32).tobytes()
+
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        plain, text = words, " ".join(words)
+        if text.split() != words or any(a in text for a in self.added):
+            plain = [w for w in words if w.split() == [w] and not any(a in w for a in self.added)]
+            text = " ".join(plain)
+        if self.library.normalizer is not None:
+            text = self.library.normalizer.normalize_str(text)
+        gaps = np.flatnonzero(np.frombuffer(text.encode("utf-32-le"), np.uint32) == 32)
+        if len(gaps) + 1 != len(plain):
+            plain, parts = [], []
+        else:
+            parts = self.library.pre_tokenizer.pre_tokenize_str(text)
+        if len(self.pre_tokens) > REMEMBERED // 2:
+            self.pre_tokens, self.pre_tokens_before = {}, self.pre_tokens
+        known, before, tokenize = self.pre_tokens, self.pre_tokens_before, self.library.model.tokenize
+        found: list[list[bytes]] = [[] for _ in plain]
+        places = np.searchsorted(gaps, [start for _, (start, _) in parts]).tolist()
+        for at, (part, _) in zip(places, parts):
+            ids = known.get(part)
+            if ids is None:
+                ids = before.get(part) or array("i", [t.id for t in tokenize(part)]).tobytes()
+                if len(part) <= REMEMBERED_LETTERS:
+                    known[part] = ids
+            found[at].append(ids)
+        out = {w: b"".join(x) for w, x in zip(plain, found)}
+        return out if len(out) == len(words) else out | {w: self._whole(w) for w in words if w not in out}
 
     def encode(self, text: str) -> bytes:
         """Ids of a text, four bytes each, low byte first."""
         if not self.apart:
-            return self._ids([text])[0]
+            return self._whole(text)
         parts = []
         for block in blocks(text):
             words = block.replace("\n", " ").split(" ")
@@ -62,13 +94,16 @@ class Encoder:
                 parts.append(b"".join(map(self.known.__getitem__, words)))
             except KeyError:
                 if len(self.known) > REMEMBERED:
-                    self.known.clear()
-                new = [w for w in set(words) if w not in self.known]
-                self.known |= dict(zip(new, self._ids(new), strict=True))
-                parts.append(b"".join(map(self.known.__getitem__, words)))
+                    self.known, self.known_before = {}, self.known
+                known, before = self.known, self.known_before
+                new = [w for w in set(words) if w not in known]
+                known.update((w, before[w]) for w in new if w in before)
+                new = [w for w in new if w not in before]
+                known |= self._learn(new)
+                parts.append(b"".join(map(known.__getitem__, words)))
                 for word in new:
                     if len(word) > REMEMBERED_LETTERS:
-                        del self.known[word]
+                        del known[word]
         return b"".join(parts)
 
 
