@@ -2,9 +2,9 @@
 
 A window over a key sorts all rows of the key in one task, which no key with a large part of the
 table survives. Here the rows are range-partitioned by key and order and written out with the number
-of their slice; windows run per key and slice, and one small row per key and slice carries what the
-next slice has to know. A key that fits one slice has one such row. Nothing depends on how large
-a key is, and the slices never decide what the result is.
+of their slice, and windows run per key and slice. As slices are ranges, only the key at a border can go on in
+another slice: one row per slice carries what the next one has to know, however many keys there
+are. Nothing depends on how large a key is, and the slices never decide what the result is.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from waybill.sources.scratch import Scratch, staged
 
 _KEY, _SLICE = "__key", "__slice"
-_OFFSET, _EDGE, _NEAR = "__offset", "__edge", "__near"
+_FIRST, _LAST, _OFFSET, _EDGE, _NEAR = "__first", "__last", "__offset", "__edge", "__near"
 
 
 def _sliced(
@@ -38,18 +38,24 @@ def _ranked(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, space: Scratch | None
 ) -> DataFrame:
     sliced = _sliced(df, keys, order, space)
-    earlier = Window.partitionBy(_KEY).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sliced.groupBy(_KEY, _SLICE)
-        .agg(F.count("*").alias("__rows"))
-        .select(_KEY, _SLICE, F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias(_OFFSET))
-    )
+    ends = sliced.groupBy(_SLICE).agg(F.min(_KEY).alias(_FIRST), F.max(_KEY).alias(_LAST))
+    ends = staged(ends, "ends", space)
+    lasts = sliced.join(F.broadcast(ends), _SLICE).where(F.col(_KEY).eqNullSafe(F.col(_LAST)))
+    ends = ends.join(lasts.groupBy(_SLICE).agg(F.count("*").alias("__rows")), _SLICE)
+    # Rows of the last key up to here; a key's slices follow each other.
+    so_far = F.sum("__rows").over(Window.partitionBy(_LAST).orderBy(_SLICE))
+    ends = ends.withColumn("__so_far", so_far)
+    along = Window.orderBy(_SLICE)  # a row per slice, whatever the number of rows
+    goes_on = F.lag(_LAST).over(along).eqNullSafe(F.col(_FIRST))
+    offset = F.when(goes_on, F.lag("__so_far").over(along)).otherwise(0)
+    offsets = staged(ends.select(_SLICE, _FIRST, offset.alias(_OFFSET)), "offsets", space)
     within = Window.partitionBy(_KEY, _SLICE).orderBy(*order)
+    before = F.when(F.col(_KEY).eqNullSafe(F.col(_FIRST)), F.col(_OFFSET)).otherwise(0)
     return (
         sliced.withColumn(name, F.row_number().over(within))
-        .join(offsets, [_KEY, _SLICE])
-        .withColumn(name, F.col(name) + F.col(_OFFSET))
-        .drop(_KEY, _SLICE, _OFFSET)
+        .join(F.broadcast(offsets), _SLICE)
+        .withColumn(name, F.col(name) + before)
+        .drop(_KEY, _SLICE, _FIRST, _OFFSET)
     )
 
 
@@ -86,13 +92,15 @@ def with_neighbour(
     columns = thinned.columns
     sliced = _sliced(thinned, keys, order, space)
     # The row of a slice that the adjacent slice has to see: its first one when looking forward,
-    # its last one when looking back.
+    # its last one when looking back. It counts only for the same key.
     outermost = F.min_by if which == "next" else F.max_by
-    edges = sliced.groupBy(_KEY, _SLICE).agg(outermost(picked, F.struct(*order)).alias(_EDGE))
-    along = Window.partitionBy(_KEY).orderBy(_SLICE)
-    across = edges.select(_KEY, _SLICE, step(_EDGE).over(along).alias(_EDGE))
+    row = F.struct(F.col(_KEY).alias("key"), picked.alias("row"))
+    edges = sliced.groupBy(_SLICE).agg(outermost(row, F.struct(_KEY, *order)).alias(_EDGE))
+    along = Window.orderBy(_SLICE)  # a row per slice, whatever the number of rows
+    across = staged(edges.select(_SLICE, step(_EDGE).over(along).alias(_EDGE)), "edges", space)
     within = Window.partitionBy(_KEY, _SLICE).orderBy(*order)
-    joined = sliced.withColumn(_NEAR, step(picked).over(within)).join(across, [_KEY, _SLICE])
-    near: Column = F.coalesce(_NEAR, _EDGE)
+    joined = sliced.withColumn(_NEAR, step(picked).over(within)).join(F.broadcast(across), _SLICE)
+    over = F.when(F.col(f"{_EDGE}.key").eqNullSafe(F.col(_KEY)), F.col(f"{_EDGE}.row"))
+    near: Column = F.coalesce(_NEAR, over)
     named = [near[c].alias(f"{which}_{c}") for c in take]
     return joined.select(*columns, *named, near.isNotNull().alias(f"has_{which}"))
