@@ -41,6 +41,36 @@ def test_a_third_of_all_rows_in_one_slot_is_dealt_out(spark, space):
     assert len(loads) == 8 and max(loads.values()) < 1.02 * min(loads.values())
 
 
+def shards_of(spark, space, rows, **named):
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    placed, _, _ = sharding.shard(docs, space, f"{space.path}/map-{len(rows)}", **named)
+    loads, of, places = Counter(), defaultdict(set), defaultdict(list)
+    for r in placed.collect():
+        loads[r.shard] += r.size
+        of[rows[r.id]].add(r.shard)
+        places[r.shard].append(r.position)
+    assert all(sorted(x) == list(range(len(x))) for x in places.values())
+    return loads, of
+
+
+def test_equal_texts_that_fit_a_shard_stay_together(spark, space, monkeypatch):
+    """Between a sixteenth and an eighth of all bytes, beside others."""
+    monkeypatch.setattr(sharding, "RANKED", 40)
+    others = [f"text {i} " + "x" * (i % 200) for i in range(3000)]
+    total = sum(len(t) + 1 for t in others)
+    group = ["g" * 2000] * int(total / 0.88 * 0.11 / 2001)
+    loads, of = shards_of(spark, space, others + group)
+    assert len(of[group[0]]) == 1
+    assert max(loads.values()) < 1.02 * min(loads.values())
+
+
+def test_groups_are_split_where_the_sizes_need_it(spark, space):
+    """Nine groups of a ninth cannot stay whole in eight equal shards."""
+    rows = [f"group {i % 9} " + "y" * 100 for i in range(9 * 300)]
+    loads, of = shards_of(spark, space, rows)
+    assert max(loads.values()) < 1.05 * min(loads.values())
+
+
 def test_map_is_edited_when_shards_are_added(spark, space, documents):
     path = f"{space.path}/map"
     first = {r.id: r.shard for r in sharding.shard(documents, space, path)[0].collect()}

@@ -6,22 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from waybill.llm.common import keyed, text_of
+from waybill.llm.common import keyed, small, text_of
 from waybill.sources.scratch import Scratch
 
-#: Slots never change in number; each is made of so many grains, into which a heavy slot can be taken apart.
+#: Slots never change in number; a heavy one is taken apart into grains, by another hash of the text.
 SLOTS, GRAINS = 4096, 64
+#: Parts, per share of a shard, of a text that is too heavy to stay whole.
+PARTS = 16
+#: Shards may differ by so much of the mean before groups are split further, down to this part of a share.
+SPREAD, FINEST = 0.01, 64
+#: Rows that one task ranks.
+RANKED = 200_000
 
 MAP = "version int, slot int, grain int, shard int, bytes long"
 
-Unit = tuple[int, int]  # slot and grain; grain -1 is the whole slot
+Unit = tuple[int, int]  # slot and grain; grain -1 is the whole slot, one from GRAINS on a part of heavy texts
 
 
-def cells(docs: DataFrame, space: Scratch, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame, str]:
-    """(one row per document, bytes and rows of each slot and grain, documents with a key, its name).
-
-    The slot comes from the text, so equal texts share one; the grain from the id and the row.
-    """
+def hashed(docs: DataFrame, space: Scratch, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, str]:
+    """(one row per document, documents with a key, its name). Slot and grain come from the text."""
     docs, key = keyed(docs, id_col, space)
     text = text_of(text_col)
     rows = docs.select(
@@ -29,27 +32,47 @@ def cells(docs: DataFrame, space: Scratch, id_col: str, text_col: str) -> tuple[
         F.col(key).alias("row"),
         (F.octet_length(text).cast("long") + 1).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.pmod(F.xxhash64(text), F.lit(SLOTS)).cast("int").alias("cell_slot"),
-        F.pmod(F.xxhash64(F.lit("grain"), F.col(key)), F.lit(GRAINS)).cast("int").alias("cell_grain"),
+        F.xxhash64(text).alias("cell_text"),
+        F.pmod(F.xxhash64(F.lit("grain"), text), F.lit(GRAINS)).cast("int").alias("cell_grain"),
     )
-    rows = space.write(rows, "rows")
-    sums = rows.groupBy("cell_slot", "cell_grain")
-    sums = sums.agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
-    return rows, space.write(sums, "cells"), docs, key
+    slot = F.pmod("cell_text", F.lit(SLOTS)).cast("int")
+    return space.write(rows.withColumn("cell_slot", slot), "rows"), docs, key
+
 
+def _sums(rows: DataFrame, space: Scratch) -> DataFrame:
+    sums = rows.groupBy("cell_slot", "cell_grain").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
+    return space.write(sums, "cells")
 
-def units(sums: DataFrame, shards: int) -> dict[Unit, int]:
-    """Bytes of what a map assigns: slots, and grains of slots that hold more than half a shard's share.
 
-    At most SLOTS rows, and GRAINS for each of the few heavy slots, reach the driver.
+def units(
+    rows: DataFrame, sums: DataFrame, space: Scratch, bound: float
+) -> tuple[dict[Unit, int], DataFrame, DataFrame]:
+    """(bytes of what a map assigns, rows and sums in these cells): slots, grains of slots above the bound, parts of texts above it.
+
+    Equal texts stay in one unit unless they exceed the bound by themselves. At most SLOTS rows, GRAINS for
+    each of the few heavy slots and the few heavy texts reach the driver.
     """
     by_slot = {r.cell_slot: r.b for r in sums.groupBy("cell_slot").agg(F.sum("bytes").alias("b")).collect()}
-    bound = sum(by_slot.values()) / (2 * shards)
     heavy = [s for s, b in by_slot.items() if b > bound]
+    if heavy:
+        grains = sums.where(F.col("cell_slot").isin(heavy) & (F.col("bytes") > bound)).collect()
+        inside = F.struct("cell_slot", "cell_grain").isin(
+            [F.struct(F.lit(r.cell_slot), F.lit(r.cell_grain)) for r in grains]
+        )
+        texts = rows.where(inside if grains else F.lit(False)).groupBy("cell_text").agg(F.sum("size").alias("b"))
+        hot = {r.cell_text: -int(-PARTS * r.b // bound) for r in texts.where(F.col("b") > bound).collect()}
+        if hot:
+            parts = F.lit(0)
+            for text, n in hot.items():
+                parts = F.when(F.col("cell_text") == text, n).otherwise(parts)
+            part = GRAINS + F.pmod(F.xxhash64(F.lit("part"), F.col("row")), parts)
+            cell = F.when(F.col("cell_text").isin(list(hot)), part.cast("int")).otherwise(F.col("cell_grain"))
+            rows = rows.withColumn("cell_grain", cell)
+            sums = _sums(rows, space)
     out: dict[Unit, int] = {(s, -1): b for s, b in by_slot.items() if b <= bound}
     for r in sums.where(F.col("cell_slot").isin(heavy)).collect() if heavy else []:
         out[r.cell_slot, r.cell_grain] = r.bytes
-    return out
+    return out, rows, sums
 
 
 def assign(sizes: dict[Unit, int], shards: int) -> dict[Unit, int]:
@@ -121,29 +144,47 @@ def shard(
     The rows have id, row, size (UTF-8 bytes and one; null counts as empty), text_crc32, shard, position
     (from 0 without gaps within the shard), cell_slot, map_version. The bytes of the slots are
     summed and the slots packed so that shards have nearly equal bytes; a map that is stored at the
-    path is edited, and each call that changes it adds a version. Equal texts share a slot and so a shard, unless
-    the slot is above half a shard's share; then its grains are packed apart. Rows that repeat
-    an id are rows of their own. An empty table gives no rows and an empty version.
-
-    Positions come from counts of slots and grains, of which there are SLOTS times GRAINS at most, and a rank
-    within each, so no task ranks a whole shard or a hot slot.
+    path is edited, and each call that changes it adds a version. Equal texts stay in one shard as long as they fit: a
+    slot above a shard's share is taken apart by another hash of the text, and only a text that
+    exceeds the share by itself by row. Where shards still differ by more than SPREAD of the mean and a row, texts above
+    half a share are split too, and so on. Rows that repeat an id are rows of their own. An empty table gives no rows
+    and an empty version.
+
+    Positions come from counts of cells, each of at most about RANKED rows, and a rank within each, so
+    no task ranks a whole shard or a hot text.
     """
     spark = docs.sparkSession
-    rows, sums, docs, key = cells(docs, space, id_col, text_col)
-    sizes = units(sums, shards)
+    plain, docs, key = hashed(docs, space, id_col, text_col)
+    counted = _sums(plain, space)
+    largest, total = plain.agg(F.max("size"), F.sum("size")).first()
     spark.createDataFrame([], MAP).write.mode("ignore").parquet(map_path)
     old = read_map(spark, map_path)
-    assigned = rebalance(old, sizes, shards) if old else assign(sizes, shards)
+    cut = 1
+    while True:
+        sizes, rows, sums = units(plain, counted, space, (total or 0) / (shards * cut))
+        assigned = rebalance(old, sizes, shards) if old else assign(sizes, shards)
+        loads = [0] * shards
+        for unit, to in assigned.items():
+            loads[to] += sizes[unit]
+        # A map that is edited moves little, so its shards differ more; it is not split for that.
+        if old or cut == FINEST or max(loads) - min(loads) <= max(SPREAD * sum(loads) / shards, largest or 0):
+            break
+        cut *= 2
     version = store_map(spark, map_path, assigned, sizes)
     table = spark.read.schema(MAP).parquet(map_path).where(F.col("version") == version)
     table = F.broadcast(table.select(F.col("slot").alias("cell_slot"), "grain", "shard"))
+    tasks = F.ceil(F.col("n") / RANKED).cast("int").alias("tasks")
     in_map = sums.join(table, "cell_slot").where("grain in (-1, cell_grain)")
-    before = Window.partitionBy("shard").orderBy("cell_slot", "cell_grain")
-    before = before.rowsBetween(Window.unboundedPreceding, -1)
-    starts = in_map.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    starts = F.broadcast(starts.select("cell_slot", "cell_grain", "shard", "start"))
-    rank = F.row_number().over(Window.partitionBy("cell_slot", "cell_grain").orderBy("row"))
-    placed = rows.withColumn("rank", rank).join(starts, ["cell_slot", "cell_grain"])
+    in_map = small(space.write(in_map.select("cell_slot", "cell_grain", "shard", tasks), "map"))
+    rows = rows.drop("cell_text").join(in_map, ["cell_slot", "cell_grain"])
+    rows = rows.withColumn("cell_task", F.pmod(F.xxhash64(F.lit("task"), F.col("row")), F.col("tasks")))
+    cell = ["cell_slot", "cell_grain", "cell_task"]
+    before = Window.partitionBy("shard").orderBy(*cell).rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("shard", *cell).agg(F.count("*").alias("n"))
+    starts = starts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    starts = small(space.write(starts.select(*cell, "start"), "starts"))
+    rank = F.row_number().over(Window.partitionBy(*cell).orderBy("row"))
+    placed = rows.withColumn("rank", rank).join(starts, cell)
     placed = placed.select(
         "id", "row", "size", "text_crc32", "shard",
         (F.col("start") + F.col("rank") - 1).alias("position"),
