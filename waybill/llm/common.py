@@ -18,6 +18,9 @@ from waybill.sources.scratch import Scratch
 #: A table is broadcast only if it was counted and has no more rows; every use has at most 64 bytes a row.
 BROADCAST_ROWS = 500_000
 
+#: Bytes of a batch that goes to a Python worker; Spark's own bound is 64 MB, held twice by each task.
+BATCH_BYTES = 8 << 20
+
 #: Runs of these are one separator; words are what lies between.
 WHITESPACE = r"[\x20\x09-\x0D]+"
 
@@ -36,7 +39,7 @@ def session_space(spark: SparkSession) -> Scratch:
 
 
 def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it.
+    """Let Python workers import this package from where the driver has it, and bound the batches they get.
 
     That serves a driver and executors with the same files; elsewhere install the package on the
     executors or pass it with --py-files.
@@ -45,6 +48,7 @@ def importable(spark: SparkSession) -> None:
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def fresh(taken: Iterable[str], name: str) -> str:
