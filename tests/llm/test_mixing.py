@@ -87,3 +87,8 @@ def test_mix_repeats_rows(odd, clashing, none, space):
     assert mixing.repeated(none, space).collect() == []
     again = sorted(str(r) for r in mixing.repeated(odd, space).collect())
     assert again == sorted(str(r) for r in out.collect())
+
+
+def test_a_column_named_as_spark_names_an_exploded_one(space, clashing):
+    docs = clashing.withColumnRenamed("score", "col").withColumnRenamed("keep_id", "copy")
+    assert mixing.repeated(docs, space).columns == docs.columns

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from waybill.llm.common import WHITESPACE, keyed, text_of
+from waybill.llm.common import WHITESPACE, fresh, keyed, text_of
 from waybill.sources.scratch import Scratch
 
 MAX_EPOCHS = 3
@@ -137,6 +137,7 @@ def repeated(docs: DataFrame, space: Scratch, **named) -> DataFrame:
     copies = space.write(copies, "copies")
     columns = [keyed_docs[f"`{c}`"] for c in docs.columns]
     joined = keyed_docs.join(copies if copies.count() > 500_000 else F.broadcast(copies), key)
-    return joined.select(*columns, F.explode(F.sequence(F.lit(1), copies["copies"]))).select(
+    each = F.explode(F.sequence(F.lit(1), copies["copies"])).alias(fresh(docs.columns, "copy"))
+    return joined.select(*columns, each).select(
         *[f"`{c}`" for c in docs.columns]
     )
