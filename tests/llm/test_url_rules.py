@@ -66,3 +66,11 @@ def test_query_on_the_table_is_native(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
     assert "html" not in plan
+
+
+def test_columns_that_clash_with_those_of_the_result_and_with_their_new_names(spark, space):
+    pages = spark.createDataFrame([("https://a.org/x", "h", "p", "v")], "url string, host string, page_host string, verdict string")
+    rules = url_rules.rule_table(spark, [("org", "/", "block")])
+    out = url_rules.judge(pages, rules, space)
+    assert out.columns == ["url", "page_host_", "page_host", "page_verdict", "host", "path", "rule", "verdict"]
+    assert out.first()[1:] == ("h", "p", "v", "a.org", "/x", "org/", "block")

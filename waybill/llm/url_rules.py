@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm.common import small
+from waybill.llm.common import fresh, small
 from waybill.sources.scratch import Scratch
 
 #: Hex digits of a digest that rules and URLs meet on.
@@ -71,7 +71,8 @@ def judge(
     url = F.coalesce(F.col(f"`{url_col}`"), F.lit(""))
     clash = {"host", "path", "rule", "verdict"}
     kept = [
-        F.col(f"`{c}`").alias(f"page_{c}" if c.lower() in clash else c) for c in pages.columns
+        F.col(f"`{c}`").alias(fresh(pages.columns, f"page_{c}") if c.lower() in clash else c)
+        for c in pages.columns
     ]
     judged = pages.select(*kept, host_of(url).alias("host"), path_of(url).alias("path"))
 
