@@ -14,7 +14,7 @@ select doc_id, keep_id, group_size, doc_id = keep_id kept, sha256(norm) text_sha
 
 # Sources in order of size per weight: those before the first that stays below its cap are clamped.
 MIXING = r"""
-with d as (select doc_id, source, md5(concat_ws(':', '7', cast(doc_id as varchar))) draw,
+with recursive d as (select doc_id, source, md5(concat_ws(':', '7', cast(doc_id as varchar))) draw,
   len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')) size from documents),
 s as (select source, sum(size)::bigint source_size,
   case (row_number() over (order by source nulls last) - 1) % 3 when 0 then 5 when 1 then 2 else 1 end w from d group by source),
@@ -25,11 +25,22 @@ l as (select *, (total - caps) / open_w as level from o),
 f as (select min(level) level from (select level from l where w * level <= 3 * source_size order by caps limit 1)),
 p as (select l.source, source_size, case when w * f.level > 3 * source_size then 3.0 * source_size else w * f.level end target from l, f),
 q as (select *, case when source_size = 0 then 0 else least(3, floor(target / source_size)) end whole from p),
-c as (select d.*, q.source_size, q.target, q.whole, q.target - q.whole * q.source_size rest,
-  coalesce(sum(size) over (partition by d.source order by draw, size, doc_id rows between unbounded preceding and 1 preceding), 0) upto
-  from d join q on d.source is not distinct from q.source)
-select doc_id, size::bigint size, source_size, target::double target,
-  (size * (whole + case when size > 0 and upto + size / 2.0 <= rest then 1 else 0 end))::bigint taken from c
+c as (select d.*, q.source_size, q.target, q.whole, row_number() over (partition by d.source order by draw, size, doc_id) pos
+  from d join q on d.source is not distinct from q.source),
+step as (select source, 0::bigint low, floor(target - whole * source_size)::bigint room, target, null::bigint span_low, null::bigint span_room from q
+  union all
+  select source, min(pos) filter (upto > room), room - coalesce(min(upto - size) filter (upto > room), max(upto))::bigint, target, low, room
+  from (select step.*, pos, size, sum(size) over (partition by step.source order by pos) upto
+    from step join c on step.source is not distinct from c.source and pos > step.low and size between 1 and step.room where step.room * 1000 > step.target) z
+  group by source, target, low, room),
+rooms as (select source, min(room) room from step group by source),
+t as (select c.*, exists (select 1 from step where step.source is not distinct from c.source and c.pos > span_low
+  and c.pos < coalesce(step.low, c.pos + 1) and c.size between 1 and span_room) once from c),
+x as (select doc_id, row_number() over (partition by t.source order by size, pos) k
+  from t join rooms on t.source is not distinct from rooms.source where not once and size > 0 and size < 2 * room)
+select t.doc_id, size::bigint size, source_size, target::double target,
+  (size * (whole + case when once or x.k = 1 then 1 else 0 end))::bigint taken
+from t left join x on t.doc_id = x.doc_id and x.k = 1
 """
 
 EMBEDDINGS = """
