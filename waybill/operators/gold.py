@@ -53,21 +53,29 @@ def delivery_performance(
     return stamp(_with_delivery_flags(joined), run_ts).select(*DELIVERY_PERFORMANCE)
 
 
-def on_time_by(gold: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Counts and on-time shares per group, of all labels and of the delivered ones."""
-    return _shares(gold.groupBy(*by).agg(*_tallies()), *by)
+def on_time_by(
+    gold: DataFrame, by: Sequence[str] = (), counts: Sequence[Column] | None = None
+) -> DataFrame:
+    """Counts and on-time shares per group, of all labels and of the delivered ones.
+
+    `counts` says how to count where a row is not a label, as in partial aggregates.
+    """
+    return _shares(gold.groupBy(*by).agg(*(counts or tallies())), *by)
 
 
 def on_time_summary(gold: DataFrame) -> DataFrame:
     return on_time_by(gold)
 
 
-def on_time_rollup(gold: DataFrame, by: Sequence[str]) -> DataFrame:
+def on_time_rollup(
+    gold: DataFrame, by: Sequence[str], counts: Sequence[Column] | None = None
+) -> DataFrame:
     """As `on_time_by`, with subtotals; 'ALL' stands for a dimension summed over.
 
     `level` is the number of dimensions not summed over, which tells 'ALL' from a value of that name.
     """
-    summed = gold.rollup(*by).agg(*_tallies(), *[F.grouping(c).alias(f"__all_{c}") for c in by])
+    counts = counts or tallies()
+    summed = gold.rollup(*by).agg(*counts, *[F.grouping(c).alias(f"__all_{c}") for c in by])
     named = [
         F.when(F.col(f"__all_{c}") == 1, F.lit("ALL")).otherwise(F.col(c)).alias(c) for c in by
     ]
@@ -76,7 +84,7 @@ def on_time_rollup(gold: DataFrame, by: Sequence[str]) -> DataFrame:
     return _shares(summed.select(*named, level, "labels", "delivered", "on_time"), *by, "level")
 
 
-def _tallies() -> list[Column]:
+def tallies() -> list[Column]:
     return [
         F.count("*").alias("labels"),
         F.count_if("is_delivered").alias("delivered"),
@@ -174,13 +182,16 @@ def region(zip_code: str, digits: int = 3) -> Column:
     return F.substring(zip_code, 1, digits)
 
 
+def is_late() -> Column:
+    return F.col("is_delivered") & ~F.col("is_delivered_on_time")
+
+
 def _delay_tallies() -> list[Column]:
-    late = F.col("is_delivered") & ~F.col("is_delivered_on_time")
     return [
         F.count("*").alias("labels"),
         F.count_if("is_delivered").alias("delivered"),
-        F.count_if(late).alias("late"),
-        F.sum(F.when(late, F.col("days_late"))).alias("__days"),
+        F.count_if(is_late()).alias("late"),
+        F.sum(F.when(is_late(), F.col("days_late"))).alias("__days"),
     ]
 
 
@@ -200,7 +211,12 @@ def delay_analysis(gold: DataFrame, digits: int = 3) -> DataFrame:
     """Delays by carrier, service class and origin region."""
     by = ["carrier", "service_class", "origin_region"]
     regional = with_days_late(gold).withColumn("origin_region", region("origin_zip", digits))
-    return _delay_shares(regional.groupBy(*by).agg(*_delay_tallies()), *by)
+    return delay_by(regional, by, _delay_tallies())
+
+
+def delay_by(df: DataFrame, by: Sequence[str], counts: Sequence[Column]) -> DataFrame:
+    """Shares of late labels per group; `counts` gives labels, delivered, late and the days late."""
+    return _delay_shares(df.groupBy(*by).agg(*counts), *by)
 
 
 def delay_clusters(gold: DataFrame, digits: int = 3) -> DataFrame:

@@ -889,4 +889,12 @@ ORACLES |= {
     "gated_builds": f"{_verdict('as sent', False)} union all {_verdict('without orphans', True)}",
     "published_delay_analysis": ORACLES["delay_analysis"],
     "published_data_freshness": ORACLES["data_freshness"],
+    "partials_delay_analysis": ORACLES["delay_analysis"],
+    "partials_on_time_rollup": ORACLES["on_time_rollup"],
+    "sketched_scans": after(
+        "silver_events",
+        f"""select carrier, count(*) scans, count(latency_seconds) timed, count(distinct label_id) labels,
+          true labels_hold, true p50_holds, true p95_holds, true p99_holds
+        from {_TIMED} group by 1""",
+    ),
 }

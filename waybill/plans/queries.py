@@ -14,7 +14,7 @@ from waybill import session
 from waybill.functions import flags
 from waybill.functions import timestamps as times
 from waybill.functions.payload import parse_payload as _parse_payload
-from waybill.operators import gold, latest, profile, quality, silver
+from waybill.operators import gold, latest, partials, profile, quality, silver
 from waybill.plans import refresh, replays
 from waybill.schemas import DELIVERY_PERFORMANCE, RAW_EVENTS, RAW_LABELS
 from waybill.sources import parcels
@@ -569,11 +569,16 @@ def gated_builds(x: Layers) -> DataFrame:
 
 
 def _in_two_batches(
-    x: Layers, pick: Callable[[refresh.Models], DataFrame], reports: bool = False
+    x: Layers,
+    pick: Callable[[refresh.Models], DataFrame],
+    reports: bool = False,
+    sums: bool = False,
 ) -> DataFrame:
     """Everything up to a day, then the rest on top of it."""
     with refresh.throwaway(x.spark) as models:
         refresh.start_empty(models)
+        if sums:
+            refresh.keep_partials(models)
         for part in (lambda t: F.col(t) < CUTOFF, lambda t: F.col(t) >= CUTOFF):
             refresh.apply_batch(
                 models,
@@ -594,6 +599,31 @@ def published_data_freshness(x: Layers) -> DataFrame:
     return _in_two_batches(x, lambda m: m.stored(m.names.data_freshness), reports=True)
 
 
+@query
+def partials_delay_analysis(x: Layers) -> DataFrame:
+    """Published from partial aggregates that both batches kept."""
+    return _in_two_batches(x, lambda m: m.stored(m.names.delay_analysis), reports=True, sums=True)
+
+
+@query
+def partials_on_time_rollup(x: Layers) -> DataFrame:
+    by = ["carrier", "service_class"]
+    return _in_two_batches(
+        x, lambda m: partials.on_time_rollup_of(m.stored(m.names.delivery_partials), by), sums=True
+    )
+
+
+@query
+def sketched_scans(x: Layers) -> DataFrame:
+    """Exact counts per carrier, and whether the merged sketches of all periods are within their bounds."""
+
+    def pick(m: refresh.Models) -> DataFrame:
+        estimated = partials.scans_of(m.stored(m.names.scan_partials))
+        return partials.estimates_hold(estimated, m.silver_events)
+
+    return _in_two_batches(x, pick, sums=True)
+
+
 @query
 def incremental_silver_events(x: Layers) -> DataFrame:
     return _in_two_batches(x, lambda models: models.silver_events)

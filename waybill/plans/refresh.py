@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from waybill.operators.gold import data_freshness, delay_analysis, delivery_performance
 from waybill.operators.latest import collapse_latest, dedup_events, event_ties
+from waybill.operators.partials import delay_analysis_of, delivery_partials, scan_partials
 from waybill.operators.quality import dq_gate, model_tests
 from waybill.operators.silver import (
     conform_events,
@@ -86,6 +87,10 @@ class Models:
     def gold(self) -> DataFrame:
         return self.stored(self.names.gold).select(*DELIVERY_PERFORMANCE)
 
+    @property
+    def keeps_partials(self) -> bool:
+        return self.spark.catalog.tableExists(self.names.periods_due)
+
 
 def _event_rows(raw_events: DataFrame, run_ts: dt.datetime | None) -> DataFrame:
     """Conformed events, void flag still open, with the raw time that later merges compare."""
@@ -106,6 +111,7 @@ def full_refresh(
     """
     spark, names = configure(models.spark), models.names
     raw = raw or names
+    summed = _pause_partials(models)
     raw_labels = spark.read.table(raw.raw_labels).select(*RAW_LABELS.names)
     raw_events = spark.read.table(raw.raw_events).select(*RAW_EVENTS.names)
 
@@ -122,14 +128,78 @@ def full_refresh(
     materialize(mart.withColumn(PERIOD, by_creation), names.gold, [PERIOD])
     if spark.catalog.tableExists(names.due):
         spark.sql(f"TRUNCATE TABLE {names.due}")
+    if summed:
+        keep_partials(models)
     if reports:
         publish_reports(models)
     return models
 
 
+def _partials(names: Names) -> dict[str, tuple[str, Callable[..., DataFrame]]]:
+    """Table of partial aggregates -> the layer it sums up, and how."""
+    return {
+        names.delivery_partials: (names.gold, delivery_partials),
+        names.scan_partials: (names.silver_events, scan_partials),
+    }
+
+
+def keep_partials(models: Models) -> None:
+    """Build the partial aggregates of the stored layers; from now on batches and refreshes keep them.
+
+    They are partitioned as their layers are. A batch notes the periods it is about to rewrite, and
+    afterwards aggregates these anew from the layer, so nothing has to be taken back: extremes and sketches
+    are as exact as counts. Its cost is that of the periods it rewrites. The notes outlive a batch that
+    broke off, and the next one works them off.
+    """
+    for table, (layer, build) in _partials(models.names).items():
+        materialize(build(models.stored(layer), PERIOD), table, [PERIOD])
+    nothing = models.spark.createDataFrame([], f"layer string, {PERIOD} date")
+    materialize(nothing, models.names.periods_due)
+
+
+def _pause_partials(models: Models) -> bool:
+    """Stop keeping partial aggregates while whole layers are replaced; whether they were kept.
+
+    A rebuild that breaks off leaves them unkept, and reports then read the layers.
+    """
+    kept = models.keeps_partials
+    models.spark.sql(f"DROP TABLE IF EXISTS {models.names.periods_due}")
+    return kept
+
+
+def _note_periods(models: Models, table: str, periods: set[dt.date]) -> None:
+    if models.keeps_partials and table in {layer for layer, _ in _partials(models.names).values()}:
+        rows = models.spark.createDataFrame([(table, p) for p in periods], f"layer string, {PERIOD} date")
+        rows.coalesce(1).write.format("parquet").mode("append").saveAsTable(models.names.periods_due)
+
+
+def _renew_partials(models: Models) -> None:
+    """Aggregate the noted periods anew. A period of a layer never loses its last row."""
+    if not models.keeps_partials:
+        return
+    noted = models.stored(models.names.periods_due).distinct().collect()  # two layers, days of the calendar
+    for table, (layer, build) in _partials(models.names).items():
+        periods = sorted(r[PERIOD] for r in noted if r.layer == layer)
+        if not periods:
+            continue
+        rows = build(models.stored(layer).where(F.col(PERIOD).isin(periods)), PERIOD)
+        rows = rows.select(*models.stored(table).columns).hint("rebalance", F.col(PERIOD))
+        with _replacing_partitions(models.spark):
+            rows.write.mode("overwrite").insertInto(table)
+    models.spark.sql(f"TRUNCATE TABLE {models.names.periods_due}")
+
+
 def publish_reports(models: Models) -> None:
-    """The second-phase reports as tables, from the stored layers. Reads the columns they use, whole."""
-    materialize(delay_analysis(models.gold), models.names.delay_analysis)
+    """The second-phase reports as tables, from the stored layers.
+
+    The delay analysis comes from the partial aggregates where they are kept; everything else reads the
+    columns it uses, whole.
+    """
+    if models.keeps_partials:
+        delays = delay_analysis_of(models.stored(models.names.delivery_partials))
+    else:
+        delays = delay_analysis(models.gold)
+    materialize(delays, models.names.delay_analysis)
     fresh = data_freshness(models.silver_labels, models.silver_events)
     materialize(fresh, models.names.data_freshness)
 
@@ -151,6 +221,7 @@ def gated_refresh(
         failed = sorted(name for name, passed in outcome if not passed)
         status = "success" if not failed else "success_with_warnings" if warn_only else "failed"
         if status != "failed":
+            summed = _pause_partials(models)
             for layer, table in (
                 (trial.names.silver_labels, names.silver_labels),
                 (trial.names.silver_events, names.silver_events),
@@ -159,6 +230,8 @@ def gated_refresh(
                 materialize(trial.stored(layer), table, [PERIOD])
             if spark.catalog.tableExists(names.due):
                 spark.sql(f"TRUNCATE TABLE {names.due}")
+            if summed:
+                keep_partials(models)
     return {"status": status, "checks": len(outcome), "failed": failed}
 
 
@@ -227,6 +300,7 @@ def upsert(
     if finish is not None:
         merged = finish(merged)
     rows = merged.select(*target.columns).hint("rebalance", F.col(PERIOD))
+    _note_periods(models, table, periods)
     with _replacing_partitions(spark):
         rows.write.mode("overwrite").insertInto(table)
 
@@ -276,6 +350,7 @@ def apply_batch(
         if late_days is not None:
             _list_late(models, space, batch, late_days)
         _recompute_mart(models, space, run_ts)
+        _renew_partials(models)
     if reports:
         publish_reports(models)
     return models

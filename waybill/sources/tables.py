@@ -66,6 +66,19 @@ class Names:
     def gold(self) -> str:
         return self.table("gold", "delivery_performance")
 
+    @property
+    def delivery_partials(self) -> str:
+        return self.table("gold", "delivery_partials")
+
+    @property
+    def scan_partials(self) -> str:
+        return self.table("gold", "scan_partials")
+
+    @property
+    def periods_due(self) -> str:
+        """Periods of the layers whose partial aggregates have yet to be written."""
+        return self.table("gold", "periods_due")
+
     @property
     def delay_analysis(self) -> str:
         return self.table("gold", "delay_analysis")
