@@ -13,9 +13,8 @@ def configure(spark: SparkSession) -> SparkSession:
     """Pin the settings that decide results; leave sizing to the cluster.
 
     A time string that reaches the parser without a zone is read in the session zone, so the
-    zone is part of the semantics. Adaptive execution is what splits skewed joins, drops the
-    hot-key branches when there are no hot keys, and sizes shuffles to the data. A skewed join is
-    split even if the next aggregate on its key then needs a shuffle of its own.
+    zone is part of the semantics. Adaptive execution is what splits skewed joins and sizes
+    shuffles to the data. A skewed join is split even if the next aggregate on its key then needs a shuffle of its own.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
