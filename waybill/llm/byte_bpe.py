@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from waybill.llm.common import blocks, fresh, plus, text_of
 
 #: Pre-tokens that a worker remembers, and the longest of them.
-REMEMBERED, REMEMBERED_LETTERS = 200_000, 64
+REMEMBERED, REMEMBERED_LETTERS = 50_000, 64
 #: Rows of an output batch.
 ROWS = 500
 

@@ -21,6 +21,9 @@ BROADCAST_ROWS = 500_000
 #: Bytes of a batch that goes to a Python worker; Spark's own bound is 64 MB, held twice by each task.
 BATCH_BYTES = 8 << 20
 
+#: What a Python worker frees goes back to the system: up to four idle workers of earlier steps stay on an executor.
+WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_TRIM_THRESHOLD_": str(1 << 20)}
+
 #: Runs of these are one separator; words are what lies between.
 WHITESPACE = r"[\x20\x09-\x0D]+"
 
@@ -39,7 +42,7 @@ def session_space(spark: SparkSession) -> Scratch:
 
 
 def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it, and bound the batches they get.
+    """Let Python workers import this package from where the driver has it; bound their batches and what they hold.
 
     That serves a driver and executors with the same files; elsewhere install the package on the
     executors or pass it with --py-files.
@@ -48,6 +51,8 @@ def importable(spark: SparkSession) -> None:
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    for name, value in WORKER_MEMORY.items():
+        spark.sparkContext.environment.setdefault(name, value)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
