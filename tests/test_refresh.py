@@ -359,3 +359,27 @@ def test_orphans_keep_the_time_they_were_found(spark, labels_of, events_of):
     apply_batch(models, labels_of(label("l2")), events_of(event("e4", "l4")))
     found = quarantine_orphans(models, second).select("event_id", F.unix_timestamp("detected_at"))
     assert sorted(tuple(r) for r in found.collect()) == [("e3", int(first.timestamp())), ("e4", int(second.timestamp()))]
+
+
+def test_a_batch_applied_again_rewrites_nothing_and_new_keys_are_appended(spark, labels_of, events_of):
+    models = fresh(spark, "month")
+    start_empty(models)
+    # A key that is null is one key.
+    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in RAW_EVENTS])
+    rows = [tuple(r[n] for n in RAW_EVENTS.names) for r in (event("e1"), event("e2", "l2"), event(None))]
+    batch = labels_of(label("l1"), label("l2")), spark.createDataFrame(rows, nullable)
+
+    def files() -> set[str]:
+        tables = models.names.silver_labels, models.names.silver_events, models.names.gold
+        return {r.f for t in tables for r in models.stored(t).selectExpr("input_file_name() f").collect()}
+
+    apply_batch(models, *batch)
+    before = files()
+    apply_batch(models, *batch)
+    assert files() == before
+    assert models.silver_events.count() == 3
+    apply_batch(models, event_rows=events_of(event("e3", "nowhere")))
+    assert before < files()
+    noon = at("2026-06-07 12:00:00")
+    apply_batch(models, event_rows=events_of(event("e1", "l2", event_received_at=noon), event("e4")))
+    assert sorted(str(r.event_id) for r in models.silver_events.collect()) == ["None", "e1", "e2", "e3", "e4"]

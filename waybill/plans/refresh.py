@@ -1,8 +1,8 @@
 """Full and incremental refresh of Silver and Gold. Both end in the same rows.
 
 Tables are partitioned by `landed_in`, a period (by default a day) that a key keeps for good once
-it is stored. An update therefore rewrites the periods of the keys it touches and no others, and
-never has to remove a row from a period it does not rewrite.
+it is stored. An update therefore rewrites the periods in which a stored row changes, appends new keys
+to the others, and never has to remove a row from a period it does not rewrite.
 """
 
 from __future__ import annotations
@@ -12,8 +12,9 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,6 +52,7 @@ from waybill.sources.tables import (
 PERIOD = "landed_in"
 NO_TIME = dt.date(1900, 1, 1)
 RAW_TIME = "event_at_raw"
+_KNOWN = "__known"
 
 LABEL_TIES = [c for c in RAW_LABELS.names if c not in ("label_id", "last_updated_at")]
 
@@ -254,10 +256,14 @@ def _periods(df: DataFrame) -> set[dt.date]:
 
 def _stored_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Stored rows of the keys in a batch. `target` should have few columns: all of it is read."""
-    return target.join(batch.select(*keys), list(keys), "left_semi")
+    if target.isEmpty():
+        return target.limit(0)
+    ids = batch.select(*[F.col(k).alias(f"__{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    return target.join(ids, reduce(Column.__and__, same), "left_semi")
 
 
-def upsert(
+def changes(
     models: Models,
     space: Scratch,
     table: str,
@@ -265,44 +271,90 @@ def upsert(
     keys: Sequence[str],
     home: Column,
     newest: tuple[Sequence, Sequence] | None = None,
-    finish: Callable[[DataFrame], DataFrame] | None = None,
-    also: DataFrame | None = None,
     known: DataFrame | None = None,
-) -> None:
-    """Merge a batch into a table by key, rewriting only the periods of the keys concerned.
+) -> DataFrame:
+    """Rows of a batch that a table lacks, with their period, and whether their key is stored.
 
     The batch has one row per key and is cheap to read again. Intermediate results go to `space`.
     `home` is the period of a key that is new. `newest` orders old and new rows of a key (order,
-    tie-breakers); without it the batch replaces. `finish` completes the rows before they are
-    written; `also` lists further periods to rewrite; `known` holds the stored keys of the batch
-    with their periods, if they have been looked up already.
+    tie-breakers) and tells all of them apart: rows that stored ones equal or beat change nothing and are
+    left out. Without it the batch replaces. `known` holds the stored keys of the batch with their
+    periods, if they have been looked up already.
     """
-    spark = models.spark
     target = models.stored(table)
     if known is None:
-        known = _stored_keys(target.select(*keys, PERIOD), batch, keys)
-    placed = space.write(
-        batch.join(known, list(keys), "left").withColumn(PERIOD, F.coalesce(PERIOD, home)),
-        "placed",
-    )
-    periods = _periods(placed) | (_periods(also) if also is not None else set())
+        found = _stored_keys(target.select(*keys, PERIOD), batch, keys)
+        known = space.write(found.select(*keys, PERIOD), "known")
+    periods = _periods(known)
     if not periods:
-        return
-    # Literal values prune the partitions of the target at planning time.
-    affected = target.where(F.col(PERIOD).isin(sorted(periods)))
-    columns = [c for c in target.columns if c in placed.columns]
-    if newest is not None:
-        both = affected.select(*columns).unionByName(placed.select(*columns))
-        merged = collapse_latest(both, keys, *newest)
+        return batch.withColumns({PERIOD: home, _KNOWN: F.lit(False)})
+    if newest is None:
+        old = known.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col(PERIOD).alias("__old"))
+        same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+        placed = batch.join(old, reduce(Column.__and__, same), "left").drop(*[f"__{k}" for k in keys])
     else:
-        kept = affected.join(placed.select(*keys), list(keys), "left_anti")
-        merged = kept.select(*columns).unionByName(placed.select(*columns))
-    if finish is not None:
-        merged = finish(merged)
-    rows = merged.select(*target.columns).hint("rebalance", F.col(PERIOD))
+        # Literal values prune the partitions of the target at planning time.
+        stored = target.where(F.col(PERIOD).isin(sorted(periods)))
+        columns = [c for c in batch.columns if c in target.columns]
+        both = stored.select(*columns, F.col(PERIOD).alias("__old")).unionByName(
+            batch.select(*columns), allowMissingColumns=True
+        )
+        # A stored row has a period, a new one has none yet.
+        both = both.withColumn("__old_of_key", F.max("__old").over(Window.partitionBy(*keys)))
+        order, ties = newest
+        placed = collapse_latest(both, keys, order, [*ties, F.col("__old").desc_nulls_last()])
+        placed = placed.where(F.col("__old").isNull()).drop("__old").withColumnRenamed("__old_of_key", "__old")
+    marked = placed.withColumns({PERIOD: F.coalesce("__old", home), _KNOWN: F.col("__old").isNotNull()})
+    return space.write(marked.drop("__old"), "changes")
+
+
+def merge(
+    models: Models,
+    table: str,
+    changed: DataFrame,
+    keys: Sequence[str],
+    finish: Callable[[DataFrame], DataFrame] | None = None,
+    also: DataFrame | None = None,
+) -> None:
+    """Bring `changes` into their table: only periods in which a stored row changes are rewritten.
+
+    Rows of other periods are appended, after that. `finish` completes the rows before they are written;
+    `also` lists further periods to rewrite.
+    """
+    spark, target = models.spark, models.stored(table)
+    rewritten = _periods(changed.where(_KNOWN)) | (_periods(also) if also is not None else set())
+    periods = _periods(changed) | rewritten
+    if not periods:
+        return
+    columns = [c for c in target.columns if c in changed.columns]
     _note_periods(models, table, periods)
-    with _replacing_partitions(spark):
-        rows.write.mode("overwrite").insertInto(table)
+
+    def write(rows: DataFrame, mode: str) -> None:
+        rows = finish(rows) if finish is not None else rows
+        rows.select(*target.columns).hint("rebalance", F.col(PERIOD)).write.mode(mode).insertInto(table)
+
+    in_rewritten = F.col(PERIOD).isin(sorted(rewritten)) if rewritten else F.lit(False)
+    if rewritten:
+        gone = changed.where(_KNOWN).select(*[F.col(k).alias(f"__{k}") for k in keys])
+        same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+        kept = target.where(in_rewritten).join(gone, reduce(Column.__and__, same), "left_anti")
+        with _replacing_partitions(spark):
+            write(kept.select(*columns).unionByName(changed.where(in_rewritten).select(*columns)), "overwrite")
+    if periods - rewritten:
+        write(changed.where(~in_rewritten).select(*columns), "append")
+
+
+def upsert(
+    models: Models,
+    space: Scratch,
+    table: str,
+    batch: DataFrame,
+    keys: Sequence[str],
+    home: Column,
+    newest: tuple[Sequence, Sequence] | None = None,
+) -> None:
+    """Merge a batch into a table by key; see `changes` and `merge`."""
+    merge(models, table, changes(models, space, table, batch, keys, home, newest), keys)
 
 
 def apply_batch(
@@ -319,7 +371,8 @@ def apply_batch(
     A late scan reaches its label, however old: all labels touched by the batch are recomputed from
     Silver. Batches in another order end in the same Silver and Gold rows, and so does a batch
     applied again, wholly or after it broke off midway: labels whose mart row is due are kept in a
-    table until it is written. There must be one writer at a time.
+    table until it is written. Rows that the stored ones equal or beat are not written again and make no
+    label due. There must be one writer at a time.
 
     With `late_days`, scans that took that long to arrive are also listed in a table of their own.
     Raw tables landed with batch ids need a `batch_id` here too; rows of a batch id that a raw table
@@ -375,8 +428,9 @@ def _merge_labels(
     batch = space.write(latest, "labels")
     home = models.period("label_created_at")
     newest = (["last_updated_at"], LABEL_TIES)
-    _mark_due(models, batch)
-    upsert(models, space, models.names.silver_labels, batch, ["label_id"], home, newest)
+    changed = changes(models, space, models.names.silver_labels, batch, ["label_id"], home, newest)
+    _mark_due(models, changed)
+    merge(models, models.names.silver_labels, changed, ["label_id"])
     return _wrongly_flagged(models, batch.select("label_id"))
 
 
@@ -403,21 +457,22 @@ def _wrongly_flagged(models: Models, ids: DataFrame) -> DataFrame:
 def _merge_events(
     models: Models, space: Scratch, batch: DataFrame, reflag: DataFrame | None
 ) -> None:
-    stored = models.stored(models.names.silver_events).select("event_id", "label_id", PERIOD)
-    known = space.write(_stored_keys(stored, batch, ["event_id"]), "known")
+    table, keys = models.names.silver_events, ["event_id"]
+    stored = models.stored(table).select("event_id", "label_id", PERIOD)
+    known = space.write(_stored_keys(stored, batch, keys), "known")
+    home = models.period("event_received_at")
+    newest = (["event_received_at"], event_ties(RAW_TIME))
+    changed = changes(models, space, table, batch, keys, home, newest, known)
     # A later copy of an event may name another label; the one it leaves is due as well.
-    _mark_due(models, batch.select("label_id").unionByName(known.select("label_id")).distinct())
-    upsert(
+    left = _stored_keys(known, changed.where(_KNOWN), keys)
+    _mark_due(models, changed.select("label_id").unionByName(left.select("label_id")).distinct())
+    merge(
         models,
-        space,
-        models.names.silver_events,
-        batch,
-        ["event_id"],
-        models.period("event_received_at"),
-        (["event_received_at"], event_ties(RAW_TIME)),
+        table,
+        changed,
+        keys,
         finish=lambda rows: flag_on_voided(rows, models.silver_labels),
         also=reflag,
-        known=known.select("event_id", PERIOD),
     )
 
 
