@@ -18,7 +18,7 @@ from waybill.operators import gold, latest, partials, profile, quality, silver
 from waybill.plans import refresh, replays
 from waybill.schemas import DELIVERY_PERFORMANCE, RAW_EVENTS, RAW_LABELS
 from waybill.sources import parcels
-from waybill.sources.scratch import staged
+from waybill.sources.scratch import Scratch, scratch, staged
 from waybill.sources.tables import (
     land,
     land_all,
@@ -64,6 +64,18 @@ class Layers:
     def gold(self) -> DataFrame:
         return gold.delivery_performance(self.labels, self.events)
 
+    def stored_raw(self, space: Scratch, later: str | None = None) -> tuple[DataFrame, DataFrame]:
+        """Raw labels and events, each derived once and read back.
+
+        With a cutoff each has a column `later`: whether a row came from then on.
+        """
+        tables = ((self.raw_labels, "last_updated_at"), (self.raw_events, "event_received_at"))
+        if later is None:
+            return tuple(space.write(rows, "raw") for rows, _ in tables)
+        return tuple(
+            space.write(rows.withColumn("later", F.col(time) >= later), "raw", ["later"]) for rows, time in tables
+        )
+
     def stored_silver(self) -> tuple[DataFrame, DataFrame]:
         """Silver labels and events, each written once and read back."""
         labels = staged(self.labels, "silver_labels")
@@ -498,8 +510,8 @@ def parity_altered(x: Layers) -> DataFrame:
 @query
 def idempotency_two_builds(x: Layers) -> DataFrame:
     """Figures of the first build, and what differs in a second one from the same raw tables."""
-    with refresh.throwaway(x.spark) as models:
-        land_all(x.raw_labels, x.raw_events, models.names)
+    with scratch(x.spark) as space, refresh.throwaway(x.spark) as models:
+        land_all(*x.stored_raw(space), models.names)
         first = staged(refresh.full_refresh(models).gold, "first")
         second = staged(refresh.full_refresh(models).gold, "second")
     rows = quality.idempotency_snapshot(first).unionByName(
@@ -547,8 +559,8 @@ def land_and_validate(x: Layers) -> DataFrame:
 @query
 def full_refresh(x: Layers) -> DataFrame:
     """The mart from published tables."""
-    with refresh.throwaway(x.spark) as models:
-        land_all(x.raw_labels, x.raw_events, models.names)
+    with scratch(x.spark) as space, refresh.throwaway(x.spark) as models:
+        land_all(*x.stored_raw(space), models.names)
         return staged(refresh.full_refresh(models).gold, "gold")
 
 
@@ -557,12 +569,14 @@ def gated_builds(x: Layers) -> DataFrame:
     """What the gate says of the scans as sent, and of those that belong to a label."""
     known = F.substring("label_id", 5, 24).cast("long") < 100_000_000
     rows = []
-    for build, events in (("as sent", x.raw_events), ("without orphans", x.raw_events.where(known))):
-        with refresh.throwaway(x.spark) as models:
-            land_all(x.raw_labels, events, models.names)
-            said = refresh.gated_refresh(models)
-            published = x.spark.catalog.tableExists(models.names.gold)
-        rows.append((build, said["status"], said["checks"], ", ".join(said["failed"]), published))
+    with scratch(x.spark) as space:
+        labels, sent = x.stored_raw(space)
+        for build, events in (("as sent", sent), ("without orphans", sent.where(known))):
+            with refresh.throwaway(x.spark) as models:
+                land_all(labels, events, models.names)
+                said = refresh.gated_refresh(models)
+                published = x.spark.catalog.tableExists(models.names.gold)
+            rows.append((build, said["status"], said["checks"], ", ".join(said["failed"]), published))
     return x.spark.createDataFrame(
         rows, "build string, status string, checks bigint, failed string, published boolean"
     )
@@ -575,17 +589,13 @@ def _in_two_batches(
     sums: bool = False,
 ) -> DataFrame:
     """Everything up to a day, then the rest on top of it."""
-    with refresh.throwaway(x.spark) as models:
+    with scratch(x.spark) as space, refresh.throwaway(x.spark) as models:
+        labels, events = x.stored_raw(space, CUTOFF)
         refresh.start_empty(models)
         if sums:
             refresh.keep_partials(models)
-        for part in (lambda t: F.col(t) < CUTOFF, lambda t: F.col(t) >= CUTOFF):
-            refresh.apply_batch(
-                models,
-                x.raw_labels.where(part("last_updated_at")),
-                x.raw_events.where(part("event_received_at")),
-                reports=reports,
-            )
+        for part in (~F.col("later"), F.col("later")):
+            refresh.apply_batch(models, labels.where(part), events.where(part), reports=reports, are_stored=True)
         return staged(pick(models), "batches")
 
 
@@ -673,13 +683,13 @@ def stream_with_batch_ids(x: Layers) -> DataFrame:
 @query
 def replayed_batches(x: Layers) -> DataFrame:
     """Rows of each table after every batch was applied twice."""
-    with refresh.throwaway(x.spark) as models:
+    with scratch(x.spark) as space, refresh.throwaway(x.spark) as models:
+        labels, events = x.stored_raw(space, CUTOFF)
         refresh.start_empty(models, with_ids=True)
-        for number, part in enumerate((lambda t: F.col(t) < CUTOFF, lambda t: F.col(t) >= CUTOFF)):
-            labels = x.raw_labels.where(part("last_updated_at"))
-            events = x.raw_events.where(part("event_received_at"))
+        for number, part in enumerate((~F.col("later"), F.col("later"))):
+            batch = labels.where(part), events.where(part)
             for _ in range(2):
-                refresh.apply_batch(models, labels, events, batch_id=f"batch-{number}")
+                refresh.apply_batch(models, *batch, batch_id=f"batch-{number}", are_stored=True)
         tables = {
             "raw_labels": models.stored(models.names.raw_labels),
             "raw_events": models.stored(models.names.raw_events),

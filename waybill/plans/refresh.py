@@ -38,7 +38,7 @@ from waybill.schemas import (
     SILVER_LABELS,
 )
 from waybill.session import configure, shared_folder
-from waybill.sources.scratch import Scratch, scratch
+from waybill.sources.scratch import CODEC, Scratch, scratch
 from waybill.sources.tables import (
     Names,
     conform,
@@ -54,6 +54,9 @@ NO_TIME = dt.date(1900, 1, 1)
 RAW_TIME = "event_at_raw"
 _KNOWN = "__known"
 
+#: Keys that a batch may share with a table and still be compared apart from the rest of the batch.
+FEW_KEYS = 500_000
+
 LABEL_TIES = [c for c in RAW_LABELS.names if c not in ("label_id", "last_updated_at")]
 
 
@@ -72,6 +75,17 @@ class Models:
         """
         return F.coalesce(F.to_date(F.date_trunc(self.grain, time)), F.lit(NO_TIME))
 
+    def gathered(self, rows: DataFrame) -> DataFrame:
+        """Rows as they are written to periods: brought together first, so that a period has few files.
+
+        Years are so few that every task writes to each of them, which saves the shuffle.
+        """
+        return rows if self.grain == "year" else rows.hint("rebalance", F.col(PERIOD))
+
+    def materialize(self, rows: DataFrame, table: str) -> DataFrame:
+        """Full refresh of a model that is partitioned by its period."""
+        return materialize(self.gathered(rows), table, [PERIOD], gather=False)
+
     def stored(self, table: str) -> DataFrame:
         """A table as it is now: another session, such as that of a stream, may have written it."""
         self.spark.catalog.refreshTable(table)
@@ -119,15 +133,15 @@ def full_refresh(
 
     labels = stamp(flag_labels(current_labels(raw_labels)), run_ts).select(*SILVER_LABELS)
     by_creation = models.period("label_created_at")
-    materialize(labels.withColumn(PERIOD, by_creation), names.silver_labels, [PERIOD])
+    models.materialize(labels.withColumn(PERIOD, by_creation), names.silver_labels)
 
     events = flag_on_voided(_event_rows(raw_events, run_ts), models.silver_labels)
     by_receipt = models.period("event_received_at").alias(PERIOD)
     placed = events.select(*SILVER_EVENTS, RAW_TIME, by_receipt)
-    materialize(placed, names.silver_events, [PERIOD])
+    models.materialize(placed, names.silver_events)
 
     mart = delivery_performance(models.silver_labels, models.silver_events, run_ts)
-    materialize(mart.withColumn(PERIOD, by_creation), names.gold, [PERIOD])
+    models.materialize(mart.withColumn(PERIOD, by_creation), names.gold)
     if spark.catalog.tableExists(names.due):
         spark.sql(f"TRUNCATE TABLE {names.due}")
     if summed:
@@ -229,7 +243,8 @@ def gated_refresh(
                 (trial.names.silver_events, names.silver_events),
                 (trial.names.gold, names.gold),
             ):
-                materialize(trial.stored(layer), table, [PERIOD])
+                # The trial's files hold a period each, and so do the copies.
+                materialize(trial.stored(layer), table, [PERIOD], gather=False)
             if spark.catalog.tableExists(names.due):
                 spark.sql(f"TRUNCATE TABLE {names.due}")
             if summed:
@@ -249,18 +264,24 @@ def _replacing_partitions(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def _periods(df: DataFrame) -> set[dt.date]:
-    """The periods in `df`: at most as many as the calendar has, whatever the number of rows."""
-    return {r[0] for r in df.select(PERIOD).distinct().collect()}
+def _periods(df: DataFrame, figure: Column | None = None) -> dict[dt.date, object]:
+    """The periods in `df` with a figure, by default the rows, of each: at most as many as the calendar has."""
+    figure = F.count(F.lit(1)) if figure is None else figure
+    return {r[0]: r[1] for r in df.groupBy(PERIOD).agg(figure).collect()}
 
 
 def _stored_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Stored rows of the keys in a batch. `target` should have few columns: all of it is read."""
     if target.isEmpty():
         return target.limit(0)
-    ids = batch.select(*[F.col(k).alias(f"__{k}") for k in keys])
+    return _of_keys(target, batch, keys)
+
+
+def _of_keys(rows: DataFrame, of: DataFrame, keys: Sequence[str], how: str = "left_semi") -> DataFrame:
+    """Rows whose key is in `of`, or, as an anti join, is not. Null keys are equal."""
+    ids = of.select(*[F.col(k).alias(f"__{k}") for k in keys])
     same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    return target.join(ids, reduce(Column.__and__, same), "left_semi")
+    return rows.join(ids, reduce(Column.__and__, same), how)
 
 
 def changes(
@@ -288,6 +309,7 @@ def changes(
     periods = _periods(known)
     if not periods:
         return batch.withColumns({PERIOD: home, _KNOWN: F.lit(False)})
+    few = sum(periods.values()) <= FEW_KEYS
     if newest is None:
         old = known.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col(PERIOD).alias("__old"))
         same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
@@ -296,16 +318,24 @@ def changes(
         # Literal values prune the partitions of the target at planning time.
         stored = target.where(F.col(PERIOD).isin(sorted(periods)))
         columns = [c for c in batch.columns if c in target.columns]
+        rows = batch.select(*columns)
+        if few:
+            stored, rows = (_of_keys(r, known, keys) for r in (stored, rows))
         both = stored.select(*columns, F.col(PERIOD).alias("__old")).unionByName(
-            batch.select(*columns), allowMissingColumns=True
+            rows, allowMissingColumns=True
         )
         # A stored row has a period, a new one has none yet.
         both = both.withColumn("__old_of_key", F.max("__old").over(Window.partitionBy(*keys)))
         order, ties = newest
         placed = collapse_latest(both, keys, order, [*ties, F.col("__old").desc_nulls_last()])
         placed = placed.where(F.col("__old").isNull()).drop("__old").withColumnRenamed("__old_of_key", "__old")
+        if few:
+            # All other rows have new keys: they meet no stored row and need no shuffle.
+            fresh = _of_keys(batch.select(*columns), known, keys, "left_anti")
+            placed = space.write(placed, "beating").unionByName(fresh, allowMissingColumns=True)
     marked = placed.withColumns({PERIOD: F.coalesce("__old", home), _KNOWN: F.col("__old").isNotNull()})
-    return space.write(marked.drop("__old"), "changes")
+    marked = marked.drop("__old")
+    return marked if few else space.write(marked, "changes")
 
 
 def merge(
@@ -322,8 +352,11 @@ def merge(
     `also` lists further periods to rewrite.
     """
     spark, target = models.spark, models.stored(table)
-    rewritten = _periods(changed.where(_KNOWN)) | (_periods(also) if also is not None else set())
-    periods = _periods(changed) | rewritten
+    found = _periods(changed, F.bool_or(_KNOWN))
+    rewritten = {p for p, has_known in found.items() if has_known}
+    if also is not None:
+        rewritten |= set(_periods(also))
+    periods = set(found) | rewritten
     if not periods:
         return
     columns = [c for c in target.columns if c in changed.columns]
@@ -331,13 +364,11 @@ def merge(
 
     def write(rows: DataFrame, mode: str) -> None:
         rows = finish(rows) if finish is not None else rows
-        rows.select(*target.columns).hint("rebalance", F.col(PERIOD)).write.mode(mode).insertInto(table)
+        models.gathered(rows.select(*target.columns)).write.mode(mode).insertInto(table)
 
     in_rewritten = F.col(PERIOD).isin(sorted(rewritten)) if rewritten else F.lit(False)
     if rewritten:
-        gone = changed.where(_KNOWN).select(*[F.col(k).alias(f"__{k}") for k in keys])
-        same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-        kept = target.where(in_rewritten).join(gone, reduce(Column.__and__, same), "left_anti")
+        kept = _of_keys(target.where(in_rewritten), changed.where(_KNOWN), keys, "left_anti")
         with _replacing_partitions(spark):
             write(kept.select(*columns).unionByName(changed.where(in_rewritten).select(*columns)), "overwrite")
     if periods - rewritten:
@@ -365,6 +396,7 @@ def apply_batch(
     late_days: int | None = None,
     batch_id: str | None = None,
     reports: bool = False,
+    are_stored: bool = False,
 ) -> Models:
     """Add new raw rows to the raw tables and bring Silver and Gold up to date.
 
@@ -377,15 +409,18 @@ def apply_batch(
     With `late_days`, scans that took that long to arrive are also listed in a table of their own.
     Raw tables landed with batch ids need a `batch_id` here too; rows of a batch id that a raw table
     has are not added again, so that a batch applied twice leaves it right as well. `reports` publishes
-    the reports anew, which reads their columns whole.
+    the reports anew, which reads their columns whole. Rows that `are_stored` are cheap to read
+    several times and are not copied first.
     """
     configure(models.spark)
     with scratch(models.spark) as space:
         # The batch is read several times below; its source is read once.
         if label_rows is not None:
-            label_rows = space.write(conform(label_rows, RAW_LABELS), "label_rows")
+            label_rows = conform(label_rows, RAW_LABELS)
+            label_rows = label_rows if are_stored else space.write(label_rows, "label_rows")
         if event_rows is not None:
-            event_rows = space.write(conform(event_rows, RAW_EVENTS), "event_rows")
+            event_rows = conform(event_rows, RAW_EVENTS)
+            event_rows = event_rows if are_stored else space.write(event_rows, "event_rows")
         has_labels = label_rows is not None and not label_rows.isEmpty()
         has_events = event_rows is not None and not event_rows.isEmpty()
         if not (has_labels or has_events):
@@ -437,7 +472,7 @@ def _merge_labels(
 def _mark_due(models: Models, rows: DataFrame) -> None:
     """Note labels whose mart row has to be written, before anything of theirs changes."""
     due = rows.select("label_id")
-    due.write.format("parquet").mode("append").saveAsTable(models.names.due)
+    due.write.format("parquet").option("compression", CODEC).mode("append").saveAsTable(models.names.due)
 
 
 def _wrongly_flagged(models: Models, ids: DataFrame) -> DataFrame:
@@ -540,5 +575,5 @@ def start_empty(models: Models, with_ids: bool = False) -> Models:
     for table, schema in ((names.raw_labels, RAW_LABELS), (names.raw_events, RAW_EVENTS)):
         rows = spark.createDataFrame([], schema)
         rows = with_ingestion(rows, "") if with_ids else rows
-        rows.write.format("parquet").mode("ignore").saveAsTable(table)
+        rows.write.format("parquet").option("compression", CODEC).mode("ignore").saveAsTable(table)
     return full_refresh(models)

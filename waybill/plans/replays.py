@@ -13,7 +13,7 @@ from waybill.plans.refresh import Models, apply_batch, start_empty, throwaway
 from waybill.schemas import RAW_EVENTS
 from waybill.session import shared_folder
 from waybill.sources import parcels
-from waybill.sources.scratch import staged
+from waybill.sources.scratch import CODEC, staged
 from waybill.streaming.jobs import Feed, dedup_feed, file_events, keep_current
 
 #: Loads that the scans arrive in, each with labels of its own and times of the whole range.
@@ -64,6 +64,6 @@ def replay_feed(
     inbox, checkpoint = f"{root}/inbox", f"{root}/checkpoint"
     for number in range(LOADS):
         part = scans.where(F.col("load") == number).select(*RAW_EVENTS.names)
-        part.write.mode("append").parquet(inbox)
+        part.write.mode("append").option("compression", CODEC).parquet(inbox)
         dedup_feed(file_events(spark, inbox), feed, checkpoint, remember=remember).awaitTermination()
     return feed

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import atexit
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,24 +12,29 @@ from pyspark.sql import DataFrame, SparkSession
 from waybill.session import shared_folder
 
 
+#: Codec of stored tables and of what is stored on the way to them: two thirds of the bytes of Spark's default in the same time.
+CODEC = "zstd"
+
+
 class Scratch:
-    """A folder of its own for intermediate results."""
+    """A folder of its own for intermediate results, in the session's codec unless another is named."""
 
-    def __init__(self, spark: SparkSession) -> None:
+    def __init__(self, spark: SparkSession, codec: str | None = None) -> None:
         self.spark = spark
+        self.options = {"compression": codec} if codec else {}
         self.path = f"{shared_folder(spark)}/waybill/{uuid.uuid4().hex}"
         self._written = 0
         self._paths: dict[str, str] = {}
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
         """Write a result that several later steps read, and read it back.
 
-        Readers then prune columns and push filters into it, and a lost executor costs a re-read
+        With `by` the files are partitioned by these columns, which come last. Readers then prune columns and push filters into it, and a lost executor costs a re-read
         of files instead of the whole lineage.
         """
         self._written += 1
         path = self._paths[name] = f"{self.path}/{self._written:03d}-{name}"
-        df.write.parquet(path)
+        df.write.options(**self.options).partitionBy(*by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def remove(self, name: str) -> None:
@@ -49,7 +54,7 @@ class Scratch:
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[Scratch]:
     """Intermediate results that are no longer needed once the block ends."""
-    space = Scratch(spark)
+    space = Scratch(spark, CODEC)
     try:
         yield space
     finally:
@@ -68,7 +73,7 @@ def lasting(spark: SparkSession) -> Scratch:
     """The folder for results that a caller reads later; it goes when the program ends."""
     app = spark.sparkContext.applicationId
     if app not in _lasting:
-        _lasting[app] = Scratch(spark)
+        _lasting[app] = Scratch(spark, CODEC)
         atexit.register(_drop_if_running, _lasting[app])
     return _lasting[app]
 

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waybill.operators.quality import land_contract
 from waybill.schemas import RAW_EVENTS, RAW_LABELS
 from waybill.session import configure
+from waybill.sources.scratch import CODEC
 
 SAVE_MODES = ("overwrite", "append", "ignore")
 
@@ -114,6 +115,12 @@ def has_batch_ids(df: DataFrame) -> bool:
     return "_ingestion_batch_id" in df.columns
 
 
+def _writer(df: DataFrame, provider: str) -> DataFrameWriter:
+    """Later inserts use the codec that a table was created with."""
+    writer = df.write.format(provider)
+    return writer.option("compression", CODEC) if provider == "parquet" else writer
+
+
 def land(
     df: DataFrame,
     table: str,
@@ -139,7 +146,7 @@ def land(
         return 0
     counted = Observation()
     rows = fixed.observe(counted, F.count(F.lit(1)).alias("rows"))
-    rows.write.format(provider).mode(mode).saveAsTable(table)
+    _writer(rows, provider).mode(mode).saveAsTable(table)
     return counted.get["rows"]
 
 
@@ -196,14 +203,18 @@ def materialize(
     table: str,
     partition_by: Sequence[str] = (),
     provider: str = "parquet",
+    gather: bool = True,
 ) -> DataFrame:
-    """Full refresh of a model: replace the table, return it as read back."""
+    """Full refresh of a model: replace the table, return it as read back.
+
+    Without `gather` each task writes a file to every partition it has rows of.
+    """
     spark = df.sparkSession
     ensure_schema(spark, table.rpartition(".")[0])
-    if partition_by:
+    if partition_by and gather:
         # One writer per partition value, except that adaptive execution splits large ones.
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    df.write.format(provider).mode("overwrite").partitionBy(*partition_by).saveAsTable(table)
+    _writer(df, provider).mode("overwrite").partitionBy(*partition_by).saveAsTable(table)
     return spark.read.table(table)
 
 
