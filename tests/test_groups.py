@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.conftest import at, label, same_rows
-from waybill.operators import latest, profile, silver
+from waybill.operators import groups, latest, profile, silver
 from waybill.operators.groups import _sliced, with_neighbour, with_ranks
 
 START = dt.datetime(2026, 1, 1, tzinfo=dt.timezone.utc)
@@ -50,6 +50,33 @@ def test_ranks(scans, slices, n):
     assert same_rows(wanted, found)
 
 
+@pytest.mark.parametrize("large", [0, 200])
+def test_only_large_keys_are_sliced_to_be_ranked(scans, slices, monkeypatch, large):
+    slices(5)
+    monkeypatch.setattr(groups, "LARGE", large)
+    sizes, sliced = [], groups._sliced
+
+    def counted(df, *more):
+        sizes.append(df.count())
+        return sliced(df, *more)
+
+    monkeypatch.setattr(groups, "_sliced", counted)
+    orders = {"r": ["t", "n"], "s": ["n", "t"]}
+    wanted = scans
+    for name, order in orders.items():
+        rank = F.row_number().over(Window.partitionBy("k").orderBy(*order))
+        wanted = wanted.withColumn(name, rank.cast("bigint"))
+    found = with_ranks(scans, ["k"], orders)
+    assert found.dtypes == wanted.dtypes
+    assert same_rows(wanted, found)
+    assert sizes == [300 if large else 900] * 2
+
+
+def test_ranks_without_rows(scans):
+    found = with_ranks(scans.where("n < 0"), ["k"], {"r": ["t", "n"]})
+    assert found.columns == [*scans.columns, "r"] and found.isEmpty()
+
+
 @pytest.mark.parametrize("which", ["prev", "next"])
 @pytest.mark.parametrize("n", SLICES)
 def test_neighbours(scans, which, slices, n):

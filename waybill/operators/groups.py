@@ -5,6 +5,7 @@ table survives. Here the rows are range-partitioned by key and order and written
 of their slice, and windows run per key and slice. As slices are ranges, only the key at a border can go on in
 another slice: one row per slice carries what the next one has to know, however many keys there
 are. Nothing depends on how large a key is, and the slices never decide what the result is.
+Ranks are cheaper where keys are small: only the rows of large keys are sliced for them, once per order.
 """
 
 from __future__ import annotations
@@ -16,6 +17,9 @@ from pyspark.sql import functions as F
 
 from waybill.sources.scratch import Scratch, staged
 
+#: Rows above which a key is cut into slices to be ranked; up to there one task sorts it.
+LARGE = 100_000
+
 _KEY, _SLICE = "__key", "__slice"
 _FIRST, _LAST, _OFFSET, _EDGE, _NEAR = "__first", "__last", "__offset", "__edge", "__near"
 
@@ -65,11 +69,23 @@ def with_ranks(
     orders: dict[str, Sequence[str]],
     space: Scratch | None = None,
 ) -> DataFrame:
-    """Row numbers per key for each named order, ascending; an order must tell all rows apart."""
+    """Row numbers per key for each named order, ascending; an order must tell all rows apart.
+
+    The rows are read once to count them per key and once to rank them: those of keys up to LARGE meet by key, in
+    one shuffle for all orders. The others are sliced, once per order.
+    """
     columns = df.columns
+    sizes = df.groupBy(F.struct(*keys).alias(_KEY)).agg(F.count("*").alias("__rows"))
+    large = staged(sizes.where(F.col("__rows") > LARGE).select(_KEY), "large", space)
+    rows = df.withColumn(_KEY, F.struct(*keys))
+    # At most one row in LARGE of the input.
+    small = rows.join(F.broadcast(large), _KEY, "left_anti")
+    sliced = rows.join(F.broadcast(large), _KEY, "left_semi").drop(_KEY)
     for name, order in orders.items():
-        df = _ranked(df, keys, order, name, space)
-    return df.select(*columns, *orders)
+        rank = F.row_number().over(Window.partitionBy(_KEY).orderBy(*order))
+        small = small.withColumn(name, rank.cast("long"))
+        sliced = _ranked(sliced, keys, order, name, space)
+    return small.select(*columns, *orders).unionByName(sliced.select(*columns, *orders))
 
 
 def with_neighbour(
