@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import random
 import zlib
 from collections import defaultdict
@@ -111,6 +112,58 @@ def test_words_are_encoded_as_the_whole_text():
     assert not other.apart and np.frombuffer(other.encode("a b"), np.int32).tolist() == [64, 275]
 
 
+ODD_LETTERS = [*"abZ Z\n\t\r\f\v 12.,'sßΣς́  \x00\x7f\x1c\x85　éÉ—“жİ", "漢", "😀", "<|endoftext|>", "  ", "it's", "x" * 70]
+
+
+def changed(**more):
+    return json.dumps(json.loads(read_model(MODEL)) | more).encode()
+
+
+@pytest.mark.parametrize("chars", [1 << 20, 100])
+@pytest.mark.parametrize(
+    "more",
+    [
+        {},
+        {"normalizer": None},
+        {"normalizer": {"type": "Sequence", "normalizers": [{"type": "NFKC"}, {"type": "Lowercase"}]}},
+        {"normalizer": {"type": "Sequence", "normalizers": [{"type": "NFD"}, {"type": "StripAccents"}]}},
+        {"normalizer": {"type": "Replace", "pattern": {"String": "a"}, "content": "Z"}},
+        {"pre_tokenizer": {"type": "WhitespaceSplit"}},
+        {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}},
+    ],
+)
+def test_texts_together_are_encoded_as_each_by_the_library(monkeypatch, chars, more):
+    monkeypatch.setattr(packing, "CHARS", chars)
+    monkeypatch.setattr(packing, "REMEMBERED", 20)
+    model = changed(**more)
+    own, library = packing.Encoder(model), Tokenizer.from_buffer(model)
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(ODD_LETTERS) for _ in range(rng.randrange(30))) for _ in range(600)]
+    texts += ["word é " * 60, "", "\n", "x" * 300]
+    for _ in range(2):
+        got = [np.frombuffer(x, np.int32).tolist() for x in own.encode_all(texts)]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert list(own.encode_all([])) == []
+
+
+def test_words_that_texts_share_are_parted_once():
+    own = packing.Encoder(read_model(MODEL))
+    parted, pattern = [], own.pattern
+    own.pattern = lambda text: parted.extend(text.split(" ")) or pattern(text)
+    words = [f"word{chr(97 + k)}" for k in range(20)] + ["née", "Füße", "one,"]
+    texts = [" ".join(words[k % 23 :] + words[: k % 23]) for k in range(200)]
+    list(own.encode_all(texts))
+    assert sorted(parted) == sorted(w.lower() for w in words)
+
+
+def test_long_texts_are_encoded_in_parts(monkeypatch):
+    monkeypatch.setattr(packing, "CHARS", 1 << 16)
+    own, library = packing.Encoder(read_model(MODEL)), Tokenizer.from_file(MODEL)
+    texts = ["a b", "one two, three " * 90_000, "", "c"]
+    got = [np.frombuffer(x, np.int32).tolist() for x in own.encode_all(texts)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_odd_rows(spark, space, odd, clashing, none):
     model, library = read_model(MODEL), Tokenizer.from_file(MODEL)
     long = spark.createDataFrame([(99, "word " * 30_000 + "x" * 5000, "en", "s", 0)], odd.schema)

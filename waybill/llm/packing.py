@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+import json
+import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from waybill.llm.common import blocks, keyed, plus, small, text_of
+from waybill.llm.byte_bpe import byte_letters
+from waybill.llm.common import blocks, bytes_of, keyed, plus, small, text_of
 from waybill.sources.scratch import Scratch
 
 WINDOW = 4096
@@ -23,8 +28,10 @@ WINDOW = 4096
 END = 2
 #: Steps of the descent; parts of a combination that the greedy pass makes.
 STEPS, PARTS = 100, 16
-#: Words and pre-tokens that a worker remembers, and the longest of them.
+#: Pre-tokens that a worker remembers in each of two generations, and the longest of them.
 REMEMBERED, REMEMBERED_LETTERS = 300_000, 64
+#: Characters whose words are put together, each distinct one being encoded once.
+CHARS = 8 << 20
 #: Bytes of ids in an output batch.
 BATCH = 4 << 20
 
@@ -32,12 +39,44 @@ BATCH = 4 << 20
 _PROBE = "ab c 12 3. 's x, <|y|> é ´e ́a A"
 
 
+#: Letters, digits and signs of words that may be parted without the library: up to Cyrillic, more Latin, punctuation.
+_COMMON = [chr(c) for c in (*range(0x21, 0x530), *range(0x1E00, 0x20D0)) if not chr(c).isspace()]
+
+
+def _pattern(parts: dict | None) -> Callable[[str], list[str]] | None:
+    """The matches that a tokenizer keeps, and spaces, if it keeps those of one pattern and spells them as bytes."""
+    match parts:
+        case {"type": "Sequence", "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": pattern}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False},
+        ]}:
+            own = regex.compile(f"(?:{pattern})| ")
+            return None if own.groups else own.findall
+    return None
+
+
+def _folds(normal: dict | None) -> bool | None:
+    """Whether a normaliser lower-cases a word of visible ASCII signs; None if it may do more to it."""
+    steps = [] if normal is None else normal.get("normalizers", [normal])
+    for step in steps:
+        blank = step["type"] == "Replace" and step["pattern"] == {"Regex": "\\s+"}
+        if step["type"] not in ("NFC", "NFD", "NFKC", "NFKD", "Lowercase") and not blank:
+            return None
+    return any(step["type"] == "Lowercase" for step in steps)
+
+
+def _spaced(words: pa.StringArray) -> str:
+    """The words with a space between each two."""
+    return pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), " ")[0].as_py()
+
+
 class Encoder:
     """Ids by a tokenizer file, without added tokens around the text.
 
     Where the tokenizer drops the white space between words and looks at no two words at once, which a
-    probe tells, words and pre-tokens are encoded once while remembered: the library normalises and parts the words
-    that are new, and its model encodes the pre-tokens that are.
+    probe tells, the distinct words of many texts are encoded once. Where the file tells its pattern, so are the distinct
+    pre-tokens of these words, which the model encodes and a worker remembers. That holds for words of signs that a probe
+    shows to be parted alike by the pattern; ASCII words are also normalised here if that only lower-cases them.
     """
 
     def __init__(self, model: bytes) -> None:
@@ -45,66 +84,142 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        # Two generations each: what the older one has and is met again moves to the younger one.
+        # Two generations: what the older one has and is met again moves to the younger one.
         self.known: dict[str, bytes] = {}
         self.known_before: dict[str, bytes] = {}
-        self.pre_tokens: dict[str, bytes] = {}
-        self.pre_tokens_before: dict[str, bytes] = {}
         whole = {self._whole(_PROBE.replace(" ", gap)) for gap in (" ", "  ", "\n")}
         self.apart = whole == {b"".join(map(self._whole, _PROBE.split(" ")))}
+        self.letters = str.maketrans({chr(b): letter for b, letter in enumerate(byte_letters())})
+        spec = json.loads(model)
+        self.pattern, self.folds = _pattern(spec.get("pre_tokenizer")), _folds(spec.get("normalizer"))
+        if self.pattern and any(" " in p and p != " " for p in self.pattern(_PROBE)):
+            self.pattern = None
+        alike = {c for c in _COMMON if self._alike(c)} if self.apart and self.pattern else set()
+        self.common = re.compile(f"[{''.join(map(re.escape, sorted(alike)))}]+").fullmatch if alike else None
+        if any(chr(c) not in alike for c in range(0x21, 0x7F)):
+            self.folds = None
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.int32).tobytes()
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        plain, text = words, " ".join(words)
-        if text.split() != words or any(a in text for a in self.added):
-            plain = [w for w in words if w.split() == [w] and not any(a in w for a in self.added)]
-            text = " ".join(plain)
-        if self.library.normalizer is not None:
-            text = self.library.normalizer.normalize_str(text)
-        gaps = np.flatnonzero(np.frombuffer(text.encode("utf-32-le"), np.uint32) == 32)
-        if len(gaps) + 1 != len(plain):
-            plain, parts = [], []
-        else:
-            parts = self.library.pre_tokenizer.pre_tokenize_str(text)
-        if len(self.pre_tokens) > REMEMBERED // 2:
-            self.pre_tokens, self.pre_tokens_before = {}, self.pre_tokens
-        known, before, tokenize = self.pre_tokens, self.pre_tokens_before, self.library.model.tokenize
-        found: list[list[bytes]] = [[] for _ in plain]
-        places = np.searchsorted(gaps, [start for _, (start, _) in parts]).tolist()
-        for at, (part, _) in zip(places, parts):
-            ids = known.get(part)
+    def _spelt(self, part: str) -> str:
+        """A letter for each byte of a pre-token."""
+        return part.encode().decode("latin-1").translate(self.letters)
+
+    def _alike(self, sign: str) -> bool:
+        words = (f"a{sign}a", f"1{sign}1", f".{sign}.", sign + sign, f"'{sign}")
+        part = self.library.pre_tokenizer.pre_tokenize_str
+        return all(list(map(self._spelt, self.pattern(w))) == [p for p, _ in part(w)] for w in words)
+
+    def _of_pre_tokens(self, parts: list[str]) -> list[bytes]:
+        """Ids of distinct pre-tokens; a space has none."""
+        if len(self.known) > REMEMBERED:
+            self.known, self.known_before = {}, self.known
+        known, before, tokenize = self.known, self.known_before, self.library.model.tokenize
+        out = list(map(known.get, parts))
+        for k, ids in enumerate(out):
             if ids is None:
-                ids = before.get(part) or array("i", [t.id for t in tokenize(part)]).tobytes()
+                part = parts[k]
+                if (ids := before.get(part)) is None:
+                    own = [] if part == " " else tokenize(self._spelt(part))
+                    ids = array("i", [t.id for t in own]).tobytes()
                 if len(part) <= REMEMBERED_LETTERS:
                     known[part] = ids
-            found[at].append(ids)
-        out = {w: b"".join(x) for w, x in zip(plain, found)}
-        return out if len(out) == len(words) else out | {w: self._whole(w) for w in words if w not in out}
+                out[k] = ids
+        return out
+
+    def _of_normal(self, text: str, n: int) -> pa.BinaryArray:
+        """Ids of n normalised words by the pattern."""
+        parts = pa.array(self.pattern(text), pa.string()).dictionary_encode()
+        distinct = parts.dictionary.to_pylist()
+        ids = pa.array(self._of_pre_tokens(distinct), pa.binary()).take(parts.indices)
+        blank = distinct.index(" ") if n > 1 else -1
+        gaps = np.flatnonzero(parts.indices.to_numpy() == blank)
+        ends = np.concatenate([[0], gaps, [len(parts)]])
+        if len(ends) != n + 1:
+            raise ValueError("the pattern takes words together")
+        offsets, data = bytes_of(ids)
+        return pa.Array.from_buffers(
+            pa.binary(), n, [None, pa.py_buffer(offsets[ends].astype(np.int32)), pa.py_buffer(data)]
+        )
+
+    def _of_words(self, words: pa.StringArray) -> tuple[pa.BinaryArray, np.ndarray]:
+        """Ids of distinct words, which hold no space, and where each word's are."""
+        visible = np.array(pc.match_substring_regex(words, "^[!-~]+$"))
+        special = np.zeros(len(words), bool)
+        for a in self.added:
+            special |= np.array(pc.match_substring(words, a))
+        plain = visible & ~special if self.folds is not None else np.zeros(len(words), bool)
+        places, found = [np.flatnonzero(plain)], [pa.array([], pa.binary())]
+        if n := len(places[0]):
+            text = _spaced(words.take(pa.array(places[0])))
+            found.append(self._of_normal(text.lower() if self.folds else text, n))
+        rest = np.flatnonzero(~plain)
+        some = np.flatnonzero(~plain & ~special) if self.common else rest[:0]
+        if len(some):
+            text = _spaced(words.take(pa.array(some)))
+            if text.split() != (apart := text.split(" ")):
+                some = some[[w.split() == [w] for w in apart]]
+                text = _spaced(words.take(pa.array(some)))
+            if self.library.normalizer is not None:
+                text = self.library.normalizer.normalize_str(text)
+            normal = text.split(" ") if len(some) else []
+            if len(normal) == len(some) and not all(map(self.common, normal)):
+                good = [self.common(w) is not None for w in normal]
+                some, normal = some[good], [w for w, yes in zip(normal, good) if yes]
+                text = " ".join(normal)
+            if len(normal) == len(some) > 0:
+                places.append(some)
+                found.append(self._of_normal(text, len(some)))
+                rest = np.setdiff1d(rest, some)
+        places.append(rest)
+        found.append(pa.array(map(self._whole, words.take(pa.array(rest)).to_pylist()), pa.binary()))
+        where = np.empty(len(words), np.int64)
+        where[np.concatenate(places)] = np.arange(len(words))
+        return pa.concat_arrays(found), where
+
+    def _blocks(self, texts: list[str]) -> list[bytes]:
+        words = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.string()), "\n", " "), " ")
+        coded = words.values.dictionary_encode()
+        ids, where = self._of_words(coded.dictionary)
+        offsets, data = bytes_of(ids.take(pa.array(where[coded.indices.to_numpy()])))
+        ends = offsets[words.offsets.to_numpy()].tolist()
+        return [data[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """Ids of each text, four bytes each, low byte first."""
+        if not self.apart:
+            yield from map(self._whole, texts)
+            return
+        waiting: list[str] = []
+        pieces: list[int] = []  # how many of the waiting blocks are of each text
+        start: list[bytes] = []  # of the first waiting text: what is encoded
+        held = 0
+
+        def flush() -> Iterator[bytes]:
+            nonlocal waiting, pieces, start, held
+            found, at = self._blocks(waiting), 0
+            for n in pieces[:-1]:
+                yield b"".join([*start, *found[at : at + n]])
+                start, at = [], at + n
+            start = [*start, *found[at:]]
+            waiting, pieces, held = [], [0], 0
+
+        for text in texts:
+            pieces.append(0)
+            for block in blocks(text):
+                waiting.append(block)
+                pieces[-1] += 1
+                held += len(block)
+                if held >= CHARS:
+                    yield from flush()
+        if pieces:
+            yield from flush()
+            yield b"".join(start)
 
     def encode(self, text: str) -> bytes:
         """Ids of a text, four bytes each, low byte first."""
-        if not self.apart:
-            return self._whole(text)
-        parts = []
-        for block in blocks(text):
-            words = block.replace("\n", " ").split(" ")
-            try:
-                parts.append(b"".join(map(self.known.__getitem__, words)))
-            except KeyError:
-                if len(self.known) > REMEMBERED:
-                    self.known, self.known_before = {}, self.known
-                known, before = self.known, self.known_before
-                new = [w for w in set(words) if w not in known]
-                known.update((w, before[w]) for w in new if w in before)
-                new = [w for w in new if w not in before]
-                known |= self._learn(new)
-                parts.append(b"".join(map(known.__getitem__, words)))
-                for word in new:
-                    if len(word) > REMEMBERED_LETTERS:
-                        del known[word]
-        return b"".join(parts)
+        return next(self.encode_all([text]))
 
 
 @cache
@@ -153,8 +268,8 @@ def encoded(
 
         for batch in batches:
             places, ids, held = [], [], 0
-            for i, text in enumerate(batch.column(2)):
-                ids.append(own.encode(text.as_py()) + last)
+            for i, own_ids in enumerate(own.encode_all(text.as_py() for text in batch.column(2))):
+                ids.append(own_ids + last)
                 places.append(i)
                 held += len(ids[-1])
                 if held > BATCH:
