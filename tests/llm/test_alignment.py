@@ -10,7 +10,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from waybill.llm import alignment
+from waybill.llm import alignment, byte_bpe
 from waybill.llm.byte_bpe import byte_letters
 from waybill.llm.queries import op11_alignment
 from waybill.llm.token_counts import read_model
@@ -128,6 +128,27 @@ def test_pointers_reach_the_last_token_of_a_chain():
     assert len(np.unique(last)) == 1
 
 
+def test_matches_that_texts_share_are_looked_up_once():
+    """And a worker remembers more of them than the codec of other operators does."""
+    own = alignment.Aligner(alignment.ranks_of(read_model(JSON)), public_tokenizers.PATTERN, read_model(PIECES))
+    assert own.a.remembered > byte_bpe.REMEMBERED
+    learned, learn = [], own.a._learn
+    own.a._learn = lambda tokens: learned.append(len(tokens)) or learn(tokens)
+    texts = [f"some words é {'x' * (70 + k % 3)} of text {k % 7}\n" for k in range(100)]
+    found = own.align(texts)
+    assert len(learned) == 1
+    assert [x.groups for x in found] == [own.align([t])[0].groups for t in texts]
+    assert not any(len(t) > byte_bpe.REMEMBERED_LETTERS for t in own.a.known)
+
+
+def test_texts_whose_bytes_differ_are_found_among_others():
+    own = alignment.Aligner(alignment.ranks_of(read_model(JSON)), public_tokenizers.PATTERN, read_model(PIECES))
+    texts = ["plain text", "ﬁ ligature", "two  spaces", "more", "a▁b", "x\u3000y", "漢字"]
+    found = own.align(texts)
+    assert [x is not None for x in found] == [brute_tokens(t) is not None for t in texts]
+    assert None in found and [x.groups for x in found if x] == [b[6] for b in brute(texts) if b[0]]
+
+
 def test_large_groups_need_no_spelt_out_links():
     a, b = np.zeros(30_000, np.int64), np.arange(20_000) % 3
     of, pairs, uses = alignment.linked_pairs(

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waybill.llm.byte_bpe import byte_letters, codec
-from waybill.llm.common import keyed, small, text_of
+from waybill.llm.common import bytes_of, keyed, small, text_of
 from waybill.llm.token_counts import processor, text_parts
 from waybill.sources.scratch import Scratch
 
@@ -22,6 +22,8 @@ from waybill.sources.scratch import Scratch
 CHARS = 1 << 20
 #: Up to so many links a group is spelt out; above, equal ids of a side are taken together first.
 PLAIN = 64
+#: Pre-tokens of A that a worker remembers.
+REMEMBERED = 400_000
 
 
 def ranks_of(model: bytes) -> bytes:
@@ -60,8 +62,8 @@ def jumps(a_end: np.ndarray, b_end: np.ndarray) -> np.ndarray:
     itself; of two that end together the one of B counts. Pointers are replaced by those of their targets until
     nothing changes, which takes as many steps as the logarithm of the longest chain.
     """
-    over = np.searchsorted(b_end, a_end)
-    back = np.searchsorted(a_end, b_end)
+    size = int(a_end[-1]) + 1 if len(a_end) else 1
+    over, back = _ends_before(b_end, size)[a_end], _ends_before(a_end, size)[b_end]
     own = len(a_end) + np.arange(len(b_end))
     at = np.concatenate([len(a_end) + over, np.where(a_end[back] > b_end, back, own)])
     while not np.array_equal(further := at[at], at):
@@ -69,6 +71,11 @@ def jumps(a_end: np.ndarray, b_end: np.ndarray) -> np.ndarray:
     return at
 
 
+def _ends_before(ends: np.ndarray, size: int) -> np.ndarray:
+    """For each byte offset below size, how many ends are below it."""
+    return np.concatenate([[0], np.cumsum(np.bincount(ends, minlength=size))])[:size]
+
+
 def linked_pairs(
     group_a: np.ndarray, group_b: np.ndarray, a: np.ndarray, b: np.ndarray, unit: np.ndarray, width: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -89,8 +96,14 @@ def linked_pairs(
     left = np.repeat(np.arange(len(a)), times)
     right = np.arange(len(left)) - np.repeat(np.cumsum(times) - times, times) + start[group_a[left]]
     key = a[left].astype(np.int64) * width + b[right]
-    uses = weight_a[left] * weight_b[right]
     of = unit[group_a[left]]
+    most = int(key.max()) + 1 if len(key) else 1
+    if not large.any() and n < (1 << 62) // most:
+        both = np.sort(of * most + key)
+        first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])) if len(key) else np.zeros(0, np.int64)
+        uses = np.diff(np.append(first, len(both)))
+        return both[first] // most, both[first] % most, uses
+    uses = weight_a[left] * weight_b[right]
     order = np.lexsort((key, of))
     key, uses, of = key[order], uses[order], of[order]
     first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (of[1:] != of[:-1])]))
@@ -115,7 +128,7 @@ class Aligner:
     """Aligns the tokens of a byte-level BPE on space and text with those of a sentencepiece model on the text."""
 
     def __init__(self, ranks: bytes, pattern: str, pieces: bytes) -> None:
-        self.a = codec(ranks, pattern)
+        self.a = codec(ranks, pattern, REMEMBERED)
         self.b, self.may_cut = processor(pieces)
         self.width = self.b.get_piece_size()
         self.a_bytes = self.a.spelling
@@ -126,9 +139,12 @@ class Aligner:
         self.a_size = np.zeros(max(self.a_bytes) + 1, np.int64)
         self.a_size[list(self.a_bytes)] = [len(x) for x in self.a_bytes.values()]
         self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
-        spelt = lambda n, mark: np.array([f"{i}{mark}" for i in range(n)], object)
-        self.a_text = spelt(len(self.a_size), ","), spelt(len(self.a_size), "|")
-        self.b_text = spelt(self.width, ","), spelt(self.width, ";")
+        self.a_spelt = pa.array([self.a_bytes.get(i, b"") for i in range(len(self.a_size))], pa.binary())
+        self.b_spelt = pa.array(self.b_bytes, pa.binary())
+        # Ids as they stand in groups: of A, within and at the end of its side, then of B.
+        spelt = [f"{i}{mark}" for mark in ",|" for i in range(len(self.a_size))]
+        spelt += [f"{i}{mark}" for mark in ",;" for i in range(self.width)]
+        self.spelt = pa.array(spelt, pa.string())
 
     def parts(self, text: str) -> Iterator[str]:
         """The text in parts that start tokens of both sides: cut at single spaces between ASCII letters or digits."""
@@ -136,13 +152,19 @@ class Aligner:
 
     def _tokens(self, parts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """Ids of both sides, or None where the bytes of one are not those of space and text."""
-        out: list[tuple[np.ndarray, np.ndarray] | None] = []
-        for part, b in zip(parts, self.b.encode(parts, num_threads=1), strict=True):
-            a, data = self.a.encode(" " + part), b" " + part.encode()
-            same = b"".join(map(self.a_bytes.__getitem__, a.tolist())) == data
-            same = same and b"".join(map(self.b_bytes.__getitem__, b)) == data
-            out.append((a, np.array(b, np.int32)) if same else None)
-        return out
+        data = [b" " + part.encode() for part in parts]
+        both = self.a.encode_all([" " + part for part in parts]), self.b.encode(parts, num_threads=1)
+        both = both[0], [np.array(ids, np.int32) for ids in both[1]]
+        same = [self._gives(*x, data) for x in zip(both, (self.a_spelt, self.b_spelt), strict=True)]
+        return [(a, b) if x and y else None for a, b, x, y in zip(*both, *same, strict=True)]
+
+    def _gives(self, ids: list[np.ndarray], spelt: pa.BinaryArray, data: list[bytes]) -> list[bool]:
+        """Whether the ids of each part spell its bytes; they are compared at once, and one by one if they differ."""
+        offsets, found = bytes_of(spelt.take(pa.array(np.concatenate([np.zeros(0, np.int32), *ids]))))
+        ends = offsets[np.cumsum([0, *map(len, ids)])]
+        if np.array_equal(np.diff(ends), list(map(len, data))) and found[: ends[-1]].tobytes() == b"".join(data):
+            return [True] * len(data)
+        return [found[x:y].tobytes() == own for x, y, own in zip(ends, ends[1:], data)]
 
     def align(self, parts: list[str]) -> list[Aligned | None]:
         """The alignment of each part, all of them at once; None where tokens do not give the bytes back."""
@@ -153,25 +175,25 @@ class Aligner:
         a, b = (np.concatenate([x[k] for x in good]) for k in (0, 1))
         n_a, n_b = (np.array([len(x[k]) for x in good]) for k in (0, 1))
         last = jumps(np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]))
-        ends = np.unique(last)
-        group = np.searchsorted(ends, last)
+        ends = np.flatnonzero(last == np.arange(len(last)))
+        number = np.zeros(len(last), np.int64)
+        number[ends] = np.arange(len(ends))
+        group = number[last]
         group_a, group_b = group[: len(a)], group[len(a) :]
         unit = np.repeat(np.arange(len(good)), n_b)[ends - len(a)]
         n_groups = np.bincount(unit, minlength=len(good))
         of, pairs, uses = linked_pairs(group_a, group_b, a, b, unit, self.width)
         cut = np.searchsorted(of, np.arange(len(good) + 1))
-        closes = [np.append(g[1:] != g[:-1], True) for g in (group_a, group_b)]
-        texts = [
-            np.where(close, end[ids], more[ids])
-            for ids, close, (more, end) in zip((a, b), closes, (self.a_text, self.b_text))
-        ]
+        a_close, b_close = (np.append(g[1:] != g[:-1], True) for g in (group_a, group_b))
+        base = 2 * len(self.a_size)
+        spelt = np.concatenate([a + len(self.a_size) * a_close, base + b + self.width * b_close])
         order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
-        texts = np.concatenate(texts)[order]
+        offsets, data = bytes_of(self.spelt.take(pa.array(spelt[order])))
         stops = np.cumsum(n_a + n_b)
         done = iter(
             Aligned(
                 int(n_a[k]), int(n_b[k]), int(n_groups[k]), int(uses[cut[k] : cut[k + 1]].sum()),
-                "".join(texts[stop - n_a[k] - n_b[k] : stop].tolist())[:-1],
+                data[offsets[stop - n_a[k] - n_b[k]] : offsets[stop] - 1].tobytes().decode(),
                 pairs[cut[k] : cut[k + 1]], uses[cut[k] : cut[k + 1]],
             )
             for k, stop in enumerate(stops.tolist())

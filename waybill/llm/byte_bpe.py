@@ -7,6 +7,7 @@ import struct
 from array import array
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.common import blocks, fresh, plus, text_of
+from waybill.llm.common import blocks, bytes_of, fresh, plus, text_of
 
 #: Pre-tokens that a worker remembers, and the longest of them.
 REMEMBERED, REMEMBERED_LETTERS = 50_000, 64
@@ -78,7 +79,8 @@ def serialise(ranks: dict[bytes, int]) -> bytes:
 class Codec:
     """Encodes and decodes by a rank file. Special tokens are not known; their strings are text."""
 
-    def __init__(self, ranks: bytes, pattern: str) -> None:
+    def __init__(self, ranks: bytes, pattern: str, remembered: int = REMEMBERED) -> None:
+        self.remembered = remembered
         self.ranks = read_ranks(ranks)
         self.rank_of_piece = [-1, *sorted(self.ranks.values())]
         self.sp = sentencepiece.SentencePieceProcessor(model_proto=serialise(self.ranks))
@@ -112,7 +114,7 @@ class Codec:
         parts = []
         for block in blocks(text):
             tokens = self.pattern.findall(block)
-            if len(self.known) > REMEMBERED:
+            if len(self.known) > self.remembered:
                 self.known.clear()
             new = {t for t in set(tokens) if t not in self.known}
             self.known |= self._learn(new)
@@ -122,15 +124,31 @@ class Codec:
                     del self.known[token]
         return np.frombuffer(b"".join(parts), np.int32)
 
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text, as encode gives them; each distinct match is looked up once for all texts."""
+        found = [[t for block in blocks(text) for t in self.pattern.findall(block)] for text in texts]
+        coded = pa.array(chain.from_iterable(found), pa.string()).dictionary_encode()
+        tokens = coded.dictionary.to_pylist()
+        if len(self.known) > self.remembered:
+            self.known.clear()
+        new = {t for t in tokens if t not in self.known}
+        self.known |= self._learn(new)
+        offsets, data = bytes_of(pa.array(map(self.known.__getitem__, tokens), pa.binary()).take(coded.indices))
+        for token in new:
+            if len(token) > REMEMBERED_LETTERS:
+                del self.known[token]
+        ends = offsets[np.cumsum([0, *map(len, found)])].tolist()
+        return [data[a:b].view(np.int32) for a, b in zip(ends, ends[1:])]
+
     def decode(self, ids: list[int]) -> bytes:
         """The bytes of ids, each piece's letters turned back."""
         return b"".join(map(self.spelling.__getitem__, ids))
 
 
 @cache
-def codec(ranks: bytes, pattern: str) -> Codec:
+def codec(ranks: bytes, pattern: str, remembered: int = REMEMBERED) -> Codec:
     """One codec for each worker process and vocabulary."""
-    return Codec(ranks, pattern)
+    return Codec(ranks, pattern, remembered)
 
 
 def encode(
