@@ -58,6 +58,22 @@ def event_ties(raw_time: str = "event_at") -> list[str | Column]:
     ]
 
 
+def event_rank(raw_time: str = "event_at") -> Column:
+    """What orders copies of an event as one value, greatest for the copy that `dedup_events` keeps.
+
+    Nulls are least, as they come last in the descending order.
+    """
+    sent, zip_code = F.coalesce("event_code", "event_type", F.lit("")), F.coalesce("location_zip", F.lit(""))
+    plain = ["label_id", "carrier", "event_code", "event_type", "location_zip", "raw_payload"]
+    return rank_of(["event_received_at", raw_time, sent, zip_code, *plain])
+
+
+def rank_of(order: Sequence[str | Column]) -> Column:
+    """Values that order rows, newest greatest, as one value that can be compared."""
+    values = [F.col(o) if isinstance(o, str) else o for o in order]
+    return F.struct(*[v.alias(f"r{i}") for i, v in enumerate(values)])
+
+
 def dedup_events(raw_events: DataFrame) -> DataFrame:
     """One row per event id: the copy received last."""
     return collapse_latest(raw_events, ["event_id"], ["event_received_at"], event_ties())

@@ -83,6 +83,24 @@ def flag_on_voided(events: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+def flag_by_id(events: DataFrame, raw_events: DataFrame, labels: DataFrame) -> DataFrame:
+    """As `flag_on_voided`, for deduplicated events whose raw rows can be read again.
+
+    Only event ids and label ids travel to the voided labels. What they flag comes back to the
+    event id, by which the dedup has left the events: whole events need no second shuffle.
+    """
+    voided = labels.where(F.col("voided_at").isNotNull()).select("label_id")
+    flagged = raw_events.select("event_id", "label_id").join(voided, "label_id", "left_semi").distinct()
+    flagged = flagged.select(F.col("event_id").alias("__id"), F.col("label_id").alias("__label"))
+    # Two bounds instead of an equality: as a join key, the label would need a shuffle by both.
+    label = F.col("label_id")
+    same = (F.col("event_id") == F.col("__id")) & (label >= F.col("__label")) & (label <= F.col("__label"))
+    with_id = events.where(F.col("event_id").isNotNull()).join(flagged, same, "left")
+    with_id = with_id.withColumn("is_event_on_voided_label", F.col("__id").isNotNull()).drop("__id", "__label")
+    # A null id is one event at most.
+    return with_id.unionByName(flag_on_voided(events.where(F.col("event_id").isNull()), labels))
+
+
 def silver_events(
     raw_events: DataFrame,
     labels: DataFrame,

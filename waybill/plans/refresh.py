@@ -19,12 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waybill.operators.gold import data_freshness, delay_analysis, delivery_performance
-from waybill.operators.latest import collapse_latest, dedup_events, event_ties
+from waybill.operators.latest import collapse_latest, dedup_events, event_rank, event_ties, rank_of
 from waybill.operators.partials import delay_analysis_of, delivery_partials, scan_partials
 from waybill.operators.quality import dq_gate, model_tests
 from waybill.operators.silver import (
     conform_events,
     current_labels,
+    flag_by_id,
     flag_labels,
     flag_on_voided,
     orphaned_events,
@@ -108,11 +109,10 @@ class Models:
         return self.spark.catalog.tableExists(self.names.periods_due)
 
 
-def _event_rows(raw_events: DataFrame, run_ts: dt.datetime | None) -> DataFrame:
-    """Conformed events, void flag still open, with the raw time that later merges compare."""
+def _event_rows(raw_events: DataFrame, labels: DataFrame, run_ts: dt.datetime | None) -> DataFrame:
+    """Conformed events, flagged by Silver labels, with the raw time that later merges compare."""
     rows = stamp(conform_events(dedup_events(raw_events)), run_ts)
-    kept = [c for c in SILVER_EVENTS if c != "is_event_on_voided_label"]
-    return rows.select(*kept, RAW_TIME)
+    return flag_by_id(rows, raw_events, labels).select(*SILVER_EVENTS, RAW_TIME)
 
 
 def full_refresh(
@@ -135,7 +135,7 @@ def full_refresh(
     by_creation = models.period("label_created_at")
     models.materialize(labels.withColumn(PERIOD, by_creation), names.silver_labels)
 
-    events = flag_on_voided(_event_rows(raw_events, run_ts), models.silver_labels)
+    events = _event_rows(raw_events, models.silver_labels, run_ts)
     by_receipt = models.period("event_received_at").alias(PERIOD)
     placed = events.select(*SILVER_EVENTS, RAW_TIME, by_receipt)
     models.materialize(placed, names.silver_events)
@@ -348,8 +348,8 @@ def merge(
 ) -> None:
     """Bring `changes` into their table: only periods in which a stored row changes are rewritten.
 
-    Rows of other periods are appended, after that. `finish` completes the rows before they are written;
-    `also` lists further periods to rewrite.
+    Rows of other periods are appended, after that. `finish` brings all rows of the rewritten periods up to
+    date before they are written; `also` lists further periods to rewrite.
     """
     spark, target = models.spark, models.stored(table)
     found = _periods(changed, F.bool_or(_KNOWN))
@@ -363,14 +363,14 @@ def merge(
     _note_periods(models, table, periods)
 
     def write(rows: DataFrame, mode: str) -> None:
-        rows = finish(rows) if finish is not None else rows
         models.gathered(rows.select(*target.columns)).write.mode(mode).insertInto(table)
 
     in_rewritten = F.col(PERIOD).isin(sorted(rewritten)) if rewritten else F.lit(False)
     if rewritten:
         kept = _of_keys(target.where(in_rewritten), changed.where(_KNOWN), keys, "left_anti")
         with _replacing_partitions(spark):
-            write(kept.select(*columns).unionByName(changed.where(in_rewritten).select(*columns)), "overwrite")
+            rows = kept.select(*columns).unionByName(changed.where(in_rewritten).select(*columns))
+            write(rows if finish is None else finish(rows), "overwrite")
     if periods - rewritten:
         write(changed.where(~in_rewritten).select(*columns), "append")
 
@@ -427,14 +427,19 @@ def apply_batch(
             return models
         reflag = None
         if has_labels:
-            _land_once(models, label_rows, models.names.raw_labels, RAW_LABELS, batch_id)
-            reflag = _merge_labels(models, space, label_rows, run_ts)
+            landed = not _land_once(models, label_rows, models.names.raw_labels, RAW_LABELS, batch_id)
+            reflag = _merge_labels(models, space, label_rows, run_ts, landed)
+        known = None
         if has_events:
-            _land_once(models, event_rows, models.names.raw_events, RAW_EVENTS, batch_id)
+            landed = not _land_once(models, event_rows, models.names.raw_events, RAW_EVENTS, batch_id)
+            if late_days is None:
+                # A batch whose late scans are listed is needed whole.
+                table, rank = models.names.silver_events, event_rank(RAW_TIME)
+                event_rows, known = _unsettled(models, space, table, event_rows, "event_id", rank, landed, "label_id")
         else:
             event_rows = models.spark.createDataFrame([], RAW_EVENTS)
-        batch = space.write(_event_rows(event_rows, run_ts), "events")
-        _merge_events(models, space, batch, reflag)
+        batch = space.write(_event_rows(event_rows, models.silver_labels, run_ts), "events")
+        _merge_events(models, space, batch, reflag, known)
         if late_days is not None:
             _list_late(models, space, batch, late_days)
         _recompute_mart(models, space, run_ts)
@@ -446,27 +451,68 @@ def apply_batch(
 
 def _land_once(
     models: Models, rows: DataFrame, table: str, schema: T.StructType, batch_id: str | None
-) -> None:
+) -> bool:
     """Append to a raw table, unless it has the batch. The append of one job is seen whole or not."""
     if batch_id is not None:
         stored = models.stored(table)
         if has_batch_ids(stored) and not stored.where(F.col("_ingestion_batch_id") == batch_id).isEmpty():
-            return
+            return False
     land(rows, table, schema, "append", batch_id)
+    return True
+
+
+def _unsettled(
+    models: Models,
+    space: Scratch,
+    table: str,
+    rows: DataFrame,
+    key: str,
+    rank: Column,
+    landed: bool,
+    *kept: str,
+) -> tuple[DataFrame, DataFrame]:
+    """Raw rows of a batch that may change a table, and the stored keys among theirs with their periods.
+
+    Where many keys are stored, raw rows that the stored one of their key equals or beats are left out before
+    anything is done to them: `changes` would leave them out at last. `rank` orders the rows of a key.
+    A large batch that had been `landed` before is taken to have many stored keys without a look-up.
+    `kept` are further columns of the stored keys.
+    """
+    target = models.stored(table)
+    stored = target.select(key, *kept, PERIOD)
+    if not (landed and rows.count() > FEW_KEYS):
+        stored = space.write(_stored_keys(stored, rows, [key]), "known")
+        periods = _periods(stored)
+        if sum(periods.values()) <= FEW_KEYS:
+            return rows, stored
+        # Literal values prune the partitions of the target at planning time.
+        target = target.where(F.col(PERIOD).isin(sorted(periods)))
+    newest = target.select(F.col(key).alias("__key"), rank.alias("__newest"))
+    if RAW_TIME in target.columns:
+        rows = rows.withColumn(RAW_TIME, F.col("event_at"))
+    settled = F.col(key).eqNullSafe(F.col("__key")) & (F.col("__newest") >= rank)
+    rest = space.write(rows.join(newest, settled, "left_anti").drop(RAW_TIME), "unsettled")
+    if rest.isEmpty():
+        return rest.limit(0), stored.limit(0)
+    return rest, space.write(_stored_keys(stored, rest, [key]), "known")
 
 
 def _merge_labels(
-    models: Models, space: Scratch, label_rows: DataFrame, run_ts: dt.datetime | None
+    models: Models, space: Scratch, label_rows: DataFrame, run_ts: dt.datetime | None, landed: bool
 ) -> DataFrame:
     """Bring Silver labels up to date; the periods of scans to flag anew."""
-    latest = stamp(flag_labels(current_labels(label_rows)), run_ts).select(*SILVER_LABELS)
+    table = models.names.silver_labels
+    rank = rank_of(["last_updated_at", *LABEL_TIES])
+    rows, known = _unsettled(models, space, table, label_rows, "label_id", rank, landed)
+    latest = stamp(flag_labels(current_labels(rows)), run_ts).select(*SILVER_LABELS)
     batch = space.write(latest, "labels")
     home = models.period("label_created_at")
     newest = (["last_updated_at"], LABEL_TIES)
-    changed = changes(models, space, models.names.silver_labels, batch, ["label_id"], home, newest)
+    changed = changes(models, space, table, batch, ["label_id"], home, newest, known)
     _mark_due(models, changed)
-    merge(models, models.names.silver_labels, changed, ["label_id"])
-    return _wrongly_flagged(models, batch.select("label_id"))
+    merge(models, table, changed, ["label_id"])
+    # All labels of the batch: an attempt that broke off may have left scans of theirs wrongly flagged.
+    return _wrongly_flagged(models, label_rows.select("label_id"))
 
 
 def _mark_due(models: Models, rows: DataFrame) -> None:
@@ -490,11 +536,12 @@ def _wrongly_flagged(models: Models, ids: DataFrame) -> DataFrame:
 
 
 def _merge_events(
-    models: Models, space: Scratch, batch: DataFrame, reflag: DataFrame | None
+    models: Models, space: Scratch, batch: DataFrame, reflag: DataFrame | None, known: DataFrame | None
 ) -> None:
     table, keys = models.names.silver_events, ["event_id"]
-    stored = models.stored(table).select("event_id", "label_id", PERIOD)
-    known = space.write(_stored_keys(stored, batch, keys), "known")
+    if known is None:
+        stored = models.stored(table).select("event_id", "label_id", PERIOD)
+        known = space.write(_stored_keys(stored, batch, keys), "known")
     home = models.period("event_received_at")
     newest = (["event_received_at"], event_ties(RAW_TIME))
     changed = changes(models, space, table, batch, keys, home, newest, known)
@@ -514,7 +561,7 @@ def _merge_events(
 def _list_late(models: Models, space: Scratch, batch: DataFrame, late_days: int) -> None:
     table = models.names.late_events
     age = F.col("event_received_at") - F.col("event_at")
-    late = batch.where(age >= F.make_dt_interval(days=F.lit(late_days)))
+    late = batch.where(age >= F.make_dt_interval(days=F.lit(late_days))).drop("is_event_on_voided_label")
     home = models.period("event_received_at")
     if not models.spark.catalog.tableExists(table):
         materialize(late.limit(0).withColumn(PERIOD, home), table, [PERIOD])
@@ -524,6 +571,8 @@ def _list_late(models: Models, space: Scratch, batch: DataFrame, late_days: int)
 
 def _recompute_mart(models: Models, space: Scratch, run_ts: dt.datetime | None) -> None:
     due = space.write(models.stored(models.names.due).distinct(), "due")
+    if due.isEmpty():
+        return
     labels = models.silver_labels.join(due, "label_id", "left_semi")
     events = models.silver_events.join(due, "label_id", "left_semi")
     mart = space.write(delivery_performance(labels, events, run_ts), "mart")
