@@ -569,7 +569,7 @@ def gated_builds(x: Layers) -> DataFrame:
     """What the gate says of the scans as sent, and of those that belong to a label."""
     known = F.substring("label_id", 5, 24).cast("long") < 100_000_000
     rows = []
-    with scratch(x.spark) as space:
+    with session.freeing_shuffles(x.spark), scratch(x.spark) as space:
         labels, sent = x.stored_raw(space)
         for build, events in (("as sent", sent), ("without orphans", sent.where(known))):
             with refresh.throwaway(x.spark) as models:

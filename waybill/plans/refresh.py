@@ -38,7 +38,7 @@ from waybill.schemas import (
     SILVER_EVENTS,
     SILVER_LABELS,
 )
-from waybill.session import configure, shared_folder
+from waybill.session import configure, freeing_shuffles, shared_folder
 from waybill.sources.scratch import CODEC, Scratch, scratch
 from waybill.sources.tables import (
     Names,
@@ -229,7 +229,7 @@ def gated_refresh(
     that fails leaves the published tables as they were, unless `warn_only` publishes it with warnings.
     """
     spark, names = configure(models.spark), models.names
-    with throwaway(spark, models.grain) as trial:
+    with freeing_shuffles(spark), throwaway(spark, models.grain) as trial:
         full_refresh(trial, run_ts, raw=names)
         built = trial.silver_labels, trial.silver_events, trial.gold
         tests = model_tests(*built).select(F.concat_ws(".", "model", "column_name", "test"), "passed")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import SparkSession
@@ -23,6 +25,21 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def freeing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Delete the shuffle files of each query as it ends, instead of when the driver next collects garbage.
+
+    For jobs that store what several steps read and never run a query twice.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def local_session(cores: int | str = 8, app: str = "waybill", **extra: str) -> SparkSession:
     """A local session for tests and the bench."""
     builder = (
